@@ -20,8 +20,8 @@ def elapsed_seconds(text: Column) -> Column:
 def clock_minutes(seconds: Column) -> Column:
     """``HH:MM:SS`` after rounding whole seconds up to a full minute."""
     minutes = F.ceil(seconds / 60).cast("bigint")
-    return F.format_string("%02d:%02d:%02d", F.floor(minutes / 60), minutes % 60,
-                           F.lit(0).cast("bigint"))
+    return F.when(minutes.isNotNull(), F.format_string(
+        "%02d:%02d:00", F.floor(minutes / 60), minutes % 60))
 
 
 def whole_seconds(seconds: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.operators import robust
+from foldmill.operators.ranking import with_index
 from foldmill.operators.scorers import LetterGraph, iteration_rng
 
 # Table cells one block may fill; keeps a block's memory near 100 MB.
@@ -136,12 +137,21 @@ def errors(scored: DataFrame) -> DataFrame:
         F.col("seq_name").alias("seqname"), "error")
 
 
-def raw_shuffles(folds: DataFrame) -> DataFrame:
-    """Valid shuffle energies, numbered 1..n without gaps within each sequence."""
-    place = F.row_number().over(Window.partitionBy("seqname").orderBy("iteration"))
-    return (folds.filter((F.col("iteration") > 0) & F.col("mfe").isNotNull())
-            .select(F.col("seqname").alias("transcript_id"), place.alias("iteration"),
-                    F.col("mfe").alias("shuffled_mfe")))
+def raw_shuffles(folds: DataFrame, bounded: bool = True) -> DataFrame:
+    """Valid shuffle energies, numbered 1..n without gaps within each sequence.
+
+    ``bounded=False`` is for groups whose size the tier policy does not limit.
+    """
+    valid = folds.filter((F.col("iteration") > 0) & F.col("mfe").isNotNull())
+    if bounded:
+        place = F.row_number().over(Window.partitionBy("seqname").orderBy("iteration"))
+        numbered = valid.withColumn("_place", place)
+    else:
+        numbered = with_index(valid, ["seqname"], ["iteration"], "_place").withColumn(
+            "_place", F.col("_place") + 1)
+    return numbered.select(F.col("seqname").alias("transcript_id"),
+                           F.col("_place").cast("int").alias("iteration"),
+                           F.col("mfe").alias("shuffled_mfe"))
 
 
 def time_samples(samples: DataFrame, scorer, seed: int = 0) -> DataFrame:
