@@ -30,6 +30,7 @@ class LetterGraph:
         self.seq = seq
         letters = np.array(list(seq))
         self.exits = {str(v): letters[1:][letters[:-1] == v] for v in np.unique(letters)}
+        self.targets = {letter: exits.tolist() for letter, exits in self.exits.items()}
 
     def shuffle(self, rng: np.random.Generator) -> str:
         if len(self.seq) < 4:
@@ -41,8 +42,11 @@ class LetterGraph:
             if last is None:
                 walks[letter] = iter(rng.permutation(exits).tolist())
             else:
-                rest = rng.permutation(np.delete(exits, last)).tolist()
-                walks[letter] = iter([*rest, str(exits[last])])
+                rest = exits.copy()
+                rest[last] = exits[-1]
+                rest = rng.permutation(rest[:-1]).tolist()
+                rest.append(self.targets[letter][last])
+                walks[letter] = iter(rest)
         letter = self.seq[0]
         order = [letter]
         for _ in range(len(self.seq) - 1):
@@ -51,16 +55,17 @@ class LetterGraph:
         return "".join(order)
 
     def _last_exits(self, rng: np.random.Generator) -> dict[str, int]:
-        end, tree = self.seq[-1], {}
-        for start in self.exits:
+        end, tree, targets, draw = self.seq[-1], {}, self.targets, rng.random
+        for start in targets:
             letter, path = start, {}
             while letter != end and letter not in tree:
-                path[letter] = int(rng.integers(len(self.exits[letter])))
-                letter = str(self.exits[letter][path[letter]])
+                out = targets[letter]
+                path[letter] = int(draw() * len(out))
+                letter = out[path[letter]]
             letter = start
             while letter != end and letter not in tree:
                 tree[letter] = path[letter]
-                letter = str(self.exits[letter][path[letter]])
+                letter = targets[letter][path[letter]]
         return tree
 
 
@@ -89,22 +94,25 @@ class PairingScorer:
         return True
 
     def fold(self, seqs: Sequence[str]) -> list[float | None]:
-        """Energies of sequences of one length, computed side by side."""
-        if not seqs:
-            return []
-        size = len(seqs[0])
+        """Energies of sequences, computed side by side.
+
+        Shorter sequences are filled up with a letter that never pairs, which
+        leaves their energies as they are.
+        """
+        size = max(map(len, seqs), default=0)
         kind = np.int16 if size < 20_000 else np.int32
         span = min(size - 1, self.max_span or size)
         if span <= MIN_LOOP:
             return [0.0] * len(seqs)
-        pair = self._pair_energies(seqs, kind)
-        inside = [np.zeros((len(seqs), max(size - d, 0)), kind) for d in range(span + 1)]
+        pair = self._pair_energies(seqs, size)
+        inside = [np.zeros((len(seqs), size - d), kind) for d in range(span + 1)]
         closed: dict[int, np.ndarray] = {}
         # inside[d][:, i]: best energy of i..i+d. closed[d]: the same with i paired to i+d.
         for d in range(MIN_LOOP + 1, span + 1):
             count = size - d
-            closed[d] = np.where(
-                pair(d) < 0, pair(d) + inside[d - 2][:, 1:count + 1], np.array(1, kind))
+            energy = pair(d)
+            closed[d] = np.where(energy < 0, energy + inside[d - 2][:, 1:count + 1],
+                                 np.array(1, kind))
             best = np.minimum(inside[d - 1][:, 1:], closed[d])
             for k in range(MIN_LOOP + 1, d):
                 np.minimum(best, closed[k][:, :count] + inside[d - k - 1][:, k + 1:k + 1 + count],
@@ -115,32 +123,35 @@ class PairingScorer:
         return self._chain(closed, span, size, len(seqs))
 
     @staticmethod
-    def _pair_energies(seqs, kind):
-        table = np.zeros((128, 128), np.int8)
-        for (a, b), energy in PAIR_ENERGY.items():
-            for x in {a, "T" if a == "U" else a}:
-                for y in {b, "T" if b == "U" else b}:
-                    table[ord(x), ord(y)] = table[ord(y), ord(x)] = energy
-        text = "".join(seqs).upper()
-        if len(text) != len(seqs) * len(seqs[0]):  # upper-casing can lengthen a letter
-            text = "".join(seqs)
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(len(seqs), -1)
-        codes = np.where(codes < 128, codes, 0).astype(np.intp)
-        return lambda d: table[codes[:, :-d], codes[:, d:]].astype(kind)
+    def _pair_energies(seqs, size):
+        codes = np.zeros((len(seqs), size), np.uint8)
+        for row, seq in zip(codes, seqs):
+            # Letters outside ASCII become a question mark, which never pairs.
+            row[:len(seq)] = np.frombuffer(seq.encode("ascii", "replace"), np.uint8)
+        letters = np.zeros(256, np.int8)
+        for number, names in enumerate(("Aa", "Cc", "Gg", "UuTt"), start=1):
+            for name in names:
+                letters[ord(name)] = number
+        table = np.zeros(25, np.int8)
+        for (first, second), energy in PAIR_ENERGY.items():
+            x, y = letters[ord(first)], letters[ord(second)]
+            table[5 * x + y] = table[5 * y + x] = energy
+        codes = letters[codes]
+        fives = codes * np.int8(5)
+        return lambda d: table[fives[:, :-d] + codes[:, d:]]
 
     @staticmethod
     def _chain(closed, span, size, count):
         """Best sum of side-by-side closed stretches of at most ``span``."""
-        widths = np.arange(span, MIN_LOOP, -1)
-        ends = np.ones((size, count, len(widths)), np.int32)
+        widths = range(span, MIN_LOOP, -1)
+        ends = np.ones((size, len(widths), count), np.int32)
         for column, d in enumerate(widths):
-            ends[d:, :, column] = closed[int(d)].T
+            ends[d:, column] = closed[d].T
         best = np.zeros((size + span + 1, count), np.int32)
-        offset = span + 1
-        for j in range(size):
-            at = j + offset
-            joined = best[at - span - 1:at - MIN_LOOP - 1] + ends[j].T
-            best[at] = np.minimum(best[at - 1], joined.min(axis=0))
+        for at in range(span + 1, size + span + 1):
+            joined = ends[at - span - 1]
+            joined += best[at - span - 1:at - MIN_LOOP - 1]
+            np.minimum(best[at - 1], np.minimum.reduce(joined), out=best[at])
         return best[-1].astype(float).tolist()
 
 

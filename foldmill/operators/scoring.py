@@ -9,6 +9,7 @@ no task has all shuffles of a long sequence.
 from __future__ import annotations
 
 import resource
+import subprocess
 import time
 from collections.abc import Iterator
 
@@ -35,12 +36,12 @@ def sequence_cells(length: Column, max_span: int | None) -> Column:
 
 def work_blocks(sequences: DataFrame, max_span: int | None = None,
                 block_cells: int = BLOCK_CELLS) -> DataFrame:
-    """``seqname, seq, n_shuffles, first, count``: blocks of iterations."""
+    """``seqname, seq, n_shuffles, cells, first, count``: blocks of iterations."""
     cells = F.greatest(sequence_cells(F.length("seq"), max_span), F.lit(1.0))
     fit = F.floor(F.lit(float(block_cells)) / cells)
     block = F.least(F.greatest(fit, F.lit(1)), F.lit(MAX_BLOCK)).cast("int")
     return (sequences.select("seqname", "seq", F.col("n_shuffles").cast("int"))
-            .withColumn("_block", block)
+            .withColumn("_block", block).withColumn("cells", cells)
             .withColumn("first", F.explode(F.sequence(F.lit(0), F.col("n_shuffles"), F.col("_block"))))
             .withColumn("count", F.least(F.col("_block"), F.col("n_shuffles") + 1 - F.col("first")))
             .drop("_block"))
@@ -75,31 +76,58 @@ def shuffled(sequences: DataFrame, seed: int = 0, tasks: int | None = None) -> D
     return blocks.mapInPandas(run, "seqname string, iteration int, seq string")
 
 
+def _similar(folds: Iterator[tuple], max_span: int | None) -> Iterator[list[tuple]]:
+    """Folds in groups of similar length whose tables fit in one block."""
+    group, shortest, used = [], 0, 0
+    for row in folds:
+        size = len(row[-1])
+        cells = size * min(size, max_span or size)
+        if group and (used + cells > BLOCK_CELLS or not shortest <= size <= 1.2 * shortest + 16):
+            yield group
+            group, used = [], 0
+        if not group:
+            shortest = size
+        group.append(row)
+        used += cells
+    if group:
+        yield group
+
+
+def _energies(scorer, seqs: list[str]) -> tuple[list, list]:
+    """Energies and error texts; after a failure each sequence is tried alone."""
+    try:
+        return scorer.fold(seqs), [None] * len(seqs)
+    except (OSError, ValueError, RuntimeError, subprocess.SubprocessError) as problem:
+        if len(seqs) == 1:
+            return [None], [f"{type(problem).__name__}: {problem}"]
+    values, problems = zip(*[_energies(scorer, [seq]) for seq in seqs])
+    return [v[0] for v in values], [p[0] for p in problems]
+
+
 def fold_all(sequences: DataFrame, scorer, seed: int = 0, tasks: int | None = None) -> DataFrame:
     """``seqname, n_shuffles, iteration, mfe``: energies of sequences and shuffles.
 
     ``sequences`` has ``seqname, seq, n_shuffles``. A fold that gives no energy has
     a null ``mfe``; one failing fold does not end the job.
     """
-    def energies(row) -> pd.DataFrame:
-        names = list(range(row.first, row.first + row.count))
-        graph = LetterGraph(row.seq)
-        seqs = [graph.shuffle(iteration_rng(seed, row.seqname, i)) if i else row.seq
-                for i in names]
-        try:
-            values, error = scorer.fold(seqs), None
-        except (OSError, ValueError, RuntimeError) as problem:
-            values, error = [None] * len(seqs), f"{type(problem).__name__}: {problem}"
-        return pd.DataFrame({"seqname": row.seqname, "n_shuffles": row.n_shuffles,
-                             "iteration": names, "mfe": pd.array(values, "Float64"),
-                             "problem": pd.array([error] * len(seqs), "string")})
+    max_span = getattr(scorer, "max_span", None)
+
+    def folds(batch: pd.DataFrame) -> Iterator[tuple]:
+        for row in batch.itertuples(index=False):
+            graph = LetterGraph(row.seq)
+            for i in range(row.first, row.first + row.count):
+                seq = graph.shuffle(iteration_rng(seed, row.seqname, i)) if i else row.seq
+                yield row.seqname, row.n_shuffles, i, seq
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield energies(row)
+            for group in _similar(folds(batch.sort_values("cells")), max_span):
+                values, problems = _energies(scorer, [seq for *_, seq in group])
+                frame = pd.DataFrame([row[:3] for row in group],
+                                     columns=["seqname", "n_shuffles", "iteration"])
+                yield frame.assign(mfe=pd.array(values, "Float64"),
+                                   problem=pd.array(problems, "string"))
 
-    max_span = getattr(scorer, "max_span", None)
     blocks = spread(work_blocks(sequences, max_span), tasks or task_count(sequences, max_span))
     return blocks.mapInPandas(
         run, "seqname string, n_shuffles int, iteration int, mfe double, problem string")
@@ -174,7 +202,7 @@ def time_samples(samples: DataFrame, scorer, seed: int = 0) -> DataFrame:
                         wall = time.perf_counter() - began
                         rss = max(resource.getrusage(who).ru_maxrss for who in
                                   (resource.RUSAGE_SELF, resource.RUSAGE_CHILDREN))
-                except (OSError, ValueError, RuntimeError):
+                except (OSError, ValueError, RuntimeError, subprocess.SubprocessError):
                     pass
                 yield pd.DataFrame({
                     "tier": [row.tier], "seqname": [row.seqname], "length": [row.length],
