@@ -65,3 +65,8 @@ def has_type(line: Column, types: Sequence[str]) -> Column:
     for name in types:
         found = found | line.contains(f"\t{name}\t")
     return found
+
+
+def tab_field(line: Column, number: int) -> Column:
+    """The 0-based tab-delimited field of a line that has at least that many."""
+    return F.substring_index(F.substring_index(line, "\t", number + 1), "\t", -1)

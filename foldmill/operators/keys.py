@@ -6,12 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from foldmill.session import settle
+
+# A key or summary table up to this many rows is broadcast; above, Spark shuffles.
+BROADCAST_ROWS = 200_000
+
 
 def key_set(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Distinct keys. Partial aggregation shrinks a hot key before the shuffle."""
     return df.select(*columns).distinct()
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """Computes a narrow table once, and marks it for broadcast if it is small.
+
+    The table is settled, so readers share one result and its counted size.
+    """
+    fixed = settle(df)
+    return F.broadcast(fixed) if fixed.count() <= BROADCAST_ROWS else fixed
+
+
 def having_key(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys``."""
     return df.join(key_set(keys, *on), list(on), "left_semi")

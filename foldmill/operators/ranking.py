@@ -3,9 +3,8 @@
 A window over a whole group puts that group in one task, and ``median`` keeps
 all of a group's distinct values in one buffer. Neither holds when one group has
 a third of all rows. Here rows are range-sorted on (group, order), so a large
-group spreads over many partitions; the sorted rows are pinned with a
-checkpoint, and only one small row per (group, partition) is used to find out
-where each partition starts within its group.
+group spreads over many partitions; the sorted rows are written once, and one
+small row per (group, partition) tells where each partition starts in its group.
 """
 
 from __future__ import annotations
@@ -16,25 +15,24 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from foldmill.session import ensure_checkpoint_dir
+from foldmill.operators.keys import measured
+from foldmill.session import settle
 
 _PART = "_part"
 _SEQ = "_seq"
 
 
 def pin_sorted(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """``df`` range-sorted on (group, order) and checkpointed.
+    """``df`` range-sorted on (group, order) and settled.
 
-    Adds ``_part``, the partition, and ``_seq``, the place in the sorted data. The
-    checkpoint fixes both, so later reads agree even after an executor is lost.
+    Adds ``_part``, the partition, and ``_seq``, the place in the sorted data. Both
+    are written once, so later reads agree even after an executor is lost.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     keys = [*group, *order]
-    return (df.repartitionByRange(*keys)
-              .sortWithinPartitions(*keys)
-              .withColumn(_SEQ, F.monotonically_increasing_id())
-              .withColumn(_PART, F.shiftright(F.col(_SEQ), 33))
-              .checkpoint())
+    return settle(df.repartitionByRange(*keys)
+                  .sortWithinPartitions(*keys)
+                  .withColumn(_SEQ, F.monotonically_increasing_id())
+                  .withColumn(_PART, F.shiftright(F.col(_SEQ), 33)))
 
 
 def _starts(pinned: DataFrame, group: Sequence[str], weight: Column) -> DataFrame:
@@ -43,10 +41,10 @@ def _starts(pinned: DataFrame, group: Sequence[str], weight: Column) -> DataFram
         F.sum(weight).alias("_own"), F.min(_SEQ).alias("_first"))
     in_group = Window.partitionBy(*group)
     before = in_group.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select(
+    return measured(parts.select(
         *group, _PART, "_own", "_first",
         F.coalesce(F.sum("_own").over(before), F.lit(0)).alias("_before"),
-        F.sum("_own").over(in_group).alias("_total"))
+        F.sum("_own").over(in_group).alias("_total")))
 
 
 def _with_starts(pinned: DataFrame, starts: DataFrame, group: Sequence[str]) -> DataFrame:

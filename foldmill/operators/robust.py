@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.functions import stats
-from foldmill.operators.keys import having_key, lacking_key
+from foldmill.operators.keys import measured
 from foldmill.operators.ranking import pin_sorted, pinned_median
 
 # A group up to this size is summarised as one array in one task.
@@ -51,14 +51,15 @@ def summarise_unbounded(observed: DataFrame, background: DataFrame, key: Sequenc
     counted = (background.filter(F.col(value).isNotNull())
                .groupBy(*key, value).agg(F.count("*").alias("_weight")))
     pinned = pin_sorted(counted, key, [value])
-    medians = pinned_median(pinned, key, value, "_weight").withColumnRenamed("median", "median_mfe")
+    medians = measured(pinned_median(pinned, key, value, "_weight")
+                       .withColumnRenamed("median", "median_mfe"))
     spread = (pinned.join(medians, key)
               .groupBy(*key, F.abs(F.col(value) - F.col("median_mfe")).alias("_spread"))
               .agg(F.sum("_weight").alias("_weight")))
     mads = (pinned_median(pin_sorted(spread, key, ["_spread"]), key, "_spread", "_weight")
             .select(*key, F.col("median").alias("mad")))
-    at_most = (pinned.join(observed.select(*key, observed_value), key)
-               .filter(F.col(value) <= F.col(observed_value))
+    limits = measured(observed.select(*key, F.col(observed_value).alias("_limit")))
+    at_most = (pinned.join(limits, key).filter(F.col(value) <= F.col("_limit"))
                .groupBy(*key).agg(F.sum("_weight").alias("at_most")))
     return (observed.join(medians, key, "left").join(mads, key, "left").join(at_most, key, "left")
             .withColumn("n_valid", F.coalesce("n", F.lit(0)))
@@ -74,14 +75,16 @@ def summarise(observed: DataFrame, background: DataFrame, key: Sequence[str],
     The group sizes are measured first. Groups above ``max_group_rows`` take the
     range-sorted way, all others the array way.
     """
-    hot = (background.groupBy(*key).agg(F.count(value).alias("_rows"))
-           .filter(F.col("_rows") > max_group_rows).drop("_rows"))
-    if hot.isEmpty():
+    sizes = background.groupBy(*key).agg(F.count(value).alias("_rows"))
+    if (sizes.agg(F.max("_rows")).first()[0] or 0) <= max_group_rows:
         return summarise_bounded(observed, background, key, observed_value, value)
-    cold = summarise_bounded(lacking_key(observed, hot, key), lacking_key(background, hot, key),
-                             key, observed_value, value)
-    large = summarise_unbounded(having_key(observed, hot, key), having_key(background, hot, key),
-                                key, observed_value, value)
+    hot = measured(sizes.filter(F.col("_rows") > max_group_rows).drop("_rows"))
+    cold = summarise_bounded(
+        observed.join(hot, list(key), "left_anti"), background.join(hot, list(key), "left_anti"),
+        key, observed_value, value)
+    large = summarise_unbounded(
+        observed.join(hot, list(key), "left_semi"), background.join(hot, list(key), "left_semi"),
+        key, observed_value, value)
     return cold.unionByName(large)
 
 

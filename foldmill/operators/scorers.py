@@ -28,8 +28,10 @@ class LetterGraph:
 
     def __init__(self, seq: str):
         self.seq = seq
-        letters = np.array(list(seq))
-        self.exits = {str(v): letters[1:][letters[:-1] == v] for v in np.unique(letters)}
+        # Letters are code points here.
+        self.letters = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.exits = {v: self.letters[1:][self.letters[:-1] == v]
+                      for v in np.unique(self.letters).tolist()}
         self.targets = {letter: exits.tolist() for letter, exits in self.exits.items()}
 
     def shuffle(self, rng: np.random.Generator) -> str:
@@ -47,15 +49,15 @@ class LetterGraph:
                 rest = rng.permutation(rest[:-1]).tolist()
                 rest.append(self.targets[letter][last])
                 walks[letter] = iter(rest)
-        letter = self.seq[0]
+        letter = int(self.letters[0])
         order = [letter]
         for _ in range(len(self.seq) - 1):
             letter = next(walks[letter])
             order.append(letter)
-        return "".join(order)
+        return np.array(order, np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
 
-    def _last_exits(self, rng: np.random.Generator) -> dict[str, int]:
-        end, tree, targets, draw = self.seq[-1], {}, self.targets, rng.random
+    def _last_exits(self, rng: np.random.Generator) -> dict[int, int]:
+        end, tree, targets, draw = int(self.letters[-1]), {}, self.targets, rng.random
         for start in targets:
             letter, path = start, {}
             while letter != end and letter not in tree:

@@ -24,8 +24,8 @@ from foldmill.operators.scorers import LetterGraph, iteration_rng
 # Table cells one block may fill; keeps a block's memory near 100 MB.
 BLOCK_CELLS = 16_000_000
 MAX_BLOCK = 256
-# Cells one task should fill, a minute or so of work.
-TASK_CELLS = 2_000_000_000
+# Cells one task should fill, some ten seconds of work.
+TASK_CELLS = 200_000_000
 
 
 def sequence_cells(length: Column, max_span: int | None) -> Column:
@@ -48,11 +48,11 @@ def work_blocks(sequences: DataFrame, max_span: int | None = None,
 
 
 def task_count(sequences: DataFrame, max_span: int | None = None) -> int:
-    """Number of tasks for the total work, and at least one per core."""
+    """Number of tasks for the total work, and at least four per core."""
     work = sequences.agg(F.sum(sequence_cells(F.length("seq"), max_span)
                                * (F.col("n_shuffles") + 1)).alias("cells")).first().cells or 0
     cores = sequences.sparkSession.sparkContext.defaultParallelism
-    return max(cores, min(int(work / TASK_CELLS) + 1, 200_000))
+    return max(4 * cores, min(int(work / TASK_CELLS) + 1, 200_000))
 
 
 def spread(blocks: DataFrame, tasks: int) -> DataFrame:

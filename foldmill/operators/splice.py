@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foldmill.functions.attributes import tab_field
 from foldmill.functions.sequences import reverse_complement
 from foldmill.operators.transcripts import feature_lines, with_parent
 
@@ -49,10 +50,8 @@ def _cut_long(segments: DataFrame, bin_size: int) -> DataFrame:
 
 def features(lines: DataFrame, anchored: bool = False) -> DataFrame:
     """Exon and coding lines as ``tx_id, type, seqid, start, end, strand``."""
-    fields = F.split(F.col("raw"), "\t")
-
     def field(number: int) -> Column:
-        return F.get(fields, F.lit(number))
+        return tab_field(F.col("raw"), number)
 
     return (with_parent(feature_lines(lines, ["exon", "CDS"]), anchored)
             .select("tx_id", field(2).alias("type"), field(0).alias("seqid"),
@@ -107,23 +106,25 @@ def splice(models: DataFrame, pieces: DataFrame, bin_size: int = BIN_SIZE) -> Da
 
     A transcript is left out when part of an exon lies outside the genome.
     """
-    exons = (models.select("tx_id", "seqid", F.explode("exons").alias("exon"))
-             .select("tx_id", "seqid", "exon.start", "exon.end")
+    model = ["tx_id", "strand", "length", "cds_start", "cds_end"]
+    exons = (models.select(*model, "seqid", F.explode("exons").alias("exon"))
+             .select(*model, "seqid", "exon.start", "exon.end")
              .withColumn("bin", F.explode(F.sequence(bin_of(F.col("start"), bin_size),
                                                      bin_of(F.col("end"), bin_size)))))
     piece_end = F.col("piece_start") + F.length("seq") - 1
     begin = F.greatest("start", "piece_start")
     size = F.least(F.col("end"), piece_end) - begin + 1
-    fragments = (exons.join(pieces, ["seqid", "bin"])
+    # The exploded sides outgrow what Spark estimates for them, so neither may be
+    # broadcast on that estimate. A crowded bin is split by the skew-join rule.
+    fragments = (exons.join(pieces.hint("merge"), ["seqid", "bin"])
                  .filter((F.col("piece_start") <= F.col("end")) & (piece_end >= F.col("start")))
-                 .select("tx_id", begin.alias("at"),
+                 .select(*model, begin.alias("at"),
                          F.substring("seq", (begin - F.col("piece_start") + 1).cast("int"),
                                      size.cast("int")).alias("bases")))
-    joined = fragments.groupBy("tx_id").agg(F.array_join(F.transform(
+    joined = fragments.groupBy(*model).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("at", "bases"))), lambda f: f["bases"]),
         "").alias("_plus"))
-    return (models.join(joined, "tx_id")
-            .filter(F.length("_plus") == F.col("length"))
+    return (joined.filter(F.length("_plus") == F.col("length"))
             .select("tx_id",
                     F.when(F.col("strand") == "-", reverse_complement(F.col("_plus")))
                      .otherwise(F.col("_plus")).alias("seq"), "cds_start", "cds_end"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from foldmill.fixed_values import LONGEST_CDS, TRANSCRIPT_TYPES
 from foldmill.functions import attributes as attrs
 from foldmill.functions.ids import normalise_id, original_id
-from foldmill.operators.keys import having_key, keep_last, top_rows
+from foldmill.operators.keys import having_key, measured, top_rows
 
 
 def requested_genes(raw_ids: DataFrame, column: str = "value") -> DataFrame:
@@ -63,28 +63,30 @@ def with_parent(lines: DataFrame, anchored: bool = False) -> DataFrame:
             .withColumn("tx_id", normalise_id(F.col("_parent"))).drop("_parent"))
 
 
-def coding_lengths(lines: DataFrame, anchored: bool = False) -> DataFrame:
-    """Total coding length per parent transcript."""
-    fields = F.split(F.col("raw"), "\t")
-    span = (F.get(fields, F.lit(4)).try_cast("bigint")
-            - F.get(fields, F.lit(3)).try_cast("bigint") + 1)
+def coding_lengths(lines: DataFrame, valid: DataFrame, anchored: bool = False) -> DataFrame:
+    """Total coding length of each transcript in ``valid`` that has coding lines."""
+    first, last = (attrs.tab_field(F.col("raw"), n).try_cast("bigint") for n in (3, 4))
+    span = last - first + 1
     return (with_parent(feature_lines(lines, ["CDS"]), anchored)
-            .select("tx_id", span.alias("_span"))
-            .groupBy("tx_id").agg(F.sum("_span").alias("cds_len")))
+            .join(valid.select("tx_id"), "tx_id", "left_semi")
+            .groupBy("tx_id").agg(F.sum(span).alias("cds_len")))
 
 
 def candidates(lines: DataFrame, genes: DataFrame, tags: Sequence[str] = (),
                anchored: bool = False) -> DataFrame:
-    """Transcripts of the requested genes with tags and coding length.
+    """Transcripts of the requested genes with tag rank and coding length.
 
     A transcript id that occurs on several lines keeps the tags of its last line
     and its first place in the file.
     """
     listed = having_key(transcript_lines(lines, tags, anchored), genes, ["gene_id"])
-    latest = keep_last(listed, ["tx_id"], ["pos"]).select("tx_id", "orig_tx_id", "tags", "tag_rank")
-    places = listed.groupBy("gene_id", "tx_id").agg(F.min("pos").alias("pos"))
-    return (places.join(latest, "tx_id")
-            .join(coding_lengths(lines, anchored), "tx_id", "left")
+    pairs = measured(listed.groupBy("gene_id", "tx_id").agg(
+        F.min("pos").alias("pos"),
+        F.max(F.struct("pos", "orig_tx_id", "tag_rank")).alias("line")))
+    latest = (pairs.groupBy("tx_id").agg(F.max("line").alias("last"))
+              .select("tx_id", "last.orig_tx_id", "last.tag_rank"))
+    return (pairs.select("gene_id", "tx_id", "pos").join(latest, "tx_id")
+            .join(coding_lengths(lines, pairs, anchored), "tx_id", "left")
             .withColumn("cds_len", F.coalesce("cds_len", F.lit(0))))
 
 

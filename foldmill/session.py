@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -28,19 +29,29 @@ def builder(app_name: str = "foldmill"):
     return session_builder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make sure ``checkpoint()`` writes to the folder the cluster names.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     A temporary folder is used only in local mode, where one machine runs
     everything; elsewhere a missing setting is an error.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="foldmill-checkpoint-"))
-    else:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="foldmill-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Writes ``df`` as a table in the shared folder and reads it back.
+
+    Cuts lineage like a checkpoint: the rows are computed once, survive the loss of
+    executors, and are the same for every later read. Later reads fetch only the
+    columns they use.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/foldmill/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

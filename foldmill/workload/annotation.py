@@ -12,6 +12,7 @@ from foldmill.functions import attributes as attrs
 from foldmill.functions.ids import normalise_id, original_id
 from foldmill.operators import transcripts
 from foldmill.operators.keys import having_key, keep_last
+from foldmill.session import settle
 from foldmill.sources.gff import parse_columns
 from foldmill.workload.registry import query, table
 
@@ -115,6 +116,11 @@ def annotation_lines(spark, sf_dir) -> DataFrame:
     return spark.sql(text, **{n: table(spark, sf_dir, n) for n in ("orders", "lineitem", "region")})
 
 
+def ingested_lines(spark, sf_dir) -> DataFrame:
+    """The lines as a stored table, for queries that read them more than once."""
+    return settle(annotation_lines(spark, sf_dir))
+
+
 def gene_list(spark, sf_dir) -> DataFrame:
     lines = spark.sql(_GENE_LINES.replace("FROM customer", "FROM {customer}"),
                       customer=table(spark, sf_dir, "customer"))
@@ -188,14 +194,14 @@ def requested_semi(spark, sf_dir):
 @query(f"WITH {_CTES} SELECT gene_id, tx_id, cds_len FROM cand")
 def cds_length_sum(spark, sf_dir):
     """Coding length per candidate transcript, zero where it has none."""
-    return transcripts.candidates(annotation_lines(spark, sf_dir), gene_list(spark, sf_dir), TAGS
+    return transcripts.candidates(ingested_lines(spark, sf_dir), gene_list(spark, sf_dir), TAGS
                                   ).select("gene_id", "tx_id", "cds_len")
 
 
 @query(f"WITH {_CTES} SELECT * FROM selected")
 def best_by_priority(spark, sf_dir):
     """One transcript per gene by tag priority and coding length."""
-    return transcripts.select_transcripts(annotation_lines(spark, sf_dir),
+    return transcripts.select_transcripts(ingested_lines(spark, sf_dir),
                                           gene_list(spark, sf_dir), TAGS)
 
 
@@ -206,7 +212,7 @@ SELECT stripped_id, count(*) AS n_lines FROM owned
 WHERE stripped_id IN (SELECT stripped_id FROM selected) GROUP BY stripped_id""")
 def filtered_annotation(spark, sf_dir):
     """Annotation lines of the chosen transcripts, counted per transcript."""
-    lines = annotation_lines(spark, sf_dir)
+    lines = ingested_lines(spark, sf_dir)
     chosen = transcripts.select_transcripts(lines, gene_list(spark, sf_dir), TAGS)
     return transcripts.selected_lines(lines, chosen).groupBy("stripped_id").agg(
         F.count("*").alias("n_lines"))
