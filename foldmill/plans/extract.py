@@ -55,7 +55,7 @@ def run_extraction(spark: SparkSession, config: ExtractConfig, force: bool = Fal
         cut = extraction.cut_regions(kept, config.regions_to_extract,
                                      config.codon_flank_length, config.tail_length)
         cut.write.mode("overwrite").partitionBy("region").parquet(f"{out}/regions")
-        regions = spark.read.parquet(f"{out}/regions")
+        regions = spark.read.schema(cut.schema).parquet(f"{out}/regions")
         if config.output_mode == "multifasta":
             sinks.write_fasta(regions, f"{out}/fasta", config.regions_to_extract)
         else:

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from foldmill.fixed_values import RESULT_SCHEMA
 from foldmill.operators.collate import collate_results
+from foldmill.session import settle
 
 
 def result_stream(spark: SparkSession, results_dir: str) -> DataFrame:
@@ -20,8 +21,10 @@ def collate_stream(spark: SparkSession, results_dir: str, manifest: DataFrame |
                    out: str, checkpoint: str) -> StreamingQuery:
     """Appends collated rows to the Parquet table ``out`` until all files are read.
 
-    The same join as the batch step; a restart goes on after the last batch.
+    The same join as the batch step; a restart goes on after the last batch. The
+    manifest is stored first, so a batch does not parse it again.
     """
-    combined = collate_results(result_stream(spark, results_dir), manifest)
+    metadata = settle(manifest) if manifest is not None else None
+    combined = collate_results(result_stream(spark, results_dir), metadata)
     return (combined.writeStream.outputMode("append").trigger(availableNow=True)
             .option("checkpointLocation", checkpoint).format("parquet").start(out))
