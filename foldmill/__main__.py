@@ -41,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     plan.add_argument("--list", help="file with one sequence name per line")
     missing = steps.add_parser("missing", help="list sequences without a result")
     missing.add_argument("tiers", type=int, nargs="*")
-    missing.add_argument("--out", help="folder to write the names to")
+    missing.add_argument("--out", help="folder for the names, by default TIER_ROOT/missing")
 
     collate = steps.add_parser("collate", help="combine results with the manifest")
     collate.add_argument("--results-dir", default=os.environ.get("RESULTS_DIR", "results/rnafold"))
@@ -89,12 +89,10 @@ def _run(spark, args) -> None:
     elif args.step == "submit":
         score.plan_submission(spark, run, names).show(truncate=False)
     elif args.step == "missing":
-        missing = score.find_missing(spark, run, args.tiers or None).select("seqname")
-        if args.out:
-            missing.write.mode("overwrite").text(args.out)
-        else:
-            for row in missing.toLocalIterator():
-                print(row.seqname)
+        out = args.out or f"{run.tier_root}/missing"
+        score.find_missing(spark, run, args.tiers or None).select("seqname") \
+            .write.mode("overwrite").text(out)
+        print(f"{spark.read.text(out).count()} unfinished sequences listed in {out}")
     else:
         scored = score.run_scoring(spark, run, _scorer(args, run), names, args.tiers,
                                    args.n_shuffles, not args.skip_failed)

@@ -49,15 +49,16 @@ def work_blocks(sequences: DataFrame, max_span: int | None = None,
 
 def task_count(sequences: DataFrame, max_span: int | None = None) -> int:
     """Number of tasks for the total work, and at least four per core."""
-    work = sequences.agg(F.sum(sequence_cells(F.length("seq"), max_span)
+    length = F.col("length") if "length" in sequences.columns else F.length("seq")
+    work = sequences.agg(F.sum(sequence_cells(length, max_span)
                                * (F.col("n_shuffles") + 1)).alias("cells")).first().cells or 0
     cores = sequences.sparkSession.sparkContext.defaultParallelism
     return max(4 * cores, min(int(work / TASK_CELLS) + 1, 200_000))
 
 
 def spread(blocks: DataFrame, tasks: int) -> DataFrame:
-    """Blocks spread over tasks by sequence and iteration."""
-    return blocks.repartition(tasks, "seqname", "first")
+    """Blocks dealt out evenly to tasks, whatever their sequence."""
+    return blocks.repartition(tasks)
 
 
 def shuffled(sequences: DataFrame, seed: int = 0, tasks: int | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ def read_sequences(spark: SparkSession, run: RunConfig) -> DataFrame:
     """``seqname, seq, length`` of the regions the manifest names."""
     regions = read_if_exists(spark, f"{run.multifasta_dir}/regions")
     if regions is None:
-        records = fasta.read_records(spark, f"{run.multifasta_dir}/fasta")
+        records = fasta.read_latest_records(spark, f"{run.multifasta_dir}/fasta")
         regions = records.withColumnRenamed("name", "seqname")
     listed = tables.read_manifest(spark, run.manifest_tsv)
     return having_key(regions, listed, ["region"]).select(

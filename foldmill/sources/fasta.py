@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from foldmill.functions.ids import normalise_id
 from foldmill.functions.sequences import fasta_body, fasta_header, fasta_name
 from foldmill.operators.extraction import with_cds_bounds
+from foldmill.operators.keys import keep_last, measured
 from foldmill.operators.splice import BIN_SIZE, cut_into_bins
-from foldmill.sources.text import ordered_lines
+from foldmill.session import settle
+from foldmill.sources.text import ordered_lines, place_in_file
 
 
 def parse_records(records: DataFrame, record: str = "value") -> DataFrame:
@@ -32,6 +34,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return parse_records(spark.read.text(path, lineSep="\n>"))
 
 
+def read_latest_records(spark: SparkSession, path: str) -> DataFrame:
+    """Like :func:`read_records`, with one row per name: the last in the files."""
+    rows = spark.read.text(path, lineSep="\n>").select("*", place_in_file().alias("pos"))
+    return keep_last(parse_records(rows), ["name"], ["pos"]).drop("pos")
+
+
 def read_mrna(spark: SparkSession, path: str) -> DataFrame:
     """Spliced transcripts whose headers carry ``CDS=<first>-<last>``."""
     return with_cds_bounds(read_records(spark, path)).withColumn(
@@ -46,28 +54,31 @@ def read_genome(spark: SparkSession, path: str, bin_size: int = BIN_SIZE) -> Dat
 def genome_pieces(lines: DataFrame, bin_size: int = BIN_SIZE) -> DataFrame:
     """Genome pieces of FASTA lines with ``raw`` and ``pos``.
 
-    Lines are joined to segments within their input split; a segment is part of
-    one record. One small row per segment then tells which record it belongs to
-    and where in the record it starts.
+    Lines are joined to chunks within their input split. Within a split, part 0 is
+    the rest of a record that began before it, and every header starts a new part.
+    Only part 0 has to learn its record and place from the splits before it, which
+    takes one small row per split.
     """
-    split = ["pos.file", "pos.block"]
-    raw = F.rtrim(F.regexp_replace(F.col("raw"), "[ \\r]", ""))
+    raw = F.translate("raw", " \r", "")
     in_split = Window.partitionBy("file", "block").orderBy("line")
-    located = (lines.select(*split, "pos.line", "raw")
-               .withColumn("is_header", F.col("raw").startswith(">"))
-               .withColumn("part", F.sum(F.col("is_header").cast("int")).over(in_split)))
-    in_part = (Window.partitionBy("file", "block", "part").orderBy("line")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    body = (located.withColumn("bases", F.when(F.col("is_header"), F.lit("")).otherwise(raw))
-            .withColumn("offset", F.coalesce(F.sum(F.length("bases")).over(in_part), F.lit(0))))
-    chunks = (body.groupBy("file", "block", "part", F.floor(F.col("offset") / bin_size).alias("chunk"))
-              .agg(F.max(F.when(F.col("is_header"), fasta_name(F.substring(F.col("raw"), 2, 1 << 30))))
-                   .alias("name"),
-                   F.min("offset").alias("offset"), _joined("line", "bases").alias("seq")))
-    owners = _segment_owners(chunks)
-    same = ["file", "block", "part"]
-    segments = chunks.drop("name").join(owners, same).select(
-        "seqid", (F.col("segment_start") + F.col("offset")).alias("seq_start"), "seq")
+    part = Window.partitionBy("file", "block", "part")
+    before = part.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    header = F.col("raw").startswith(">")
+    name = F.when(header, fasta_name(F.expr("substring(raw, 2)")))
+    located = (lines.select("pos.file", "pos.block", "pos.line",
+                            name.alias("header"), F.when(header, "").otherwise(raw).alias("bases"))
+               .withColumn("part", F.count("header").over(in_split))
+               .withColumn("name", F.max("header").over(part))
+               .withColumn("offset", F.coalesce(F.sum(F.length("bases")).over(before), F.lit(0))))
+    chunks = settle(
+        located.groupBy("file", "block", "part", "name", F.floor(F.col("offset") / bin_size))
+        .agg(F.min("offset").alias("offset"), _joined("line", "bases").alias("seq"))
+        .select("file", "block", "part", "name", "offset", "seq", F.length("seq").alias("size")))
+    first = F.col("part") == 0
+    segments = chunks.join(measured(_carried(chunks)), ["file", "block"], "left").select(
+        F.when(first, F.col("owner")).otherwise(F.col("name")).alias("seqid"),
+        (F.when(first, F.coalesce("carried", F.lit(0))).otherwise(F.lit(0))
+         + F.col("offset") + 1).alias("seq_start"), "seq")
     return cut_into_bins(segments.filter(F.col("seqid") != ""), bin_size)
 
 
@@ -76,14 +87,16 @@ def _joined(order: str, text: str) -> Column:
     return F.array_join(F.transform(rows, lambda row: row[text]), "")
 
 
-def _segment_owners(chunks: DataFrame) -> DataFrame:
-    """Record name and 1-based start of every (file, block, part)."""
-    parts = chunks.groupBy("file", "block", "part").agg(
-        F.max("name").alias("name"), F.sum(F.length("seq")).alias("size"))
-    in_file = Window.partitionBy("file").orderBy("block", "part")
-    numbered = parts.withColumn("record", F.count("name").over(in_file))
-    in_record = Window.partitionBy("file", "record")
-    before = in_record.orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
-    return numbered.select(
-        "file", "block", "part", F.max("name").over(in_record).alias("seqid"),
-        (F.coalesce(F.sum("size").over(before), F.lit(0)) + 1).alias("segment_start"))
+def _carried(chunks: DataFrame) -> DataFrame:
+    """Per split: the record open at its start, and how much of it came before."""
+    parts = chunks.groupBy("file", "block", "part", "name").agg(F.sum("size").alias("size"))
+    last = F.max(F.struct("part", "name", "size"))
+    splits = parts.groupBy("file", "block").agg(last.alias("last")).select(
+        "file", "block", "last.name", "last.size")
+    in_file = Window.partitionBy("file").orderBy("block")
+    in_record = Window.partitionBy("file", "record").orderBy("block")
+    return (splits.withColumn("record", F.count("name").over(in_file))
+            .withColumn("name", F.first("name").over(in_record))
+            .withColumn("so_far", F.sum("size").over(in_record))
+            .select("file", "block", F.lag("name").over(in_file).alias("owner"),
+                    F.lag("so_far").over(in_file).alias("carried")))

@@ -34,6 +34,15 @@ def write_summary(summary: DataFrame, path: str) -> None:
     write_table(summary, path, sep=",")
 
 
+def write_results(results: DataFrame, path: str) -> None:
+    """Result rows as comma-separated text with four decimals and ``NA``."""
+    write_table(printed(results), path, sep=",", crlf=False)
+
+
+def write_raw_shuffles(raw: DataFrame, path: str) -> None:
+    write_table(raw, path, sep=",", crlf=False)
+
+
 def write_collated(collated: DataFrame, path: str) -> bool:
     """Writes a collated result table as printed text, unless it has no rows."""
     if collated.isEmpty():

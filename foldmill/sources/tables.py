@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from foldmill.fixed_values import (
     LENGTHS_SCHEMA, MANIFEST_SCHEMA, RAW_SCHEMA, RECOMMENDATION_SCHEMA, RESULT_SCHEMA)
 from foldmill.operators.collate import latest_manifest
+from foldmill.sources.text import place_in_file
 
 _QUOTING = {"quote": '"', "escape": '"'}
 
@@ -15,10 +16,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest rows; a sequence listed twice keeps its last row."""
     rows = (spark.read.schema(MANIFEST_SCHEMA)
             .options(sep="\t", header=True, enforceSchema=False, **_QUOTING).csv(path)
-            .select("*", F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line")).alias("pos")))
+            .select("*", place_in_file().alias("pos")))
     return latest_manifest(rows, ["pos"]).drop("pos")
 
 
