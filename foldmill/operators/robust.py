@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.functions import stats
-from foldmill.operators.keys import measured
+from foldmill.operators.keys import BROADCAST_ROWS, measured
 from foldmill.operators.ranking import pin_sorted, pinned_median
 
 # A group up to this size is summarised as one array in one task.
@@ -41,11 +41,13 @@ def summarise_arrays(rows: DataFrame, observed_value: str = "orig_mfe") -> DataF
 
 
 def summarise_unbounded(observed: DataFrame, background: DataFrame, key: Sequence[str],
-                        observed_value: str = "orig_mfe", value: str = "mfe") -> DataFrame:
+                        observed_value: str = "orig_mfe", value: str = "mfe",
+                        few_keys: bool = False) -> DataFrame:
     """Same columns as :func:`summarise_bounded`, for groups of any size.
 
     Equal values are counted before the first shuffle by key, and both medians
     come from range-sorted rows, so no group is gathered in one task.
+    ``few_keys`` says that ``observed`` was counted and is small enough to broadcast.
     """
     key = list(key)
     counted = (background.filter(F.col(value).isNotNull())
@@ -58,7 +60,9 @@ def summarise_unbounded(observed: DataFrame, background: DataFrame, key: Sequenc
               .agg(F.sum("_weight").alias("_weight")))
     mads = (pinned_median(pin_sorted(spread, key, ["_spread"]), key, "_spread", "_weight")
             .select(*key, F.col("median").alias("mad")))
-    limits = measured(observed.select(*key, F.col(observed_value).alias("_limit")))
+    limits = observed.select(*key, F.col(observed_value).alias("_limit"))
+    if few_keys:
+        limits = F.broadcast(limits)
     at_most = (pinned.join(limits, key).filter(F.col(value) <= F.col("_limit"))
                .groupBy(*key).agg(F.sum("_weight").alias("at_most")))
     return (observed.join(medians, key, "left").join(mads, key, "left").join(at_most, key, "left")
@@ -84,7 +88,7 @@ def summarise(observed: DataFrame, background: DataFrame, key: Sequence[str],
         key, observed_value, value)
     large = summarise_unbounded(
         observed.join(hot, list(key), "left_semi"), background.join(hot, list(key), "left_semi"),
-        key, observed_value, value)
+        key, observed_value, value, few_keys=hot.count() <= BROADCAST_ROWS)
     return cold.unionByName(large)
 
 

@@ -28,47 +28,50 @@ class LetterGraph:
 
     def __init__(self, seq: str):
         self.seq = seq
-        # Letters are code points here.
-        self.letters = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.exits = {v: self.letters[1:][self.letters[:-1] == v]
-                      for v in np.unique(self.letters).tolist()}
-        self.targets = {letter: exits.tolist() for letter, exits in self.exits.items()}
+        points = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.letters, codes = np.unique(points, return_inverse=True)
+        narrow = np.uint8 if len(self.letters) <= 256 else np.uint32
+        self.codes = codes.astype(narrow)
+        self.source = self.codes[:-1]
+        # Pair numbers in the order of their first letter, and where each letter's pairs are.
+        self.pairs = np.argsort(self.source, kind="stable")
+        bounds = np.searchsorted(self.source[self.pairs], np.arange(len(self.letters) + 1))
+        self.bounds = bounds.tolist()
+        self.targets = self.codes[1:][self.pairs].tolist()
 
     def shuffle(self, rng: np.random.Generator) -> str:
         if len(self.seq) < 4:
             return self.seq
-        tree = self._last_exits(rng)
-        walks = {}
-        for letter, exits in self.exits.items():
-            last = tree.get(letter)
-            if last is None:
-                walks[letter] = iter(rng.permutation(exits).tolist())
-            else:
-                rest = exits.copy()
-                rest[last] = exits[-1]
-                rest = rng.permutation(rest[:-1]).tolist()
-                rest.append(self.targets[letter][last])
-                walks[letter] = iter(rest)
-        letter = int(self.letters[0])
-        order = [letter]
+        # A stable sort of a random order leaves each letter's exits in random order.
+        order = rng.permutation(len(self.source))
+        order = order[np.argsort(self.source[order], kind="stable")]
+        for letter, pair in self._last_exits(rng).items():
+            exits = order[self.bounds[letter]:self.bounds[letter + 1]]
+            exits[np.argmax(exits == pair)] = exits[-1]
+            exits[-1] = pair
+        targets = self.codes[1:][order].tolist()
+        walks = [iter(targets[first:last]) for first, last in zip(self.bounds, self.bounds[1:])]
+        letter = int(self.codes[0])
+        path = [letter]
         for _ in range(len(self.seq) - 1):
             letter = next(walks[letter])
-            order.append(letter)
-        return np.array(order, np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+            path.append(letter)
+        return self.letters[path].tobytes().decode("utf-32-le", "surrogatepass")
 
     def _last_exits(self, rng: np.random.Generator) -> dict[int, int]:
-        end, tree, targets, draw = int(self.letters[-1]), {}, self.targets, rng.random
-        for start in targets:
+        """The pair by which the walk leaves each letter for the last time."""
+        end, tree, targets, bounds, draw = int(self.codes[-1]), {}, self.targets, self.bounds, rng.random
+        for start in range(len(self.letters)):
             letter, path = start, {}
             while letter != end and letter not in tree:
-                out = targets[letter]
-                path[letter] = int(draw() * len(out))
-                letter = out[path[letter]]
+                first, last = bounds[letter], bounds[letter + 1]
+                path[letter] = first + int(draw() * (last - first))
+                letter = targets[path[letter]]
             letter = start
             while letter != end and letter not in tree:
                 tree[letter] = path[letter]
-                letter = targets[letter][path[letter]]
-        return tree
+                letter = targets[path[letter]]
+        return {letter: int(self.pairs[place]) for letter, place in tree.items()}
 
 
 def dinucleotide_shuffle(seq: str, rng: np.random.Generator) -> str:
@@ -107,21 +110,21 @@ class PairingScorer:
         if span <= MIN_LOOP:
             return [0.0] * len(seqs)
         pair = self._pair_energies(seqs, size)
-        inside = [np.zeros((len(seqs), size - d), kind) for d in range(span + 1)]
+        inside = [np.zeros((size - d, len(seqs)), kind) for d in range(span + 1)]
         closed: dict[int, np.ndarray] = {}
-        # inside[d][:, i]: best energy of i..i+d. closed[d]: the same with i paired to i+d.
+        # inside[d][i]: best energy of i..i+d. closed[d]: the same with i paired to i+d.
         for d in range(MIN_LOOP + 1, span + 1):
             count = size - d
             energy = pair(d)
-            closed[d] = np.where(energy < 0, energy + inside[d - 2][:, 1:count + 1],
+            closed[d] = np.where(energy < 0, energy + inside[d - 2][1:count + 1],
                                  np.array(1, kind))
-            best = np.minimum(inside[d - 1][:, 1:], closed[d])
+            best = np.minimum(inside[d - 1][1:], closed[d])
             for k in range(MIN_LOOP + 1, d):
-                np.minimum(best, closed[k][:, :count] + inside[d - k - 1][:, k + 1:k + 1 + count],
+                np.minimum(best, closed[k][:count] + inside[d - k - 1][k + 1:k + 1 + count],
                            out=best)
             inside[d] = np.minimum(best, 0)
         if span == size - 1:
-            return inside[span][:, 0].astype(float).tolist()
+            return inside[span][0].astype(float).tolist()
         return self._chain(closed, span, size, len(seqs))
 
     @staticmethod
@@ -138,9 +141,9 @@ class PairingScorer:
         for (first, second), energy in PAIR_ENERGY.items():
             x, y = letters[ord(first)], letters[ord(second)]
             table[5 * x + y] = table[5 * y + x] = energy
-        codes = letters[codes]
+        codes = letters[np.ascontiguousarray(codes.T)]
         fives = codes * np.int8(5)
-        return lambda d: table[fives[:, :-d] + codes[:, d:]]
+        return lambda d: table[fives[:-d] + codes[d:]]
 
     @staticmethod
     def _chain(closed, span, size, count):
@@ -148,7 +151,7 @@ class PairingScorer:
         widths = range(span, MIN_LOOP, -1)
         ends = np.ones((size, len(widths), count), np.int32)
         for column, d in enumerate(widths):
-            ends[d:, column] = closed[d].T
+            ends[d:, column] = closed[d]
         best = np.zeros((size + span + 1, count), np.int32)
         for at in range(span + 1, size + span + 1):
             joined = ends[at - span - 1]

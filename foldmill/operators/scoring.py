@@ -24,6 +24,8 @@ from foldmill.operators.scorers import LetterGraph, iteration_rng
 # Table cells one block may fill; keeps a block's memory near 100 MB.
 BLOCK_CELLS = 16_000_000
 MAX_BLOCK = 256
+# Letters of one frame of shuffles.
+PORTION_LETTERS = 4_000_000
 # Cells one task should fill, some ten seconds of work.
 TASK_CELLS = 200_000_000
 
@@ -61,17 +63,31 @@ def spread(blocks: DataFrame, tasks: int) -> DataFrame:
     return blocks.repartition(tasks)
 
 
+def _portions(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows in lists of limited text, so a frame is neither tiny nor huge."""
+    portion, letters = [], 0
+    for row in rows:
+        portion.append(row)
+        letters += len(row[-1])
+        if letters > PORTION_LETTERS:
+            yield portion
+            portion, letters = [], 0
+    if portion:
+        yield portion
+
+
 def shuffled(sequences: DataFrame, seed: int = 0, tasks: int | None = None) -> DataFrame:
     """``seqname, iteration, seq``: the shuffles themselves, iterations 1..N."""
+    def draws(batch: pd.DataFrame) -> Iterator[tuple]:
+        for row in batch.itertuples(index=False):
+            graph = LetterGraph(row.seq)
+            for i in range(max(row.first, 1), row.first + row.count):
+                yield row.seqname, i, graph.shuffle(iteration_rng(seed, row.seqname, i))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                first = max(row.first, 1)
-                names = range(first, row.first + row.count)
-                graph = LetterGraph(row.seq)
-                yield pd.DataFrame({
-                    "seqname": row.seqname, "iteration": list(names),
-                    "seq": [graph.shuffle(iteration_rng(seed, row.seqname, i)) for i in names]})
+            for rows in _portions(draws(batch)):
+                yield pd.DataFrame(rows, columns=["seqname", "iteration", "seq"])
 
     blocks = spread(work_blocks(sequences, max_span=1), tasks or task_count(sequences, 1))
     return blocks.mapInPandas(run, "seqname string, iteration int, seq string")

@@ -117,8 +117,12 @@ def annotation_lines(spark, sf_dir) -> DataFrame:
 
 
 def ingested_lines(spark, sf_dir) -> DataFrame:
-    """The lines as a stored table, for queries that read them more than once."""
-    return settle(annotation_lines(spark, sf_dir))
+    """The lines as a stored table, for queries that read them more than once.
+
+    They are dealt out evenly first: parsing is the costly part of what follows, and
+    a small input file would leave all of it to one task.
+    """
+    return settle(annotation_lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism))
 
 
 def gene_list(spark, sf_dir) -> DataFrame:

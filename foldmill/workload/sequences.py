@@ -103,9 +103,9 @@ def fixed_format(spark, sf_dir):
 
 def _letter_pairs(sequences: DataFrame, *keys: str) -> DataFrame:
     """Counts of neighbouring letters; one pass over each sequence."""
-    letters = F.split("seq", "")
-    pairs = F.zip_with(F.slice(letters, 1, F.length("seq") - 1),
-                       F.slice(letters, 2, F.length("seq") - 1), lambda a, b: F.concat(a, b))
+    two = F.lit("(?s)..")
+    pairs = F.concat(F.regexp_extract_all("seq", two, F.lit(0)),
+                     F.regexp_extract_all(F.expr("substring(seq, 2)"), two, F.lit(0)))
     return (sequences.filter(F.length("seq") > 1).select(*keys, F.explode(pairs).alias("pair"))
             .groupBy(*keys, "pair").agg(F.count("*").alias("n")))
 
