@@ -24,6 +24,10 @@ def parser() -> argparse.ArgumentParser:
     extract.add_argument("-v", "--verbose", action="store_true")
     extract.add_argument("--force", action="store_true", help="run even if outputs are current")
 
+    extract.add_argument("--mrna-fasta", help="spliced transcripts to use instead of splicing")
+    extract.add_argument("--strict-attributes", action="store_true",
+                         help="read annotation attributes only where they start")
+
     steps.add_parser("stratify", help="assign length tiers")
     for name, text in (("calibrate", "time samples and recommend resources"),
                        ("score", "fold and score unfinished sequences")):
@@ -70,7 +74,8 @@ def main(argv: list[str] | None = None) -> int:
 
 def _run(spark, args) -> None:
     if args.step == "extract":
-        counts = run_extraction(spark, ExtractConfig.load(args.config), args.force)
+        counts = run_extraction(spark, ExtractConfig.load(args.config), args.force,
+                                args.strict_attributes, args.mrna_fasta)
         if counts is not None:
             counts.show(truncate=False)
         return

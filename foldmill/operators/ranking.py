@@ -20,6 +20,7 @@ from foldmill.session import settle
 
 _PART = "_part"
 _SEQ = "_seq"
+_TIE = "_tie"
 
 
 def pin_sorted(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -57,12 +58,16 @@ def _with_starts(pinned: DataFrame, starts: DataFrame, group: Sequence[str]) ->
 
 def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
                name: str = "idx") -> DataFrame:
-    """Adds the 0-based place of each row in its group, or in all rows for no group."""
-    pinned = pin_sorted(df, group, order)
+    """Adds the 0-based place of each row in its group, or in all rows for no group.
+
+    Rows that tie in ``order`` are also ordered by the partition they come from, so
+    many equal rows spread over several ranges.
+    """
+    pinned = pin_sorted(df.withColumn(_TIE, F.spark_partition_id()), group, [*order, _TIE])
     starts = _starts(pinned, group, F.lit(1)).select(*group, _PART, "_first", "_before")
     return (_with_starts(pinned, starts, group)
-                  .withColumn(name, F.col("_before") + F.col(_SEQ) - F.col("_first"))
-                  .drop(_PART, _SEQ, "_first", "_before"))
+            .withColumn(name, F.col("_before") + F.col(_SEQ) - F.col("_first"))
+            .drop(_PART, _SEQ, _TIE, "_first", "_before"))
 
 
 def pinned_median(pinned: DataFrame, group: Sequence[str], value: str,

@@ -18,7 +18,7 @@ def run_collate(spark: SparkSession, results_dir: str, manifest: str, out_dir: s
                 raw_dir: str | None = None, text_results: bool = False) -> DataFrame:
     """Writes the combined tables and returns the combined results.
 
-    ``text_results`` reads result files written one per sequence, otherwise the
+    Rows are written in the order of their sequence names. ``text_results`` reads result files written one per sequence, otherwise the
     Parquet tables of the scoring step are read. ``raw_dir`` adds the shuffles.
     """
     metadata = _manifest_or_none(spark, manifest)
@@ -27,15 +27,15 @@ def run_collate(spark: SparkSession, results_dir: str, manifest: str, out_dir: s
     if results is None:
         raise FileNotFoundError(f"no results in {results_dir}")
     combined = collate.collate_results(results, metadata)
-    sinks.write_collated(combined, f"{out_dir}/combined_rnafold.tsv")
+    sinks.write_collated(combined.orderBy("seqname"), f"{out_dir}/combined_rnafold.tsv")
     if raw_dir:
         raw = (tables.read_raw_shuffles(spark, raw_dir) if text_results
                else read_if_exists(spark, raw_dir))
         if raw is None:
             log.error("No raw shuffles in %s", raw_dir)
         else:
-            sinks.write_collated(collate.collate_raw(raw, metadata),
-                                 f"{out_dir}/combined_rnafold_raw_shuffles.tsv")
+            shuffles = collate.collate_raw(raw, metadata).orderBy("seqname", "iteration")
+            sinks.write_collated(shuffles, f"{out_dir}/combined_rnafold_raw_shuffles.tsv")
     return combined
 
 

@@ -36,6 +36,10 @@ def run_stratify(spark: SparkSession, run: RunConfig) -> DataFrame:
     sinks.write_tiers(tiered, f"{run.tier_root}/tiers")
     written = spark.read.parquet(f"{run.tier_root}/tiers")
     sinks.write_lengths(written, f"{run.tier_root}/lengths.tsv")
+    orphans = stratify.orphan_sequences(
+        written.select("seqname"), tables.read_manifest(spark, run.manifest_tsv)).count()
+    if orphans:
+        log.warning("%d sequences are not in the manifest.", orphans)
     return stratify.with_total(stratify.tier_counts(written, run.tier_bounds))
 
 

@@ -84,6 +84,12 @@ def test_index_and_median_of_one_large_group(spark):
     assert medians == {g: statistics.median(v) for g, v in groups.items()}
 
 
+def test_index_of_equal_rows(spark):
+    rows = spark.range(0, 3000, 1, 12).select(F.lit("g").alias("g"), F.lit(1).alias("v"))
+    indexed = ranking.with_index(rows, ["g"], ["v"])
+    assert sorted(r.idx for r in indexed.collect()) == list(range(3000))
+
+
 def test_index_over_all_rows_and_null_groups(spark):
     rows = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, v int")
     assert {(r.g, r.v): r.idx for r in ranking.with_index(rows, ["g"], ["v"]).collect()} == \

@@ -96,6 +96,16 @@ def test_extraction(spark, inputs):
     assert (summary["G1"].CDS_Length, summary["G1"]["5UTR_Length"], summary["G1"]["3UTR_Length"]) == ("50", "10", "30")
 
 
+def test_given_transcripts_replace_splicing(spark, inputs, tmp_path):
+    (tmp_path / "mrna.fa").write_text(f">transcript:T1.1 CDS=11-60\n{T1}\n>T3.2 CDS=31-80\n{T3}\n>T9\nACGT\n")
+    config = ExtractConfig.from_mapping(inputs)
+    counts = {r.Status: r["count"] for r in run_extraction(
+        spark, config, mrna_fasta=f"{tmp_path}/mrna.fa").collect()}
+    assert counts == {"Missing": 1, "No_CDS_in_FASTA": 3, "Success": 2}
+    regions = {r.name: r.seq for r in fasta.read_records(spark, f"{config.output_dir}/fasta").collect()}
+    assert regions["G1_T1.1_CDS"] == T1[10:60] and regions["G2_T3.2_3UTR"] == T3[80:]
+
+
 def test_extraction_skips_current_outputs(spark, inputs, tmp_path):
     config = ExtractConfig.from_mapping(inputs)
     assert run_extraction(spark, config) is not None
@@ -236,6 +246,9 @@ def test_steps_from_regions_to_tables(spark, inputs, tmp_path):
     assert combined.columns == ["seqname", *collate.MANIFEST_COLUMNS, "orig_mfe", "median_mfe", "pvalue",
                                 "zscore", "n_valid", "n_missing", "n_shuffles_requested"]
     assert combined.filter("gene_id = 'G1'").count() == 7
+    parts = sorted((tmp_path / "final" / "combined_rnafold.tsv").glob("part-*"))
+    names = [row.split("\t")[0] for part in parts for row in part.read_text().splitlines()[1:]]
+    assert names == sorted(names) and len(names) == total
     raw = spark.read.csv(f"{tmp_path}/final/combined_rnafold_raw_shuffles.tsv", sep="\t", header=True)
     assert raw.count() == spark.read.parquet(run.raw_shuffles_dir).count() > 0
     with pytest.raises(RuntimeError):
