@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 
 import duckdb
@@ -42,11 +41,5 @@ def differences(result: DataFrame, connection, sql: str) -> list[str]:
     got = sorted(([row[c] for c in columns] for row in result.collect()), key=_sortable)
     if len(want) != len(got):
         return found + [f"rows {len(got)} != {len(want)}"]
-    bad = [(g, w) for g, w in zip(got, want) if not all(map(_same, g, w))]
+    bad = [(g, w) for g, w in zip(got, want) if g != w]
     return found + [f"{len(bad)} rows differ, first {bad[0]}"] if bad else found
-
-
-def _same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return a == b or math.isclose(a, b, rel_tol=1e-12)
-    return a == b
