@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldmill.session import settle
 
-# A key or summary table up to this many rows is broadcast; above, Spark shuffles.
+# A key or summary table within these bounds is broadcast; beyond, Spark shuffles.
 BROADCAST_ROWS = 200_000
+BROADCAST_TEXT_BYTES = 64_000_000
 
 
 def key_set(df: DataFrame, *columns: str | Column) -> DataFrame:
@@ -17,13 +18,22 @@ def key_set(df: DataFrame, *columns: str | Column) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def is_small(stored: DataFrame) -> bool:
+    """Whether a stored narrow table has few enough rows and text to be broadcast."""
+    text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in stored.dtypes
+            if kind == "string"]
+    size = stored.agg(F.count("*").alias("rows"),
+                      F.coalesce(F.sum(sum(text, F.lit(0))), F.lit(0)).alias("text")).first()
+    return size["rows"] <= BROADCAST_ROWS and size["text"] <= BROADCAST_TEXT_BYTES
+
+
 def measured(df: DataFrame) -> DataFrame:
     """Computes a narrow table once, and marks it for broadcast if it is small.
 
-    The table is settled, so readers share one result and its counted size.
+    The table is settled, so readers share one result and its measured size.
     """
-    fixed = settle(df)
-    return F.broadcast(fixed) if fixed.count() <= BROADCAST_ROWS else fixed
+    stored = settle(df)
+    return F.broadcast(stored) if is_small(stored) else stored
 
 
 def having_key(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.functions import stats
-from foldmill.operators.keys import BROADCAST_ROWS, measured
+from foldmill.operators.keys import is_small, measured
 from foldmill.operators.ranking import pin_sorted, pinned_median
 
 # A group up to this size is summarised as one array in one task.
@@ -47,7 +47,7 @@ def summarise_unbounded(observed: DataFrame, background: DataFrame, key: Sequenc
 
     Equal values are counted before the first shuffle by key, and both medians
     come from range-sorted rows, so no group is gathered in one task.
-    ``few_keys`` says that ``observed`` was counted and is small enough to broadcast.
+    ``few_keys`` says that the keys were measured and are few enough to broadcast.
     """
     key = list(key)
     counted = (background.filter(F.col(value).isNotNull())
@@ -88,7 +88,7 @@ def summarise(observed: DataFrame, background: DataFrame, key: Sequence[str],
         key, observed_value, value)
     large = summarise_unbounded(
         observed.join(hot, list(key), "left_semi"), background.join(hot, list(key), "left_semi"),
-        key, observed_value, value, few_keys=hot.count() <= BROADCAST_ROWS)
+        key, observed_value, value, few_keys=is_small(hot))
     return cold.unionByName(large)
 
 

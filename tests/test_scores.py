@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from foldmill.operators import ranking, robust, scoring
+from foldmill.operators import keys, ranking, robust, scoring
 from foldmill.operators.scorers import (
     PAIR_ENERGY, CommandScorer, LetterGraph, PairingScorer, dinucleotide_shuffle, iteration_rng)
 
@@ -84,6 +84,15 @@ def test_index_and_median_of_one_large_group(spark):
     assert medians == {g: statistics.median(v) for g, v in groups.items()}
 
 
+@pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_TEXT_BYTES"])
+def test_large_key_tables_are_shuffled(spark, monkeypatch, bound):
+    cases = [(f"k{i}", -1.0, 9, [float(-j) for j in range(i + 3)]) for i in range(6)]
+    want = {k: (r.median_mfe, r.zscore, r.pvalue) for k, r in scores(spark, cases).items()}
+    monkeypatch.setattr(keys, bound, 0)
+    got = scores(spark, cases, max_group_rows=4)
+    assert {k: (r.median_mfe, r.zscore, r.pvalue) for k, r in got.items()} == want
+
+
 def test_index_of_equal_rows(spark):
     rows = spark.range(0, 3000, 1, 12).select(F.lit("g").alias("g"), F.lit(1).alias("v"))
     indexed = ranking.with_index(rows, ["g"], ["v"])
