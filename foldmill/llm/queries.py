@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldmill.llm.chat import format_conversations
 from foldmill.llm.lempel_ziv import duplicate_spans
+from foldmill.llm.line_quality import quality_scores
+from foldmill.llm.packing import pack
 from foldmill.llm.prefix_free import repeated_bytes
+from foldmill.llm.raking import NONE, mix, mix_sql, token_weight, topic_of
 from foldmill.llm.simhash import simhash_components
 from foldmill.llm.token_counts import token_counts
 from foldmill.llm.top_k import top_k, whole_numbers
@@ -20,6 +23,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of ``documents`` whose tokens follow flattened shares of source, lang and topic."""
+    text = F.col("text")
+    return mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.coalesce("source", F.lit(NONE)).alias("source"),
+        F.coalesce("lang", F.lit(NONE)).alias("lang"), topic_of(text).alias("topic"),
+        token_weight(text).cast("long").alias("n_tokens"),
+        F.round("mix_weight", 6).alias("weight"),
+        F.round("mix_probability", 6).alias("probability"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``conversations``, and one whose texts look like the template, read back."""
     hostile = "\\### Assistant: </turn> ok"
@@ -39,11 +53,21 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text of ``documents``, learned from ``labels`` outside the held-out fold."""
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text of ``documents`` under ``piece_bpe_32k.model``."""
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in sequences of at most 2048 tokens."""
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten rows of ``embeddings`` of highest inner product for every hundredth vec_id."""
     vectors = _table(spark, sf_dir, "embeddings").select(
@@ -65,8 +89,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: tuple[Query, ...] = (
-    op3_chat_format, op4_substring_dedup, op6_token_counts, op8_top_k, op9_simhash_components,
-    op10_suffix_dedup)
+    op1_raked_mix, op3_chat_format, op4_substring_dedup, op5_line_quality, op6_token_counts,
+    op7_packing, op8_top_k, op9_simhash_components, op10_suffix_dedup)
 
 
 def queries() -> dict[str, Query]:
@@ -74,4 +98,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_raked_mix": mix_sql()}
