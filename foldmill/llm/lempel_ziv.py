@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foldmill.llm.arrays import slices, texts, words
 from foldmill.llm.repeats import covered, repeated_spots, repeated_windows, word_symbols
-from foldmill.llm.store import bucketed_texts
+from foldmill.llm.store import bucketed_texts, narrow
 
 WINDOW = 20   # words of the shortest factor that counts
 GRAM = 8      # words of a trigger
@@ -26,7 +26,8 @@ def factors(removed: np.ndarray, begin: int) -> list[dict[str, int]]:
     return [{"start": int(a) - begin, "length": int(b - a)} for a, b in zip(edge[::2], edge[1::2])]
 
 
-def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
+                    carry: bool = False) -> DataFrame:
     """Words covered by a window of ``window`` words that also starts earlier.
 
     The reference of a document is all text before it (smaller ``doc_id``, or the same text
@@ -37,8 +38,10 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     window across the boundary is looked up by itself, so no repeated window is lost between
     two factors. Factors of at least ``window`` words are the duplicate spans.
 
-    Returns per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and kept_text (kept
-    words joined by one space), and spans (start and length in words, in order).
+    Returns per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by
+    one space), kept_text (the same words, or the text as it is if nothing is removed), and spans
+    (start and length in words, in order). With ``carry`` the other columns come along in the
+    struct ``rest``.
 
     Null, empty and shorter texts: nothing is removed. A null doc_id: the row is returned whole
     and is nobody's reference. Rows that share an id are parts of one document in order of their
@@ -49,17 +52,14 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
             for part in slices(batch):
                 yield _parsed(part, window, gram)
 
-    judged = repeated_windows(bucketed_texts(docs), word_symbols, window, gram)
-    return judged.mapInArrow(parse, OUT).unionByName(_nameless(docs, parse))
-
-
-def _nameless(docs: DataFrame, parse) -> DataFrame:
+    judged = repeated_windows(bucketed_texts(docs, carry), word_symbols, window, gram)
+    out = OUT
+    if "rest" in judged.columns:
+        out += f", rest {judged.schema['rest'].dataType.simpleString()}"
     empty = F.lit(None).cast("array<long>")
-    return (docs.filter("doc_id is null")
-            .select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                    F.lit(0).cast("long").alias("part"), empty.alias("lone"),
-                    empty.alias("entries"), empty.alias("windows"))
-            .mapInArrow(parse, OUT))
+    nameless = narrow(docs, carry).filter("doc_id is null").withColumns(
+        {"part": F.lit(0).cast("long"), "lone": empty, "entries": empty, "windows": empty})
+    return judged.mapInArrow(parse, out).unionByName(nameless.mapInArrow(parse, out))
 
 
 def _parsed(part: pa.RecordBatch, window: int, gram: int) -> pa.RecordBatch:
@@ -72,16 +72,17 @@ def _parsed(part: pa.RecordBatch, window: int, gram: int) -> pa.RecordBatch:
         removed = covered(spots, window, len(starts))
     raw = data.tobytes()
     kept_texts, digests, n_removed, spans = [], [], [], []
-    for a, b in zip(rows[:-1], rows[1:]):
+    for n, (a, b) in enumerate(zip(rows[:-1], rows[1:])):
         gone = removed[a:b]
         keep = np.flatnonzero(~gone) + a
         kept = b" ".join([raw[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist())])
-        kept_texts.append(kept.decode())
+        kept_texts.append((kept if gone.any() else raw[bounds[n]:bounds[n + 1]]).decode())
         digests.append(hashlib.sha256(kept).hexdigest())
         n_removed.append(int(gone.sum()))
         spans.append(factors(gone, 0))
+    rest = [part.column("rest")] if "rest" in part.schema.names else []
     return pa.RecordBatch.from_arrays(
         [ids, pa.array(np.diff(rows), pa.int64()), pa.array(n_removed, pa.int64()),
          pa.array(digests), pa.array(kept_texts),
-         pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))],
-        ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "spans"])
+         pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), *rest],
+        ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "spans"] + ["rest"] * len(rest))

@@ -243,7 +243,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     def score(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for part in slices(batch):
-                yield _scored(part, model, threshold)
+                found = _scored(part, model, threshold)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *found.columns],
+                                                 ["doc_id", *found.schema.names])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return plain.mapInArrow(score, OUT).select(
@@ -260,6 +262,20 @@ def _scored(part: pa.RecordBatch, model: Chain | float, threshold: float) -> pa.
         scores = model.document_scores(model.document_means(features, weights, rows, good))
         bad = (good < 0.5).astype(np.int64)
     return pa.RecordBatch.from_arrays(
-        [part.column("doc_id"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)),
+        [pa.array(scores), pa.array((scores >= threshold).astype(np.int32)),
          pa.array(np.diff(rows)), pa.array(np.add.reduceat(bad, rows[:-1]).astype(np.int64))],
-        ["doc_id", "score", "predicted", "n_lines", "n_bad_lines"])
+        ["score", "predicted", "n_lines", "n_bad_lines"])
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+              per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``, all columns as they are."""
+    model = learn(docs, labels, per_label)
+
+    def choose(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for part in slices(batch):
+                good = _scored(part, model, threshold).column("predicted").to_numpy() == 1
+                yield part.filter(pa.array(good))
+
+    return docs.mapInArrow(choose, docs.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foldmill.llm.arrays import slices, texts
 from foldmill.llm.repeats import covered, repeated_spots, repeated_windows, text_bytes
-from foldmill.llm.store import bucketed_texts
+from foldmill.llm.store import bucketed_texts, narrow
 
 WINDOW = 100   # bytes of the shortest repeated string
 GRAM = 32      # bytes of a trigger
@@ -44,10 +44,8 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                 yield _parsed(part, window, gram)
 
     empty = F.lit(None).cast("array<long>")
-    nameless = (docs.filter("doc_id is null")
-                .select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                        F.lit(0).cast("long").alias("part"), empty.alias("lone"),
-                        empty.alias("entries"), empty.alias("windows")))
+    nameless = narrow(docs).filter("doc_id is null").withColumns(
+        {"part": F.lit(0).cast("long"), "lone": empty, "entries": empty, "windows": empty})
     judged = repeated_windows(bucketed_texts(docs), text_bytes, window, gram)
     return judged.mapInArrow(parse, OUT).unionByName(nameless.mapInArrow(parse, OUT))
 

@@ -167,6 +167,17 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, distance: int =
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` that stay when of each component only its smallest doc_id does.
+
+    All columns as they are. Rows with a null doc_id stay. Rows that share an id are one document
+    and stay or go together.
+    """
+    gone = measured(simhash_components(docs, shingle, distance).filter("doc_id > component_id")
+                    .select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+
+
 def _shared_ids(named: DataFrame) -> DataFrame:
     several = named.groupBy("doc_id").agg(F.min("fingerprint").alias("one"),
                                           F.max("fingerprint").alias("top")).filter("one < top")
