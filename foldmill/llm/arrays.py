@@ -51,11 +51,19 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    if size:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+    """1, base, base squared, ...; kept for the next chunk."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < size:
+        known = np.full(max(size, CHUNK_BYTES + 1), base, np.uint64)
+        known[0] = 1
+        known = np.multiply.accumulate(known)
+        if size <= 2 * CHUNK_BYTES:
+            _POWERS[base] = known
+    return known[:size]
 
 
 def byte_symbols(lane: int) -> np.ndarray:
@@ -77,11 +85,12 @@ class Rolling:
         return mix(found + (ends - starts).astype(np.uint64))
 
     def grams(self, size: int) -> np.ndarray:
-        """Hash of the ``size`` symbols from each place on."""
+        """Hash of the ``size`` symbols from each place on. Only its high half is well mixed."""
         if len(self.prefix) <= size:
             return np.zeros(0, np.uint64)
-        return mix((self.prefix[size:] - self.prefix[:-size]) * self.inverse[:len(self.prefix) - size]
-                   + np.uint64(size))
+        found = self.prefix[size:] - self.prefix[:-size]
+        found *= self.inverse[:len(found)]
+        return found
 
 
 _SPACE = np.zeros(256, bool)

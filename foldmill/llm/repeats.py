@@ -52,20 +52,26 @@ class Phrases:
         self.first, self.second, self.bounds = symbols(*texts(batch.column("text")))
         self.window = window
         self.rolling = Rolling(self.first, 0)
-        places = np.maximum(np.diff(self.bounds) - window + 1, 0)
-        spots = ranges(self.bounds[:-1], places)
         grams = self.rolling.grams(gram)
         # The leftmost of the least: high halves are compared, places decide ties.
-        least = sliding_min(grams & _HIGH | np.arange(len(grams), dtype=np.uint64),
-                            window - gram + 1)[spots] & ~_HIGH
-        row = np.repeat(np.arange(len(places)), places)
-        new = np.ones(len(spots), bool)
-        new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
-        begin = np.flatnonzero(new)
-        self.trigger = grams[least[begin].astype(np.int64)].view(np.int64)
-        self.row = row[begin]
-        self.start = spots[begin]
-        self.count = np.diff(np.append(begin, len(spots)))
+        least = grams & _HIGH
+        least |= np.arange(len(grams), dtype=np.uint64)
+        least = sliding_min(least, window - gram + 1)
+        # Runs of windows with one trigger, and the last window of every row as an end.
+        sizes = np.diff(self.bounds)
+        full = np.flatnonzero(sizes >= window)
+        opens, closes = self.bounds[full], self.bounds[full + 1] - window + 1
+        change = np.flatnonzero(least[1:] != least[:-1]) + 1
+        owner = np.searchsorted(opens, change, "right") - 1
+        inside = (owner >= 0) & (change < closes[owner]) & (change > opens[owner]) if len(full) else np.zeros(0, bool)
+        begin = np.concatenate([opens, change[inside]] if len(full) else [opens])
+        order = np.argsort(begin, kind="stable")
+        begin = begin[order]
+        at = np.concatenate([np.arange(len(full)), owner[inside]] if len(full) else [opens])[order]
+        self.row = full[at]
+        self.start = begin
+        self.count = np.minimum(np.append(begin[1:], len(least)), closes[at]) - begin
+        self.trigger = grams[(least[begin] & ~_HIGH).astype(np.int64)].view(np.int64)
         self.doc_id = longs(batch.column("doc_id"))[self.row]
         self.part = longs(batch.column("part"))
         self.place = self.start - self.bounds[self.row] + self.part[self.row] * PART
