@@ -34,8 +34,8 @@ def line_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     """
     breaks = np.flatnonzero(data == 10) + 1
     starts = np.sort(np.concatenate([bounds[:-1], breaks]))
-    rows = np.searchsorted(breaks, bounds) + np.arange(len(bounds))
     # A break that ends a text opens one more empty line of that text, before the next text.
+    rows = np.searchsorted(breaks, bounds, "right") + np.arange(len(bounds))
     ends = np.append(starts[1:], len(data))
     last = rows[1:] - 1
     broken = np.ones(len(starts), bool)
