@@ -58,7 +58,8 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
         out += f", rest {judged.schema['rest'].dataType.simpleString()}"
     empty = F.lit(None).cast("array<long>")
     nameless = narrow(docs, carry).filter("doc_id is null").withColumns(
-        {"part": F.lit(0).cast("long"), "lone": empty, "entries": empty, "windows": empty})
+        {"part": F.lit(0).cast("long"), "lone": empty, "entries": empty, "cores": empty,
+         "windows": empty})
     return judged.mapInArrow(parse, out).unionByName(nameless.mapInArrow(parse, out))
 
 

@@ -45,7 +45,8 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     empty = F.lit(None).cast("array<long>")
     nameless = narrow(docs).filter("doc_id is null").withColumns(
-        {"part": F.lit(0).cast("long"), "lone": empty, "entries": empty, "windows": empty})
+        {"part": F.lit(0).cast("long"), "lone": empty, "entries": empty, "cores": empty,
+         "windows": empty})
     judged = repeated_windows(bucketed_texts(docs), text_bytes, window, gram)
     return judged.mapInArrow(parse, OUT).unionByName(nameless.mapInArrow(parse, OUT))
 
