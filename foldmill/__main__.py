@@ -37,16 +37,22 @@ def parser() -> argparse.ArgumentParser:
         step.add_argument("--max-span", type=int, help="pair distance limit of the built-in model")
         if name == "score":
             step.add_argument("--tiers", type=int, nargs="*")
-            step.add_argument("--list", help="file with one sequence name per line")
+            step.add_argument("--list", help="file with one sequence name or path per line")
+            step.add_argument("--result-files", help="folder of published result files that count as done")
             step.add_argument("--n-shuffles", type=int)
             step.add_argument("--skip-failed", action="store_true")
 
     plan = steps.add_parser("submit", help="show what would be run")
-    plan.add_argument("--list", help="file with one sequence name per line")
+    plan.add_argument("--list", help="file with one sequence name or path per line")
     missing = steps.add_parser("missing", help="list sequences without a result")
     missing.add_argument("tiers", type=int, nargs="*")
+    missing.add_argument("--list", help="file with one sequence name or path per line")
+    missing.add_argument("--result-files", help="folder of published result files that count as done")
     missing.add_argument("--out", help="folder for the names, by default TIER_ROOT/missing")
 
+    export = steps.add_parser("export", help="write results and raw shuffles in the published form")
+    export.add_argument("out", help="folder to write to")
+
     collate = steps.add_parser("collate", help="combine results with the manifest")
     collate.add_argument("--results-dir", default=os.environ.get("RESULTS_DIR", "results/rnafold"))
     collate.add_argument("--raw-dir", default=os.environ.get("RAW_SHUFFLES_DIR",
@@ -86,7 +92,7 @@ def _run(spark, args) -> None:
     run = RunConfig.from_env()
     names = None
     if getattr(args, "list", None):
-        names = spark.read.text(args.list).withColumnRenamed("value", "seqname")
+        names = score.read_names(spark, args.list)
     if args.step == "stratify":
         score.run_stratify(spark, run).show(truncate=False)
     elif args.step == "calibrate":
@@ -95,12 +101,16 @@ def _run(spark, args) -> None:
         score.plan_submission(spark, run, names).show(truncate=False)
     elif args.step == "missing":
         out = args.out or f"{run.tier_root}/missing"
-        score.find_missing(spark, run, args.tiers or None).select("seqname") \
+        score.find_missing(spark, run, args.tiers or None, names=names,
+                           result_files=args.result_files).select("seqname") \
             .write.mode("overwrite").text(out)
         print(f"{spark.read.text(out).count()} unfinished sequences listed in {out}")
+    elif args.step == "export":
+        score.export_text(spark, run, args.out)
     else:
         scored = score.run_scoring(spark, run, _scorer(args, run), names, args.tiers,
-                                   args.n_shuffles, not args.skip_failed)
+                                   args.n_shuffles, not args.skip_failed,
+                                   result_files=args.result_files)
         scored.groupBy(scored.error.isNull().alias("scored")).count().show()
 
 

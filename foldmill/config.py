@@ -39,7 +39,7 @@ class ExtractConfig:
         inputs = settings.get("inputs") or {}
         for key in ("genome_fasta", "annotation_gff", "gene_list"):
             if key not in inputs:
-                raise ConfigError(f"Missing required config key: 'inputs.{key}'")
+                raise ConfigError(f"the settings name no inputs.{key}")
         known = {f.name for f in fields(cls)}
         given = {**inputs, **(settings.get("outputs") or {}), **(settings.get("processing") or {})}
         values = {k: tuple(v or ()) if k in ("isoform_priority", "regions_to_extract") else v

@@ -11,11 +11,11 @@ from foldmill.fixed_values import TIER_BOUNDS, TIER_SHUFFLES
 
 def check_policy(bounds: Sequence[int], shuffles: Sequence[int]) -> None:
     if len(bounds) != 9:
-        raise ValueError(f"tier bounds must have 9 values (got {len(bounds)})")
+        raise ValueError(f"{len(bounds)} tier bounds given, ten tiers need nine")
     if list(bounds) != sorted(bounds):
         raise ValueError("tier bounds must ascend")
     if len(shuffles) != 10:
-        raise ValueError(f"tier shuffles must have 10 values (got {len(shuffles)})")
+        raise ValueError(f"{len(shuffles)} shuffle counts given for ten tiers")
 
 
 def tier_of(length: Column, bounds: Sequence[int] = TIER_BOUNDS) -> Column:

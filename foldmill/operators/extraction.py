@@ -24,10 +24,16 @@ def with_cds_bounds(records: DataFrame, header: str = "header") -> DataFrame:
 def attach_selection(mrna: DataFrame, selected: DataFrame) -> DataFrame:
     """Spliced transcripts of the chosen ids.
 
-    Two genes that chose the same id share one record; it goes to the last gene.
+    Two genes that chose the same id share one record; it goes to the last gene. Of several
+    records of one bare id, the one written like the chosen id stays, else the last by name and text.
     """
     owner = top_rows(selected, ["stripped_id"], [F.col("gene_id").desc()])
-    return mrna.join(owner, mrna["tx_id"] == owner["stripped_id"]).drop("stripped_id")
+    written = mrna["orig_id"] if "orig_id" in mrna.columns else F.lit(None).cast("string")
+    found = mrna.withColumn("_written", written).drop("orig_id").join(
+        owner, mrna["tx_id"] == owner["stripped_id"])
+    best = [F.coalesce(F.col("_written") == F.col("orig_id"), F.lit(False)).desc(),
+            F.col("_written").desc_nulls_last(), F.col("seq").desc()]
+    return top_rows(found, ["stripped_id"], best).drop("stripped_id", "_written")
 
 
 def with_status(records: DataFrame, min_utr: int = MIN_UTR_LENGTH) -> DataFrame:

@@ -77,8 +77,10 @@ def summarise(observed: DataFrame, background: DataFrame, key: Sequence[str],
     """Background summary per observed row; ``observed`` has one row per key.
 
     The group sizes are measured first. Groups above ``max_group_rows`` take the
-    range-sorted way, all others the array way.
+    range-sorted way, all others the array way. A null key matches no observed row, so its rows
+    go first, however many there are.
     """
+    background = background.na.drop(subset=list(key))
     sizes = background.groupBy(*key).agg(F.count(value).alias("_rows"))
     if (sizes.agg(F.max("_rows")).first()[0] or 0) <= max_group_rows:
         return summarise_bounded(observed, background, key, observed_value, value)

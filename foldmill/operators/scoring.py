@@ -50,12 +50,12 @@ def work_blocks(sequences: DataFrame, max_span: int | None = None,
 
 
 def task_count(sequences: DataFrame, max_span: int | None = None) -> int:
-    """Number of tasks for the total work, and at least four per core."""
+    """Number of tasks for the total work, ``TASK_CELLS`` each, and at least four per core."""
     length = F.col("length") if "length" in sequences.columns else F.length("seq")
     work = sequences.agg(F.sum(sequence_cells(length, max_span)
                                * (F.col("n_shuffles") + 1)).alias("cells")).first().cells or 0
     cores = sequences.sparkSession.sparkContext.defaultParallelism
-    return max(4 * cores, min(int(work / TASK_CELLS) + 1, 200_000))
+    return max(4 * cores, int(work / TASK_CELLS) + 1)
 
 
 def spread(blocks: DataFrame, tasks: int) -> DataFrame:
@@ -80,9 +80,9 @@ def shuffled(sequences: DataFrame, seed: int = 0, tasks: int | None = None) -> D
     """``seqname, iteration, seq``: the shuffles themselves, iterations 1..N."""
     def draws(batch: pd.DataFrame) -> Iterator[tuple]:
         for row in batch.itertuples(index=False):
-            graph = LetterGraph(row.seq)
-            for i in range(max(row.first, 1), row.first + row.count):
-                yield row.seqname, i, graph.shuffle(iteration_rng(seed, row.seqname, i))
+            wanted = range(max(row.first, 1), row.first + row.count)
+            drawn = LetterGraph(row.seq).shuffles([iteration_rng(seed, row.seqname, i) for i in wanted])
+            yield from ((row.seqname, i, seq) for i, seq in zip(wanted, drawn))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,10 +111,15 @@ def _similar(folds: Iterator[tuple], max_span: int | None) -> Iterator[list[tupl
 
 
 def _energies(scorer, seqs: list[str]) -> tuple[list, list]:
-    """Energies and error texts; after a failure each sequence is tried alone."""
+    """Energies and error texts; after a failure each sequence is tried alone.
+
+    Only what a sequence brings about becomes a row. A program that cannot be run fails the task.
+    """
     try:
         return scorer.fold(seqs), [None] * len(seqs)
-    except (OSError, ValueError, RuntimeError, subprocess.SubprocessError) as problem:
+    except (FileNotFoundError, PermissionError):
+        raise
+    except (MemoryError, OSError, ValueError, RuntimeError, subprocess.SubprocessError) as problem:
         if len(seqs) == 1:
             return [None], [f"{type(problem).__name__}: {problem}"]
     values, problems = zip(*[_energies(scorer, [seq]) for seq in seqs])
@@ -131,10 +136,11 @@ def fold_all(sequences: DataFrame, scorer, seed: int = 0, tasks: int | None = No
 
     def folds(batch: pd.DataFrame) -> Iterator[tuple]:
         for row in batch.itertuples(index=False):
-            graph = LetterGraph(row.seq)
-            for i in range(row.first, row.first + row.count):
-                seq = graph.shuffle(iteration_rng(seed, row.seqname, i)) if i else row.seq
-                yield row.seqname, row.n_shuffles, i, seq
+            if row.first == 0:
+                yield row.seqname, row.n_shuffles, 0, row.seq
+            wanted = range(max(row.first, 1), row.first + row.count)
+            drawn = LetterGraph(row.seq).shuffles([iteration_rng(seed, row.seqname, i) for i in wanted])
+            yield from ((row.seqname, row.n_shuffles, i, seq) for i, seq in zip(wanted, drawn))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -154,7 +160,8 @@ def score_folds(folds: DataFrame, min_valid_percent: int = MIN_VALID_PERCENT) ->
     """Result columns and ``error``, one row per folded sequence.
 
     A sequence has ``n_shuffles + 1`` folds, a number the tier policy sets and the
-    data cannot raise, so one shuffle by sequence gathers all of them.
+    data cannot raise, so one shuffle by sequence gathers all of them. More valid shuffles than were asked for, as two sequences of one name give,
+    are an error and get no score.
     """
     own = F.col("iteration") == 0
     value = F.col("mfe")
@@ -165,6 +172,12 @@ def score_folds(folds: DataFrame, min_valid_percent: int = MIN_VALID_PERCENT) ->
         F.sort_array(F.collect_list(F.when(~own, value))).alias("_values"))
     summary = robust.summarise_arrays(grouped)
     scored = robust.with_error(robust.score(summary), min_valid_percent)
+    surplus = F.col("n_valid") > F.col("n_shuffles_requested")
+    scored = (scored.withColumn("error", F.when(surplus, F.lit("more shuffles than requested"))
+                                .otherwise(F.col("error")))
+              .withColumn("pvalue", F.when(~surplus, F.col("pvalue")))
+              .withColumn("zscore", F.when(~surplus, F.col("zscore")))
+              .withColumn("n_missing", F.greatest(F.col("n_missing"), F.lit(0))))
     return scored.select(
         F.col("seqname").alias("seq_name"), "orig_mfe", "median_mfe", "pvalue", "zscore",
         "n_valid", "n_missing", "n_shuffles_requested",
@@ -219,7 +232,9 @@ def time_samples(samples: DataFrame, scorer, seed: int = 0) -> DataFrame:
                         wall = time.perf_counter() - began
                         rss = max(resource.getrusage(who).ru_maxrss for who in
                                   (resource.RUSAGE_SELF, resource.RUSAGE_CHILDREN))
-                except (OSError, ValueError, RuntimeError, subprocess.SubprocessError):
+                except (FileNotFoundError, PermissionError):
+                    raise
+                except (MemoryError, OSError, ValueError, RuntimeError, subprocess.SubprocessError):
                     pass
                 yield pd.DataFrame({
                     "tier": [row.tier], "seqname": [row.seqname], "length": [row.length],

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foldmill.functions.attributes import tab_field
 from foldmill.functions.sequences import reverse_complement
+from foldmill.operators.keys import measured
 from foldmill.operators.transcripts import feature_lines, with_parent
 
 BIN_SIZE = 32_768
@@ -49,19 +50,22 @@ def _cut_long(segments: DataFrame, bin_size: int) -> DataFrame:
 
 
 def features(lines: DataFrame, anchored: bool = False) -> DataFrame:
-    """Exon and coding lines as ``tx_id, type, seqid, start, end, strand``."""
+    """Exon and coding lines as ``tx_id, orig_id, type, seqid, start, end, strand``."""
     def field(number: int) -> Column:
         return tab_field(F.col("raw"), number)
 
     return (with_parent(feature_lines(lines, ["exon", "CDS"]), anchored)
-            .select("tx_id", field(2).alias("type"), field(0).alias("seqid"),
+            .select("tx_id", "orig_id", field(2).alias("type"), field(0).alias("seqid"),
                     field(3).try_cast("bigint").alias("start"),
                     field(4).try_cast("bigint").alias("end"), field(6).alias("strand"))
             .filter(F.col("start").isNotNull() & F.col("end").isNotNull()))
 
 
 def transcript_models(features_df: DataFrame) -> DataFrame:
-    """One row per transcript: sorted exons and the coding range on the transcript.
+    """One row per transcript and locus: exons and the coding range on the transcript.
+
+    Lines belong together if their parent's id as written (``orig_id``, where there is one),
+    sequence and strand agree. Exons are sorted, and exons that overlap are one.
 
     A transcript without exon lines is spliced from its coding lines. The coding
     range runs from the first to the last coding position, counted along the
@@ -73,8 +77,8 @@ def transcript_models(features_df: DataFrame) -> DataFrame:
         return F.array_sort(F.collect_set(F.when(F.col("type") == kind, span)))
 
     coding = F.col("type") == "CDS"
-    grouped = features_df.groupBy("tx_id").agg(
-        F.min("seqid").alias("seqid"), F.min("strand").alias("strand"),
+    locus = [c for c in ("tx_id", "orig_id", "seqid", "strand") if c in features_df.columns]
+    grouped = features_df.groupBy(*locus).agg(
         spans("exon").alias("_exons"), spans("CDS").alias("_coding"),
         F.min(F.when(coding, F.col("start"))).alias("_first"),
         F.max(F.when(coding, F.col("end"))).alias("_last"))
@@ -91,24 +95,41 @@ def transcript_models(features_df: DataFrame) -> DataFrame:
     reverse = F.col("strand") == "-"
     has_coding = F.col("_first").isNotNull()
     return (grouped
-            .withColumn("exons", F.when(F.size("_exons") > 0, F.col("_exons"))
-                        .otherwise(F.col("_coding")))
+            .withColumn("exons", _merged(F.when(F.size("_exons") > 0, F.col("_exons"))
+                                         .otherwise(F.col("_coding"))))
             .withColumn("length", total(lambda e: e["end"] - e["start"] + 1))
-            .select("tx_id", "seqid", "strand", "exons", "length",
+            .select(*locus, "exons", "length",
                     F.when(has_coding, F.when(reverse, size - last + 1).otherwise(first))
                      .cast("int").alias("cds_start"),
                     F.when(has_coding, F.when(reverse, size - first + 1).otherwise(last))
                      .cast("int").alias("cds_end")))
 
 
+def _merged(spans: Column) -> Column:
+    """Sorted spans, those that overlap joined into one."""
+    kind = "array<struct<start:bigint,end:bigint>>"
+
+    def add(done: Column, span: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        return F.when(span["start"] <= last["end"], F.concat(
+            F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(
+                F.concat(done, F.array(span))).cast(kind)
+
+    return F.aggregate(spans.cast(kind), F.array().cast(kind), add)
+
+
 def splice(models: DataFrame, pieces: DataFrame, bin_size: int = BIN_SIZE) -> DataFrame:
-    """``tx_id, seq, cds_start, cds_end`` of every transcript the genome covers.
+    """``tx_id, seq, cds_start, cds_end`` of every transcript the genome covers, and ``orig_id`` if
+    the models have it. A transcript is left out when part of an exon lies outside the genome.
 
-    A transcript is left out when part of an exon lies outside the genome.
+    Only pieces in bins that some exon needs are shuffled with the exons.
     """
-    model = ["tx_id", "strand", "length", "cds_start", "cds_end"]
-    exons = (models.select(*model, "seqid", F.explode("exons").alias("exon"))
-             .select(*model, "seqid", "exon.start", "exon.end")
+    names = [c for c in ("tx_id", "orig_id") if c in models.columns]
+    model = [*names, "strand", "length", "cds_start", "cds_end"]
+    place = [*model, "seqid"]
+    exons = (models.select(*place, F.explode("exons").alias("exon"))
+             .select(*place, "exon.start", "exon.end")
              .withColumn("bin", F.explode(F.sequence(bin_of(F.col("start"), bin_size),
                                                      bin_of(F.col("end"), bin_size)))))
     piece_end = F.col("piece_start") + F.length("seq") - 1
@@ -116,15 +137,17 @@ def splice(models: DataFrame, pieces: DataFrame, bin_size: int = BIN_SIZE) -> Da
     size = F.least(F.col("end"), piece_end) - begin + 1
     # The exploded sides outgrow what Spark estimates for them, so neither may be
     # broadcast on that estimate. A crowded bin is split by the skew-join rule.
+    wanted = measured(exons.select("seqid", "bin").distinct())
+    pieces = pieces.join(wanted, ["seqid", "bin"], "left_semi")
     fragments = (exons.join(pieces.hint("merge"), ["seqid", "bin"])
                  .filter((F.col("piece_start") <= F.col("end")) & (piece_end >= F.col("start")))
                  .select(*model, begin.alias("at"),
-                         F.substring("seq", (begin - F.col("piece_start") + 1).cast("int"),
-                                     size.cast("int")).alias("bases")))
-    joined = fragments.groupBy(*model).agg(F.array_join(F.transform(
+                         "seqid", F.substring("seq", (begin - F.col("piece_start") + 1).cast("int"),
+                                              size.cast("int")).alias("bases")))
+    joined = fragments.groupBy(*model, "seqid").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("at", "bases"))), lambda f: f["bases"]),
         "").alias("_plus"))
     return (joined.filter(F.length("_plus") == F.col("length"))
-            .select("tx_id",
+            .select(*names,
                     F.when(F.col("strand") == "-", reverse_complement(F.col("_plus")))
                      .otherwise(F.col("_plus")).alias("seq"), "cds_start", "cds_end"))

@@ -49,7 +49,8 @@ def transcript_lines(lines: DataFrame, tags: Sequence[str] = (),
 
 
 def with_parent(lines: DataFrame, anchored: bool = False) -> DataFrame:
-    """Adds ``tx_id``, the line's parent; lines without one are dropped.
+    """Adds ``tx_id``, the line's parent, and ``orig_id``, the same with its version; lines without
+    a parent are dropped.
 
     The unanchored reading takes the last id of a parent list, the anchored one
     gives a row per id.
@@ -60,7 +61,8 @@ def with_parent(lines: DataFrame, anchored: bool = False) -> DataFrame:
     else:
         owned = lines.withColumn("_parent", parent)
     return (owned.filter(F.col("_parent").isNotNull())
-            .withColumn("tx_id", normalise_id(F.col("_parent"))).drop("_parent"))
+            .withColumn("tx_id", normalise_id(F.col("_parent")))
+            .withColumn("orig_id", original_id(F.col("_parent"))).drop("_parent"))
 
 
 def coding_lengths(lines: DataFrame, valid: DataFrame, anchored: bool = False) -> DataFrame:

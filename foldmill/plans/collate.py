@@ -7,8 +7,9 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from foldmill.config import RunConfig
 from foldmill.operators import collate
-from foldmill.plans.provenance import read_if_exists
+from foldmill.plans.score import read_finished
 from foldmill.sources import sinks, tables
 
 log = logging.getLogger(__name__)
@@ -18,19 +19,20 @@ def run_collate(spark: SparkSession, results_dir: str, manifest: str, out_dir: s
                 raw_dir: str | None = None, text_results: bool = False) -> DataFrame:
     """Writes the combined tables and returns the combined results.
 
-    Rows are written in the order of their sequence names. ``text_results`` reads result files written one per sequence, otherwise the
-    Parquet tables of the scoring step are read. ``raw_dir`` adds the shuffles.
+    Rows are written in the order of their sequence names. ``text_results`` reads result files
+    written one per sequence, otherwise the finished batches of the scoring step are read.
+    ``raw_dir`` adds the shuffles.
     """
     metadata = _manifest_or_none(spark, manifest)
     results = (tables.read_results(spark, results_dir) if text_results
-               else read_if_exists(spark, results_dir))
+               else _finished(spark, results_dir, results_dir))
     if results is None:
         raise FileNotFoundError(f"no results in {results_dir}")
     combined = collate.collate_results(results, metadata)
     sinks.write_collated(combined.orderBy("seqname"), f"{out_dir}/combined_rnafold.tsv")
     if raw_dir:
         raw = (tables.read_raw_shuffles(spark, raw_dir) if text_results
-               else read_if_exists(spark, raw_dir))
+               else _finished(spark, raw_dir, results_dir))
         if raw is None:
             log.error("No raw shuffles in %s", raw_dir)
         else:
@@ -39,11 +41,15 @@ def run_collate(spark: SparkSession, results_dir: str, manifest: str, out_dir: s
     return combined
 
 
+def _finished(spark: SparkSession, path: str, results_dir: str) -> DataFrame | None:
+    return read_finished(spark, RunConfig(results_dir=results_dir), path)
+
+
 def _manifest_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return tables.read_manifest(spark, path)
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in str(problem):
             raise
-        log.warning("Manifest not found: %s. Output will lack metadata.", path)
+        log.warning("No manifest at %s, so results are combined without their genes.", path)
         return None

@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldmill.config import ExtractConfig
+from foldmill.functions.ids import original_id
 from foldmill.operators import extraction, splice, transcripts
 from foldmill.operators.keys import having_key
 from foldmill.plans import provenance
@@ -37,14 +38,15 @@ def run_extraction(spark: SparkSession, config: ExtractConfig, force: bool = Fal
         log.info("Outputs in '%s' are current.", out)
         return None
     if not config.isoform_priority:
-        log.warning("No isoform_priority tags defined. Falling back to longest CDS.")
+        log.warning("isoform_priority is empty: transcripts are chosen by coding length alone.")
 
     genes = read_gene_list(spark, config.gene_list)
     lines = _stage(gff.read_annotation(spark, config.annotation_gff), f"{out}/stage/annotation")
     selected = _stage(transcripts.select_transcripts(lines, genes, config.isoform_priority, anchored),
                       f"{out}/stage/selected")
     if mrna_fasta:
-        mrna = fasta.read_mrna(spark, mrna_fasta).select("tx_id", "seq", "cds_start", "cds_end")
+        mrna = fasta.read_mrna(spark, mrna_fasta).select(
+            "tx_id", original_id(F.col("name")).alias("orig_id"), "seq", "cds_start", "cds_end")
     else:
         mrna = spliced_transcripts(lines, fasta.read_genome(spark, config.genome_fasta),
                                    selected, anchored)
@@ -62,7 +64,11 @@ def run_extraction(spark: SparkSession, config: ExtractConfig, force: bool = Fal
             sinks.write_single_records(regions, f"{out}/fasta")
         sinks.write_manifest(extraction.manifest(regions), f"{out}/manifest.tsv")
     else:
-        log.warning("No regions requested.")
+        log.warning("regions_to_extract is empty: nothing is cut.")
+        # Outputs of an earlier run must not pass for those of this one.
+        none = extraction.cut_regions(kept.limit(0))
+        none.write.mode("overwrite").parquet(f"{out}/regions")
+        sinks.write_manifest(extraction.manifest(none), f"{out}/manifest.tsv")
     summary = extraction.summary(records, genes, selected)
     sinks.write_summary(summary, f"{out}/extraction_summary.csv")
     provenance.write_run_manifest(spark, config, genes.count(), mark)

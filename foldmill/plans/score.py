@@ -10,22 +10,35 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldmill.config import RunConfig
+from foldmill.functions.ids import file_key
 from foldmill.operators import calibrate, resume, scoring, stratify, submit
-from foldmill.operators.keys import having_key
+from foldmill.operators.keys import having_key, lacking_key, top_rows
 from foldmill.plans.provenance import read_if_exists
 from foldmill.sources import fasta, sinks, tables
+from foldmill.sources.text import read_whole_files
 
 log = logging.getLogger(__name__)
 
+# Sequences that are folded, reduced and committed together.
+BATCH_SEQUENCES = 1_000_000
+
 
 def read_sequences(spark: SparkSession, run: RunConfig) -> DataFrame:
-    """``seqname, seq, length`` of the regions the manifest names."""
+    """``seqname, seq, length`` of the regions the manifest names, one row per name.
+
+    Of records of one name the last in the file stays; the Parquet table has no order, so there
+    the one whose text sorts last does.
+    """
+    # A handful of region names, known before the sequences are read, so that other folders are not.
+    listed = [row.region for row in
+              tables.manifest_rows(spark, run.manifest_tsv).select("region").distinct().collect()]
     regions = read_if_exists(spark, f"{run.multifasta_dir}/regions")
     if regions is None:
         records = fasta.read_latest_records(spark, f"{run.multifasta_dir}/fasta")
-        regions = records.withColumnRenamed("name", "seqname")
-    listed = tables.read_manifest(spark, run.manifest_tsv)
-    return having_key(regions, listed, ["region"]).select(
+        return (records.filter(F.col("region").isin(listed))
+                .select(F.col("name").alias("seqname"), "seq", F.length("seq").alias("length")))
+    found = regions.filter(F.col("region").isin(listed)).select("seqname", "seq")
+    return top_rows(found, ["seqname"], [F.col("seq").desc()]).select(
         "seqname", "seq", F.length("seq").alias("length"))
 
 
@@ -77,19 +90,54 @@ def latest_recommendations(spark: SparkSession, run: RunConfig) -> DataFrame:
         spark, f"{run.calibration_root}/{run_id}/recommendations.tsv")
 
 
-def read_done(spark: SparkSession, run: RunConfig, retry_failed: bool = True) -> DataFrame:
-    """Names that have a result, or that failed when failures are not retried."""
-    scored = read_if_exists(spark, run.results_dir)
-    failed = None if retry_failed else read_if_exists(spark, run.errors_dir)
+def read_finished(spark: SparkSession, run: RunConfig, path: str) -> DataFrame | None:
+    """A table of results, errors or raw shuffles, without the rows of batches that were stopped.
+
+    A table that no batch has written, such as one made by hand, is read as it is.
+    """
+    rows = read_if_exists(spark, path)
+    if rows is None or "batch" not in rows.columns:
+        return rows
+    marks = read_if_exists(spark, f"{run.results_dir}_finished")
+    if marks is None:
+        return rows.limit(0).drop("batch")
+    return having_key(rows, marks, ["batch"]).drop("batch")
+
+
+def read_done(spark: SparkSession, run: RunConfig, retry_failed: bool = True,
+              result_files: str | None = None) -> DataFrame:
+    """Names that have a result, or that failed when failures are not retried.
+
+    ``result_files`` is a folder of published result files, one per sequence, that count too.
+    """
+    scored = read_finished(spark, run, run.results_dir)
+    failed = None if retry_failed else read_finished(spark, run, run.errors_dir)
     if scored is None:
         scored = spark.createDataFrame([], "seq_name string")
-    return resume.completed(scored, failed)
+    done = resume.completed(scored, failed)
+    if result_files:
+        files = read_whole_files(spark, result_files, "results_*.csv")
+        done = done.unionByName(resume.completed_files(files))
+    return done
+
+
+def read_names(spark: SparkSession, path: str) -> DataFrame:
+    """``seqname`` per line of a list; a line is a name or the path of a sequence file."""
+    name = file_key(F.trim(F.regexp_replace("value", r"[\r\n]", "")), ".fa")
+    return spark.read.text(path).select(name.alias("seqname")).filter("seqname <> ''").distinct()
 
 
 def find_missing(spark: SparkSession, run: RunConfig, tiers: Iterable[int] | None = None,
-                 retry_failed: bool = True) -> DataFrame:
-    """Sequences without a result."""
-    return resume.unfinished(read_tiers(spark, run), read_done(spark, run, retry_failed), tiers)
+                 retry_failed: bool = True, names: DataFrame | None = None,
+                 result_files: str | None = None) -> DataFrame:
+    """Sequences without a result, of all tiers, of ``tiers`` or of ``names``."""
+    tiered = read_tiers(spark, run)
+    if names is not None:
+        unknown = lacking_key(names, tiered, ["seqname"]).count()
+        if unknown:
+            log.warning("%d listed names match no sequence.", unknown)
+        tiered = having_key(tiered, names, ["seqname"])
+    return resume.unfinished(tiered, read_done(spark, run, retry_failed, result_files), tiers)
 
 
 def plan_submission(spark: SparkSession, run: RunConfig,
@@ -104,27 +152,55 @@ def plan_submission(spark: SparkSession, run: RunConfig,
 
 def run_scoring(spark: SparkSession, run: RunConfig, scorer, names: DataFrame | None = None,
                 tiers: Iterable[int] | None = None, n_shuffles: int | None = None,
-                retry_failed: bool = True, tasks: int | None = None) -> DataFrame:
+                retry_failed: bool = True, tasks: int | None = None,
+                result_files: str | None = None,
+                batch_sequences: int = BATCH_SEQUENCES) -> DataFrame:
     """Scores the unfinished sequences; returns their scores and errors.
 
-    The energies are written before they are reduced, so a lost executor or a
-    stopped job does not cost finished folds of later steps.
+    The work is cut into batches of about ``batch_sequences``, each written under its own name and
+    marked as finished last. A run that is stopped leaves at most one batch without a mark,
+    which no reader looks at; the next run does its sequences again, and only those.
     """
     if not scorer.available():
         raise RuntimeError(f"{scorer} is not available here")
-    todo = find_missing(spark, run, tiers, retry_failed)
-    if names is not None:
-        todo = having_key(todo, names, ["seqname"])
+    todo = find_missing(spark, run, tiers, retry_failed, names, result_files)
     if n_shuffles is not None:
         todo = todo.withColumn("n_shuffles", F.lit(n_shuffles))
-    batch = f"{run.raw_shuffles_dir}_folds/batch={uuid.uuid4().hex}"
+    # The list of what is to do must not change as batches are finished.
+    stage = f"{run.raw_shuffles_dir}_folds/todo={uuid.uuid4().hex}"
+    todo.select("seqname", "seq", "length", "n_shuffles").write.parquet(stage)
+    todo = spark.read.parquet(stage)
+    number = max(1, -(-todo.count() // batch_sequences))
+    done = [_score_batch(spark, run, scorer, todo.filter(
+        F.pmod(F.xxhash64("seqname"), F.lit(number)) == n), tasks) for n in range(number)]
+    return spark.read.parquet(*done)
+
+
+def _score_batch(spark: SparkSession, run: RunConfig, scorer, todo: DataFrame,
+                 tasks: int | None) -> str:
+    """Folds, reduces and commits one batch; returns the path of its scores."""
+    name = uuid.uuid4().hex
+    batch = f"{run.raw_shuffles_dir}_folds/batch={name}"
     scoring.fold_all(todo, scorer, run.seed, tasks).write.parquet(batch)
     folds = spark.read.parquet(batch)
     scoring.score_folds(folds, run.min_valid_percent).write.parquet(f"{batch}_scores")
     scored = spark.read.parquet(f"{batch}_scores")
     good = scoring.results(scored)
     own = having_key(folds, good.withColumnRenamed("seq_name", "seqname"), ["seqname"])
-    scoring.raw_shuffles(own).write.mode("append").parquet(run.raw_shuffles_dir)
-    scoring.errors(scored).write.mode("append").parquet(run.errors_dir)
-    good.write.mode("append").parquet(run.results_dir)
-    return scored
+    scoring.raw_shuffles(own).write.parquet(f"{run.raw_shuffles_dir}/batch={name}")
+    scoring.errors(scored).write.parquet(f"{run.errors_dir}/batch={name}")
+    good.write.parquet(f"{run.results_dir}/batch={name}")
+    spark.range(1).select(F.lit(name).alias("batch")).write.mode("append").parquet(
+        f"{run.results_dir}_finished")
+    return f"{batch}_scores"
+
+
+def export_text(spark: SparkSession, run: RunConfig, out: str) -> None:
+    """Results and raw shuffles as published: comma-separated text with ``NA`` and four decimals."""
+    scored = read_finished(spark, run, run.results_dir)
+    if scored is None:
+        raise FileNotFoundError(f"no results in {run.results_dir}")
+    sinks.write_results(scored, f"{out}/results")
+    raw = read_finished(spark, run, run.raw_shuffles_dir)
+    if raw is not None:
+        sinks.write_raw_shuffles(raw, f"{out}/raw_shuffles")

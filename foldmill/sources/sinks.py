@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from foldmill.functions.sequences import fasta_text
@@ -22,12 +23,18 @@ def write_table(df: DataFrame, path: str, sep: str = "\t", header: bool = True,
 
 
 def write_manifest(manifest: DataFrame, path: str) -> bool:
-    """Writes the manifest unless it has no rows; returns whether it did."""
-    if manifest.isEmpty():
-        log.warning("No manifest rows to write.")
+    """Writes the manifest unless it has no rows; returns whether it has. An earlier one is
+    emptied then."""
+    if not manifest.isEmpty():
+        write_table(manifest, path)
+        return True
+    log.warning("The manifest has no rows.")
+    try:
+        manifest.sparkSession.read.text(path)
+    except AnalysisException:
         return False
     write_table(manifest, path)
-    return True
+    return False
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

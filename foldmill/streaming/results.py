@@ -13,7 +13,8 @@ from foldmill.session import settle
 def result_stream(spark: SparkSession, results_dir: str) -> DataFrame:
     """New result files of a folder as a stream; each file is read once."""
     return (spark.readStream.schema(RESULT_SCHEMA)
-            .options(header=True, nullValue="NA", pathGlobFilter="results_*.csv")
+            .options(header=True, enforceSchema=False, nullValue="NA",
+                     pathGlobFilter="results_*.csv")
             .csv(results_dir))
 
 

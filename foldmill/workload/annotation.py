@@ -152,12 +152,11 @@ SELECT pos, {_attr('gene_id')} AS gene, {_attr('Parent')} AS parent,
   nullif(regexp_extract(raw, '(?:transcript_id=|Parent=)([^; \\n]+)', 1), '') AS owner,
   {" || ".join(f"CASE WHEN regexp_matches(raw, '\\b{t}\\b') THEN '{t} ' ELSE '' END" for t in TAGS)}
     AS tags
-FROM ann WHERE raw NOT LIKE '#%' AND pos < 20000000000""")
+FROM ann WHERE raw NOT LIKE '#%'""")
 def attr_extract_coalesce(spark, sf_dir):
     """Attributes, fallbacks and whole-word tags of annotation lines."""
     raw = F.col("raw")
-    lines = annotation_lines(spark, sf_dir).filter(F.col("pos") < 20000000000)
-    return lines.filter(~attrs.is_comment(raw)).select(
+    return annotation_lines(spark, sf_dir).filter(~attrs.is_comment(raw)).select(
         "pos", attrs.attribute(raw, "gene_id").alias("gene"),
         attrs.attribute(raw, "Parent").alias("parent"),
         attrs.first_attribute(raw, ["gene_id", "Parent"]).alias("gene_or_parent"),

@@ -63,7 +63,7 @@ SELECT seq_name AS seqname, coalesce(gene_id, '') AS gene_id,
   CAST(n_shuffles_requested AS VARCHAR) AS n_shuffles_requested
 FROM results LEFT JOIN manifest ON seq_name = seqname""")
 def collate_left(spark, sf_dir):
-    """Every result with its metadata, as printed."""
+    """Every result with its metadata, as printed."""
     number, size = F.col("doc_id"), F.col("n_chars")
     results = table(spark, sf_dir, "documents").select(
         F.concat(F.lit("D"), number.cast("string")).alias("seq_name"), (size / -7.0).alias("orig_mfe"),

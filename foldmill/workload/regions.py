@@ -71,7 +71,7 @@ def cds_header_parse(spark, sf_dir):
 
 @query(f"WITH {_RECORDS} SELECT seqname, region, length, md5(part) AS bases FROM regions")
 def region_slices(spark, sf_dir):
-    """The seven regions of every transcript, one row each."""
+    """The seven regions of every transcript, one row each."""
     kept = extraction.writable(records(spark, sf_dir))
     return extraction.cut_regions(kept).select(
         "seqname", "region", "length", F.md5("seq").alias("bases"))
@@ -81,7 +81,7 @@ def region_slices(spark, sf_dir):
 SELECT seqname, gene_id, orig_id AS transcript_id, region, length, reason AS selection_reason,
   short_utrs FROM regions WHERE region IN ('CDS', '5UTR', 'tail_region')""")
 def manifest_rows(spark, sf_dir):
-    """Metadata of the requested regions."""
+    """Metadata of the requested regions."""
     kept = extraction.writable(records(spark, sf_dir))
     return extraction.manifest(extraction.cut_regions(kept, ["CDS", "5UTR", "tail_region"]))
 
@@ -132,7 +132,7 @@ def _summary(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {_SUMMARY} SELECT * FROM report")
 def extraction_summary(spark, sf_dir):
-    """Quality report with genes that were not found or not spliced."""
+    """Quality report with genes that were not found or not spliced."""
     return _summary(spark, sf_dir)
 
 
@@ -143,12 +143,37 @@ def status_breakdown(spark, sf_dir):
 
 
 @query("""
-SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (
+  SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')""")
 def missing_entities(spark, sf_dir):
-    """Requested keys that never occur."""
+    """Requested keys that never occur among those of a feature."""
     customers = table(spark, sf_dir, "customer").select("c_custkey")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return lacking_key(customers, orders, ["c_custkey"])
+    urgent = (table(spark, sf_dir, "orders")
+              .filter("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'")
+              .select(F.col("o_custkey").alias("c_custkey")))
+    return lacking_key(customers, urgent, ["c_custkey"])
+
+
+@query("""
+WITH selected AS (SELECT o_custkey, max(o_orderkey) AS tx FROM orders GROUP BY o_custkey),
+shared AS (SELECT CAST(tx // 3 AS BIGINT) AS tx, max(o_custkey) AS o_custkey FROM selected GROUP BY tx // 3),
+records AS (SELECT DISTINCT o_orderkey // 3 AS tx FROM orders WHERE o_orderkey % 5 <> 2)
+SELECT shared.tx, o_custkey FROM shared JOIN records ON shared.tx = records.tx""")
+def attach_selection(spark, sf_dir):
+    """Records of the chosen ids; of genes that chose one id the last has the record."""
+    orders = table(spark, sf_dir, "orders")
+    bare = F.floor(F.col("tx") / 3)
+    gene = F.lpad(F.col("o_custkey").cast("string"), 12, "0")
+    selected = (orders.groupBy("o_custkey").agg(F.max("o_orderkey").alias("tx"))
+                .select(gene.alias("gene_id"), F.concat(F.lit("T"), bare).alias("stripped_id"),
+                        F.concat(F.lit("T"), bare, F.lit(".1")).alias("orig_id")))
+    records = orders.filter("o_orderkey % 5 <> 2").select(
+        F.concat(F.lit("T"), F.floor(F.col("o_orderkey") / 3)).alias("tx_id"),
+        F.concat(F.lit("T"), F.floor(F.col("o_orderkey") / 3), F.lit("."),
+                 F.col("o_orderkey") % 3).alias("orig_id"), F.col("o_orderpriority").alias("seq"))
+    found = extraction.attach_selection(records, selected)
+    return found.select(F.substring("tx_id", 2, 20).cast("bigint").alias("tx"),
+                        F.col("gene_id").cast("bigint").alias("o_custkey"))
 
 
 # Exons of a document: 25 of every 40 letters. The second to the fifth are coding.
@@ -173,7 +198,7 @@ SELECT 'T' || doc_id AS tx_id, md5(seq) AS bases,
   CAST(CASE WHEN doc_id % 2 = 0 THEN l ELSE n * 25 - f + 1 END AS INTEGER) AS cds_end
 FROM stranded""")
 def splice_exons(spark, sf_dir):
-    """Exons on both strands spliced from a genome in pieces."""
+    """Exons on both strands, some given twice in part, spliced from a genome in pieces."""
     documents = table(spark, sf_dir, "documents")
     name = F.col("doc_id").cast("string")
     exons = (documents.filter(F.col("n_chars") >= 40)
@@ -181,7 +206,9 @@ def splice_exons(spark, sf_dir):
                  F.lit(0).cast("bigint"), F.floor(F.col("n_chars") / 40) - 1)).alias("i"))
              .withColumn("start", F.col("i") * 40 + 1 + F.col("doc_id") % 7)
              .withColumn("end", F.col("start") + 24)
-             .filter(F.col("end") <= F.col("n_chars")))
+             .filter(F.col("end") <= F.col("n_chars"))
+             # An overlapping part of each exon, which adds nothing to the transcript.
+             .withColumn("start", F.explode(F.array(F.col("start"), F.col("start") + 10))))
     kinds = F.when((F.col("i") >= 1) & (F.col("i") <= 4), F.array(F.lit("exon"), F.lit("CDS"))
                    ).otherwise(F.array(F.lit("exon")))
     features = exons.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from foldmill.operators import ranking, robust, scoring
 from foldmill.workload.registry import query, table
@@ -131,6 +131,28 @@ def raw_shuffle_rows(spark, sf_dir):
     return scoring.raw_shuffles(folds, bounded=False)
 
 
+@query(f"""
+WITH folds AS (
+  SELECT user_id AS k, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i,
+    CASE WHEN event_type <> 'error' THEN -value END AS v FROM events),
+obs AS (SELECT k, max(CASE WHEN i = 0 THEN v END) AS orig, max(i) AS e FROM folds GROUP BY k),
+bg AS (SELECT k, v FROM folds WHERE i > 0), {_SCORE_CTES}
+SELECT CAST(k AS VARCHAR) AS seq_name, {_COLUMNS},
+  CASE WHEN orig_mfe IS NULL THEN 'invalid orig MFE'
+       WHEN n_shuffles_requested > 0 AND n_valid < (n_shuffles_requested * 90) // 100
+       THEN 'insufficient shuffles (' || n_valid || '/' || n_shuffles_requested || ')' END AS error
+FROM scored""")
+def score_from_folds(spark, sf_dir):
+    """Folds reduced as the scoring step does: a user's events are a sequence and its shuffles."""
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    folds = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("seqname"), place.alias("iteration"),
+        F.when(F.col("event_type") != "error", -F.col("value")).alias("mfe"),
+        (F.count("*").over(Window.partitionBy("user_id")) - 1).cast("int").alias("n_shuffles"),
+        F.lit(None).cast("string").alias("problem"))
+    return _shown(scoring.score_folds(folds), "seq_name", "error")
+
+
 @query("""
 SELECT o_orderstatus, count(*) AS n, round(median(o_totalprice), 4) AS median
 FROM orders GROUP BY o_orderstatus""")

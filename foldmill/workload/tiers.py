@@ -4,27 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from foldmill.fixed_values import TIER_BOUNDS
 from foldmill.functions import durations, tiers
 from foldmill.operators import calibrate, stratify, submit
+from foldmill.operators.keys import having_key
 from foldmill.workload.registry import query, table
 
-TIERED_SQL = """
+# Bounds that leave the first and the last tier of any documents empty.
+SPARSE_BOUNDS = (0, 150, 280, 500, 900, 1600, 2800, 5000, 2_000_000_000)
+
+
+def tiered_sql(bounds=(80, 150, 280, 500, 900, 1600, 2800, 5000, 10000)) -> str:
+    cases = " ".join(f"WHEN n_chars < {b} THEN {n}" for n, b in enumerate(bounds, 1))
+    labels = [f"{a}-{b}" for a, b in zip((0, *bounds), bounds)] + [f">{bounds[-1]}"]
+    shuffles = [1000] * 7 + [100, 10, 0]
+    policy = ", ".join(f"({n}, {s}, '{label}')" for n, (s, label) in enumerate(zip(shuffles, labels), 1))
+    return f"""
 tiered AS (
   SELECT doc_id, 'D' || doc_id AS seqname, CAST(n_chars AS INTEGER) AS length,
-    CASE WHEN n_chars < 80 THEN 1 WHEN n_chars < 150 THEN 2 WHEN n_chars < 280 THEN 3
-         WHEN n_chars < 500 THEN 4 WHEN n_chars < 900 THEN 5 WHEN n_chars < 1600 THEN 6
-         WHEN n_chars < 2800 THEN 7 WHEN n_chars < 5000 THEN 8
-         WHEN n_chars < 10000 THEN 9 ELSE 10 END AS tier
-  FROM documents),
+    CASE {cases} ELSE 10 END AS tier FROM documents),
 policy AS (
-  SELECT CAST(tier AS INTEGER) AS tier, n_shuffles, label FROM (VALUES
-    (1, 1000, '0-80'), (2, 1000, '80-150'), (3, 1000, '150-280'), (4, 1000, '280-500'),
-    (5, 1000, '500-900'), (6, 1000, '900-1600'), (7, 1000, '1600-2800'),
-    (8, 100, '2800-5000'), (9, 10, '5000-10000'), (10, 0, '>10000')) AS p(tier, n_shuffles, label))
+  SELECT CAST(tier AS INTEGER) AS tier, n_shuffles, label
+  FROM (VALUES {policy}) AS p(tier, n_shuffles, label))
 """
 
-SAMPLES_SQL = f"""
-WITH {TIERED_SQL},
+
+TIERED_SQL = tiered_sql()
+
+
+def samples_sql(tiered: str = TIERED_SQL) -> str:
+    return f"""
+WITH {tiered},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY length DESC, seqname DESC) AS r
            FROM tiered),
 samples AS (
@@ -35,15 +45,18 @@ samples AS (
 """
 
 
-def tiered_documents(spark, sf_dir) -> DataFrame:
+SAMPLES_SQL = samples_sql()
+
+
+def tiered_documents(spark, sf_dir, bounds=TIER_BOUNDS) -> DataFrame:
     sequences = table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("seqname"),
         F.col("n_chars").cast("int").alias("length"))
-    return stratify.assign_tiers(sequences)
+    return stratify.assign_tiers(sequences, bounds=bounds)
 
 
-def _samples(spark, sf_dir) -> DataFrame:
-    longest = stratify.longest_per_tier(tiered_documents(spark, sf_dir))
+def _samples(spark, sf_dir, bounds=TIER_BOUNDS) -> DataFrame:
+    longest = stratify.longest_per_tier(tiered_documents(spark, sf_dir, bounds))
     return calibrate.per_sample(longest.select(
         "tier", "seqname", "length", "n_shuffles",
         (F.col("length") * 0.0375).alias("wall"),
@@ -59,32 +72,46 @@ def tier_assign(spark, sf_dir):
         "doc_id", "length", "tier", "n_shuffles", tiers.tier_range(F.col("tier")).alias("range"))
 
 
-@query(f"""WITH {TIERED_SQL},
+@query(f"""WITH {tiered_sql(SPARSE_BOUNDS)},
 counts AS (SELECT policy.tier, label AS range, count(tiered.doc_id) AS count
-           FROM policy LEFT JOIN tiered ON policy.tier = tiered.tier AND length >= 150
+           FROM policy LEFT JOIN tiered ON policy.tier = tiered.tier
            GROUP BY policy.tier, label)
 SELECT tier, range, count FROM counts
 UNION ALL SELECT NULL, 'total', CAST(sum(count) AS BIGINT) FROM counts""")
 def tier_histogram(spark, sf_dir):
     """Sequences per tier with empty tiers and the total."""
-    tiered = tiered_documents(spark, sf_dir).filter(F.col("length") >= 150)
-    return stratify.with_total(stratify.tier_counts(tiered))
+    tiered = tiered_documents(spark, sf_dir, SPARSE_BOUNDS)
+    return stratify.with_total(stratify.tier_counts(tiered, SPARSE_BOUNDS))
 
 
 @query(f"{SAMPLES_SQL} SELECT tier, seqname, length, n_shuffles FROM samples")
 def topk_longest_per_tier(spark, sf_dir):
-    """Three longest sequences of each tier."""
+    """Three longest sequences of each tier."""
     return stratify.longest_per_tier(tiered_documents(spark, sf_dir)).select(
         "tier", "seqname", "length", "n_shuffles")
 
 
 @query(f"{SAMPLES_SQL} SELECT tier, seqname, length, n_shuffles, wall_s, rss_mb FROM samples")
 def calibration_samples(spark, sf_dir):
-    """Measured samples in whole seconds and megabytes."""
+    """Measured samples in whole seconds and megabytes."""
     return _samples(spark, sf_dir)
 
 
-_RECOMMENDED_SQL = f"""{SAMPLES_SQL},
+@query(f"""{SAMPLES_SQL}
+SELECT doc_id, samples.tier, length(text) AS n_chars FROM samples
+JOIN documents ON samples.seqname = 'D' || doc_id WHERE doc_id % 4 <> 1""")
+def sample_sequences(spark, sf_dir):
+    """Sequences of the longest of each tier; one that has no sequence is left out."""
+    tiered = tiered_documents(spark, sf_dir)
+    longest = stratify.longest_per_tier(tiered.select("tier", "seqname", "length"))
+    texts = table(spark, sf_dir, "documents").filter("doc_id % 4 <> 1").select(
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("seqname"), "text")
+    return having_key(tiered.join(texts, "seqname"), longest, ["tier", "seqname"]).select(
+        "doc_id", "tier", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def _recommended_sql(samples: str = SAMPLES_SQL) -> str:
+    return f"""{samples},
 recommended AS (
   SELECT tier, n_shuffles, CAST(count(*) AS INTEGER) AS n_samples, max(length) AS max_len,
     max(wall_s) AS max_wall_s, max(rss_mb) AS max_rss_mb,
@@ -94,10 +121,13 @@ recommended AS (
   FROM samples GROUP BY tier, n_shuffles)"""
 
 
-@query(f"{_RECOMMENDED_SQL} SELECT * FROM recommended")
+_RECOMMENDED_SQL = _recommended_sql()
+
+
+@query(f"{_recommended_sql(samples_sql(tiered_sql(SPARSE_BOUNDS)))} SELECT * FROM recommended")
 def tier_recommendations(spark, sf_dir):
-    """Time and memory to ask for, per tier."""
-    return calibrate.recommend(_samples(spark, sf_dir))
+    """Time and memory to ask for, per tier that has samples."""
+    return calibrate.recommend(_samples(spark, sf_dir, SPARSE_BOUNDS))
 
 
 @query(f"""{_RECOMMENDED_SQL},
@@ -110,7 +140,7 @@ UNION ALL
 SELECT 'custom', NULL, n_tasks, 1000, '00:05:00', '300MB', '0-' || (n_tasks - 1) || '%10'
 FROM listed WHERE n_tasks > 0""")
 def submission_plan(spark, sf_dir):
-    """Array jobs of all tiers and of an explicit list."""
+    """Array jobs of all tiers and of an explicit list."""
     tiered = tiered_documents(spark, sf_dir)
     explicit = tiered.filter((F.col("tier") == 4) & (F.col("doc_id") % 2 == 0))
     return submit.tier_plan(tiered, calibrate.recommend(_samples(spark, sf_dir))).unionByName(
@@ -130,7 +160,7 @@ def _indexed(spark, sf_dir) -> DataFrame:
 
 @query(f"{_INDEXED_SQL} SELECT doc_id, tier, idx FROM indexed")
 def array_index(spark, sf_dir):
-    """Place of each task in its tier's list."""
+    """Place of each task in its tier's list."""
     return _indexed(spark, sf_dir).select("doc_id", "tier", "idx")
 
 
