@@ -34,3 +34,24 @@ def empirical_p(observed: Column, median: Column, at_most: Column, valid: Column
 def required_valid(requested: Column, percent: int) -> Column:
     """Fewest valid shuffles that make a score."""
     return F.floor(requested * percent / 100).cast("int")
+
+
+def weighted_median(pairs: Column, total: Column) -> Column:
+    """Median of a sorted array of (value ``v``, weight ``w``) whose weights sum to ``total``.
+
+    One walk along the array finds the two middle values.
+    """
+    low, high = F.floor((total - 1) / 2), F.floor(total / 2)
+    none = F.lit(None).cast("double")
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), none.alias("a"), none.alias("b"))
+
+    def step(done: Column, pair: Column) -> Column:
+        after = done["n"] + pair["w"]
+
+        def middle(place: Column, name: str) -> Column:
+            here = (done["n"] <= place) & (place < after)
+            return F.when(here, pair["v"].cast("double")).otherwise(done[name]).alias(name)
+
+        return F.struct(after.alias("n"), middle(low, "a"), middle(high, "b"))
+
+    return F.aggregate(pairs, start, step, lambda done: (done["a"] + done["b"]) / 2)

@@ -10,22 +10,44 @@ from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.functions import stats
 from foldmill.operators.keys import is_small, measured
 from foldmill.operators.ranking import pin_sorted, pinned_median
+from foldmill.session import settle
 
-# A group up to this size is summarised as one array in one task.
-MAX_GROUP_ROWS = 1_000_000
+# A group of up to so many distinct values is summarised as one array in one task.
+MAX_GROUP_ROWS = 200_000
 
 
-def summarise_bounded(observed: DataFrame, background: DataFrame, key: Sequence[str],
+def counted_values(background: DataFrame, key: Sequence[str], value: str = "mfe") -> DataFrame:
+    """Each group's distinct values with ``_weight``, how often each occurs, stored once.
+
+    Counting shrinks a background of many equal values before it is shuffled. A null key matches
+    no observed row and a null value is no value, so such rows go first, however many.
+    """
+    return settle(background.na.drop(subset=[*key, value])
+                  .groupBy(*key, value).agg(F.count("*").alias("_weight")))
+
+
+def summarise_counted(observed: DataFrame, counted: DataFrame, key: Sequence[str],
                       observed_value: str = "orig_mfe", value: str = "mfe") -> DataFrame:
     """Adds ``n_valid``, ``median_mfe``, ``mad`` and ``at_most`` to ``observed``.
 
-    For groups of bounded size: one shuffle of the background, then array
-    expressions. Rows of ``observed`` without a background are kept.
+    For groups with a bounded number of distinct values, which meet in one row. Rows of
+    ``observed`` without a background are kept.
     """
-    values = (background.filter(F.col(value).isNotNull())
-              .groupBy(*key)
-              .agg(F.sort_array(F.collect_list(value)).alias("_values")))
-    return summarise_arrays(observed.join(values, list(key), "left"), observed_value)
+    pair = F.struct(F.col(value).alias("v"), F.col("_weight").alias("w"))
+    values = counted.groupBy(*key).agg(F.sort_array(F.collect_list(pair)).alias("_values"),
+                                       F.sum("_weight").alias("n_valid"))
+    rows = observed.join(values, list(key), "left")
+    total = F.col("n_valid")
+    rows = rows.withColumn("median_mfe", stats.weighted_median(F.col("_values"), total))
+    apart = F.sort_array(F.transform("_values", lambda p: F.struct(
+        F.abs(p["v"] - F.col("median_mfe")).alias("v"), p["w"].alias("w"))))
+    at_most = F.aggregate(
+        F.filter("_values", lambda p: p["v"] <= F.col(observed_value)), F.lit(0).cast("bigint"),
+        lambda sum_, p: sum_ + p["w"])
+    return (rows.withColumn("mad", stats.weighted_median(apart, total))
+            .withColumn("at_most", F.coalesce(at_most, F.lit(0).cast("bigint")))
+            .withColumn("n_valid", F.coalesce("n_valid", F.lit(0).cast("bigint")))
+            .drop("_values"))
 
 
 def summarise_arrays(rows: DataFrame, observed_value: str = "orig_mfe") -> DataFrame:
@@ -40,18 +62,15 @@ def summarise_arrays(rows: DataFrame, observed_value: str = "orig_mfe") -> DataF
             .drop("_values"))
 
 
-def summarise_unbounded(observed: DataFrame, background: DataFrame, key: Sequence[str],
+def summarise_unbounded(observed: DataFrame, counted: DataFrame, key: Sequence[str],
                         observed_value: str = "orig_mfe", value: str = "mfe",
                         few_keys: bool = False) -> DataFrame:
-    """Same columns as :func:`summarise_bounded`, for groups of any size.
+    """Same columns as :func:`summarise_counted`, for groups with any number of distinct values.
 
-    Equal values are counted before the first shuffle by key, and both medians
-    come from range-sorted rows, so no group is gathered in one task.
-    ``few_keys`` says that the keys were measured and are few enough to broadcast.
+    Both medians come from range-sorted rows, so no group is gathered in one task.
+    ``few_keys`` says that ``observed`` was counted and is small enough to broadcast.
     """
     key = list(key)
-    counted = (background.filter(F.col(value).isNotNull())
-               .groupBy(*key, value).agg(F.count("*").alias("_weight")))
     pinned = pin_sorted(counted, key, [value])
     medians = measured(pinned_median(pinned, key, value, "_weight")
                        .withColumnRenamed("median", "median_mfe"))
@@ -76,21 +95,20 @@ def summarise(observed: DataFrame, background: DataFrame, key: Sequence[str],
               max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Background summary per observed row; ``observed`` has one row per key.
 
-    The group sizes are measured first. Groups above ``max_group_rows`` take the
-    range-sorted way, all others the array way. A null key matches no observed row, so its rows
-    go first, however many there are.
+    The background is read once. Groups of more than ``max_group_rows`` distinct values take the
+    range-sorted way, all others are summarised in one row.
     """
-    background = background.na.drop(subset=list(key))
-    sizes = background.groupBy(*key).agg(F.count(value).alias("_rows"))
+    counted = counted_values(background, key, value)
+    sizes = counted.groupBy(*key).agg(F.count("*").alias("_rows"))
     if (sizes.agg(F.max("_rows")).first()[0] or 0) <= max_group_rows:
-        return summarise_bounded(observed, background, key, observed_value, value)
+        return summarise_counted(observed, counted, key, observed_value, value)
     hot = measured(sizes.filter(F.col("_rows") > max_group_rows).drop("_rows"))
-    cold = summarise_bounded(
-        observed.join(hot, list(key), "left_anti"), background.join(hot, list(key), "left_anti"),
+    cold = summarise_counted(
+        observed.join(hot, list(key), "left_anti"), counted.join(hot, list(key), "left_anti"),
         key, observed_value, value)
-    large = summarise_unbounded(
-        observed.join(hot, list(key), "left_semi"), background.join(hot, list(key), "left_semi"),
-        key, observed_value, value, few_keys=is_small(hot))
+    own = settle(observed.join(hot, list(key), "left_semi"))
+    large = summarise_unbounded(own, counted.join(hot, list(key), "left_semi"),
+                                key, observed_value, value, few_keys=is_small(own))
     return cold.unionByName(large)
 
 

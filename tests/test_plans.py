@@ -38,9 +38,10 @@ def test_exploded_sides_are_not_broadcast(spark):
 
 
 def test_scores_shuffle_the_background_once(spark):
+    # Counted values are stored; the summary shuffles them and the observed rows.
     text = plan(spark, "robust_zscore")
     assert text.count("Exchange hashpartitioning") <= 2
-    assert "ReadSchema: struct<l_suppkey:bigint,l_extendedprice:double>" in text
+    assert "lineitem" not in text and "_weight:bigint" in text
 
 
 def test_shuffles_are_dealt_out_evenly(spark):
