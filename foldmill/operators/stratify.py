@@ -34,9 +34,9 @@ def tier_counts(tiered: DataFrame, bounds: Sequence[int] = TIER_BOUNDS) -> DataF
 
 def with_total(counts: DataFrame) -> DataFrame:
     """The tier counts and a last row with their total."""
-    total = counts.agg(F.sum("count").alias("count")).select(
-        F.lit(None).cast("int").alias("tier"), F.lit("total").alias("range"), "count")
-    return counts.unionByName(total)
+    return (counts.groupingSets([["tier", "range"], []], "tier", "range")
+            .agg(F.sum("count").alias("count"))
+            .withColumn("range", F.coalesce("range", F.lit("total"))))
 
 
 def longest_per_tier(tiered: DataFrame, count: int = SAMPLES_PER_TIER,

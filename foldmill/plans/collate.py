@@ -29,15 +29,16 @@ def run_collate(spark: SparkSession, results_dir: str, manifest: str, out_dir: s
     if results is None:
         raise FileNotFoundError(f"no results in {results_dir}")
     combined = collate.collate_results(results, metadata)
-    sinks.write_collated(combined.orderBy("seqname"), f"{out_dir}/combined_rnafold.tsv")
+    sinks.write_collated(combined, f"{out_dir}/combined_rnafold.tsv", ["seqname"])
     if raw_dir:
         raw = (tables.read_raw_shuffles(spark, raw_dir) if text_results
                else _finished(spark, raw_dir, results_dir))
         if raw is None:
             log.error("No raw shuffles in %s", raw_dir)
         else:
-            shuffles = collate.collate_raw(raw, metadata).orderBy("seqname", "iteration")
-            sinks.write_collated(shuffles, f"{out_dir}/combined_rnafold_raw_shuffles.tsv")
+            sinks.write_collated(collate.collate_raw(raw, metadata),
+                                 f"{out_dir}/combined_rnafold_raw_shuffles.tsv",
+                                 ["seqname", "iteration"])
     return combined
 
 

@@ -50,11 +50,14 @@ def write_raw_shuffles(raw: DataFrame, path: str) -> None:
     write_table(raw, path, sep=",", crlf=False)
 
 
-def write_collated(collated: DataFrame, path: str) -> bool:
-    """Writes a collated result table as printed text, unless it has no rows."""
+def write_collated(collated: DataFrame, path: str, order: Iterable[str] = ()) -> bool:
+    """Writes a collated result table as printed text in ``order``, unless it has no rows.
+
+    Whether it has is asked before the sort, so that the sort is done once.
+    """
     if collated.isEmpty():
         return False
-    write_table(printed(collated), path)
+    write_table(printed(collated.orderBy(*order) if order else collated), path)
     return True
 
 

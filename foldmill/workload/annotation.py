@@ -120,9 +120,9 @@ def ingested_lines(spark, sf_dir) -> DataFrame:
     """The lines as a stored table, for queries that read them more than once.
 
     They are dealt out evenly first: parsing is the costly part of what follows, and
-    a small input file would leave all of it to one task.
+    a small input file would leave all of it to one task. How many parts is left to Spark.
     """
-    return settle(annotation_lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism))
+    return settle(annotation_lines(spark, sf_dir).repartition("pos"))
 
 
 def gene_list(spark, sf_dir) -> DataFrame:

@@ -4,7 +4,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from foldmill.__main__ import main
 from foldmill.config import ConfigError, ExtractConfig, RunConfig
