@@ -14,6 +14,7 @@ TEMPERATURE = 0.7     # exponent that flattens the shares of today into targets
 KEEP = 0.5            # share of all tokens to expect in the sample
 CALIBRATIONS = 4      # rounds that make up for probabilities cut off at 1
 SEED = 17
+ROWS_PER_FILE = 200_000   # of cells; a margin has no more categories than there are cells
 NONE = "(none)"       # category of a null
 MARGINS = ("source", "lang", "topic")
 
@@ -39,7 +40,13 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def _targets(cells: DataFrame, name: str, given: DataFrame | None, temperature: float) -> DataFrame:
+def _files(cells: DataFrame) -> int:
+    """Files for a table of so many rows, instead of one per shuffle partition."""
+    return max(1, -(-cells.count() // ROWS_PER_FILE))
+
+
+def _targets(cells: DataFrame, name: str, given: DataFrame | None,
+             temperature: float) -> DataFrame:
     """``name, target``: the share of all tokens that each category shall have."""
     now = cells.groupBy(name).agg(F.sum("tokens").alias("tokens"))
     if given is None:
@@ -47,19 +54,20 @@ def _targets(cells: DataFrame, name: str, given: DataFrame | None, temperature:
     else:
         wish = given.groupBy(F.coalesce(name, F.lit(NONE)).alias(name)).agg(F.max("share").alias("wish"))
         now = now.join(wish, name, "left").na.fill(0.0, ["wish"])
-    total = now.agg(F.sum("wish").alias("all_wishes"))
-    return measured(now.join(F.broadcast(total)).select(
-        name, F.when(F.col("all_wishes") > 0, F.col("wish") / F.col("all_wishes")).otherwise(0.0)
-        .alias("target")))
+    total = now.agg(F.sum("wish")).first()[0]
+    share = F.col("wish") / F.lit(total) if total else F.lit(0.0)
+    return settle(now.select(name, share.alias("target")).repartition(_files(cells)))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """Adds ``weight`` to the cells: one factor per category of every margin, fitted in turn.
 
     The cells stay as they are; only the margins' factors are rewritten, each by one partial
-    aggregation over the cells. A category without tokens keeps the factor 1.
+    aggregation over the cells. Spark broadcasts a stored margin if its size allows. A category
+    without tokens keeps the factor 1.
     """
     names = list(targets)
+    files = _files(cells)
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
     factors = {n: targets[n].select(n, F.lit(1.0).alias(f"of_{n}")) for n in names}
 
@@ -72,9 +80,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
         for name in names:
             sums = weighed([n for n in names if n != name]).groupBy(name).agg(
                 F.sum("fitted").alias("fitted"))
-            factors[name] = measured(targets[name].join(sums, name).select(
+            factors[name] = settle(targets[name].join(sums, name).select(
                 name, F.when(F.col("fitted") > 0, F.col("target") * total / F.col("fitted"))
-                .otherwise(1.0).alias(f"of_{name}")))
+                .otherwise(1.0).alias(f"of_{name}")).repartition(files))
     raked = reduce(lambda df, n: df.join(factors[n], n), names, cells)
     return raked.select(*names, "tokens", reduce(
         lambda x, n: x * F.col(f"of_{n}"), names, F.lit(1.0)).alias("weight"))
@@ -117,6 +125,7 @@ def mix(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFra
     cells = settle(docs.select(token_weight(F.col("text")).alias("tokens"),
                                *(c.alias(n) for n, c in key.items()))
                    .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")))
+    cells = settle(cells.repartition(_files(cells)))
     wishes = {n: _targets(cells, n, (targets or {}).get(n), temperature) for n in MARGINS}
     chances = measured(calibrated(settle(rake(cells, wishes, rounds)), keep).select(
         *(F.col(n).alias(f"_mix_{n}") for n in MARGINS), F.col("weight").alias("_mix_weight"),
