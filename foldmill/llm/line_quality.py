@@ -12,6 +12,7 @@ from foldmill.llm.arrays import Rolling, byte_symbols, slices, texts, words
 
 SAMPLE_PER_LABEL = 1_500   # labelled documents to learn from, of each label, at most
 FOLDS, HELD_OUT = 5, 0     # crc32(doc_id) mod FOLDS == HELD_OUT is never learned from
+SAMPLE_LINES = 5_000       # a document of more lines is scored, but not learned from
 THRESHOLD = 0.3
 STEPS = 150
 LINES = "label double, features array<double>, weights array<double>"
@@ -184,7 +185,8 @@ def held_out(doc_id) -> F.Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Chain | float:
-    """Fits the chain to at most ``per_label`` documents of each label, chosen by a hash of the id.
+    """Fits the chain to at most ``per_label`` documents of each label, chosen by a hash of the id,
+    and of those to the ones of at most ``SAMPLE_LINES`` lines.
 
     Lines are measured in Spark; only their features come to the driver, for the sample alone.
     If only one label or none is there to learn from, the result is that label (or 0.5).
@@ -201,12 +203,13 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
         for batch in batches:
             for part in slices(batch):
                 features, weights, rows = line_features(*texts(part.column("text")))
+                usable = np.diff(rows) <= SAMPLE_LINES
                 yield pa.RecordBatch.from_arrays(
                     [part.column("quality").cast(pa.float64()),
                      pa.array([features[a:b].ravel() for a, b in zip(rows[:-1], rows[1:])],
                               pa.list_(pa.float64())),
                      pa.array([weights[a:b] for a, b in zip(rows[:-1], rows[1:])], pa.list_(pa.float64()))],
-                    ["label", "features", "weights"])
+                    ["label", "features", "weights"]).filter(pa.array(usable))
 
     # The sample is bounded, so it is broadcast to the texts.
     found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
