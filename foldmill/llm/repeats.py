@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from foldmill.llm.arrays import (Rolling, byte_symbols, list_values, longs, mix, ranges, slices,
                                  sliding_min, texts, words)
 from foldmill.llm.store import PART, settle
+from foldmill.operators.keys import measured
 
 # (bytes, row offsets) -> symbols of two lanes, symbol offsets per row
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -64,11 +65,13 @@ class Phrases:
         opens, closes = self.bounds[full], self.bounds[full + 1] - window + 1
         change = np.flatnonzero(least[1:] != least[:-1]) + 1
         owner = np.searchsorted(opens, change, "right") - 1
-        inside = (owner >= 0) & (change < closes[owner]) & (change > opens[owner]) if len(full) else np.zeros(0, bool)
-        begin = np.concatenate([opens, change[inside]] if len(full) else [opens])
+        if not len(full):
+            change = owner = change[:0]
+        inside = (owner >= 0) & (change < closes[owner]) & (change > opens[owner])
+        begin = np.concatenate([opens, change[inside]])
         order = np.argsort(begin, kind="stable")
         begin = begin[order]
-        at = np.concatenate([np.arange(len(full)), owner[inside]] if len(full) else [opens])[order]
+        at = np.concatenate([np.arange(len(full)), owner[inside]])[order]
         self.row = full[at]
         self.start = begin
         self.count = np.minimum(np.append(begin[1:], len(least)), closes[at]) - begin
@@ -213,8 +216,9 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, window: int, gram: int)
         with_lone.mapInArrow(entries, ENTRIES).groupBy("mark1", "mark2")
         .agg(F.min("trigger").alias("trigger"), first)
         .select("trigger", "first.doc_id", "first.place"))
-    several = (dictionary.groupBy("trigger").agg(F.count("*").alias("entries"))
-               .filter("entries > 1").select("trigger", F.lit(1).alias("mixed")))
+    # Stored first, so that the join deals out the dictionary anew and a common trigger is split.
+    several = measured(dictionary.groupBy("trigger").agg(F.count("*").alias("entries"))
+                       .filter("entries > 1").select("trigger", F.lit(1).alias("mixed")))
     firsts = settle(_by_document(
         dictionary.join(several, "trigger", "left"),
         F.col("place") * 2 + F.coalesce("mixed", F.lit(0)), "entries"))
