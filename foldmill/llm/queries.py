@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from foldmill.llm.chat import format_conversations
 from foldmill.llm.lempel_ziv import duplicate_spans
 from foldmill.llm.line_quality import quality_scores
+from foldmill.llm.oracles import CHAT_FORMAT, SUBSTRING_DEDUP, TOP_K
 from foldmill.llm.order_minhash import fingerprint_edits
 from foldmill.llm.packing import pack
 from foldmill.llm.prefix_free import repeated_bytes
@@ -49,8 +50,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(hostile).alias("text"))
     return format_conversations(turns.unionByName(added)).select(
-        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
-        "n_tokens", "n_loss_tokens")
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,4 +104,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_raked_mix": mix_sql()}
+    return {"op1_raked_mix": mix_sql(), "op3_chat_format": CHAT_FORMAT,
+            "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K}
