@@ -196,6 +196,8 @@ class NeighbourScorer:
     beforehand: it checks the chain of shuffling, folding and reducing, and nothing else.
     """
 
+    max_span = 1    # pairs are neighbours, so the cost is linear in the length
+
     def available(self) -> bool:
         return True
 

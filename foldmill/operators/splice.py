@@ -16,6 +16,7 @@ from foldmill.functions.attributes import tab_field
 from foldmill.functions.sequences import reverse_complement
 from foldmill.operators.keys import measured
 from foldmill.operators.transcripts import feature_lines, with_parent
+from foldmill.session import settle
 
 BIN_SIZE = 32_768
 
@@ -137,6 +138,7 @@ def splice(models: DataFrame, pieces: DataFrame, bin_size: int = BIN_SIZE) -> Da
     size = F.least(F.col("end"), piece_end) - begin + 1
     # The exploded sides outgrow what Spark estimates for them, so neither may be
     # broadcast on that estimate. A crowded bin is split by the skew-join rule.
+    exons = settle(exons)
     wanted = measured(exons.select("seqid", "bin").distinct())
     pieces = pieces.join(wanted, ["seqid", "bin"], "left_semi")
     fragments = (exons.join(pieces.hint("merge"), ["seqid", "bin"])
