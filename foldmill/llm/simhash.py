@@ -29,8 +29,11 @@ PRINTS = "doc_id long, fingerprint long"
 LINKS = "one long, other long"
 
 
-def fingerprints(part: pa.RecordBatch, shingle: int = SHINGLE) -> np.ndarray:
-    """SimHash of every text of a chunk, as unsigned 64-bit numbers."""
+def shingle_hashes(part: pa.RecordBatch, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all texts of a chunk, text by text, and their number per text.
+
+    A text of fewer words has one shingle of them all, one without words has none.
+    """
     data, bounds = texts(part.column("text"))
     starts, ends, rows = words(data, bounds)
     counts = np.diff(rows)
@@ -47,6 +50,12 @@ def fingerprints(part: pa.RecordBatch, shingle: int = SHINGLE) -> np.ndarray:
     hashes = np.fromiter((digest(raw[a:b], SEED) for a, b in
                           zip(places[first].tolist(), (places[last] + sizes[last]).tolist())),
                          np.uint64, len(first))
+    return hashes, number
+
+
+def fingerprints(part: pa.RecordBatch, shingle: int = SHINGLE) -> np.ndarray:
+    """SimHash of every text of a chunk, as unsigned 64-bit numbers."""
+    hashes, number = shingle_hashes(part, shingle)
     row = np.repeat(np.arange(len(number)), number)
     out = np.zeros(len(number), np.uint64)
     bits = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
