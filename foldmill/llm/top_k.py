@@ -29,7 +29,10 @@ def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
 
 def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray,
                  queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best of one block for each query: numbers of queries and candidates, scores.
+    """The k best ids of one block for each query: numbers of queries and candidates, scores.
+
+    Of several candidates under one id the best counts, so the k bounds and the k best are those
+    of different ids.
 
     Every component has a list of the block's candidates, sorted by it. For one query the score
     is a sum of one term per list, and the list is read from the end where its term is
@@ -38,7 +41,9 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray,
     when no candidate outside its k best lower bounds can reach the k-th of them; exact scores
     then come from the terms that are left of those that can.
     """
-    n, width = vectors.shape
+    n = len(vectors)
+    by_id = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[0]] - 1))
     order = np.argsort(vectors, axis=0, kind="stable")
     lists = np.take_along_axis(vectors, order, axis=0)
     rank = np.empty_like(order)
@@ -58,14 +63,18 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray,
         own = ids[:, None] == query_ids[open_queries][None, :]
         upper[own] = -np.inf
         lower[own] = -np.inf
-        bar = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(open_queries), -np.inf)
+        if len(first) < n:
+            lower = np.maximum.reduceat(lower[by_id], first, axis=0)
+        rest = len(first) - k
+        bar = np.partition(lower, rest, axis=0)[rest] if rest > 0 else np.full(len(open_queries), -np.inf)
         able = (upper >= bar[None, :]) & (upper > -np.inf)
         counts = able.sum(axis=0)
         done = (counts <= max(4 * k, n // 64)) | (depth == n)
         for i in np.flatnonzero(done):
             rows = np.flatnonzero(able[:, i])
             scores = vectors[rows] @ queries[open_queries[i]]
-            best = np.lexsort((ids[rows], -scores))[:k]
+            best = np.lexsort((ids[rows], -scores))
+            best = best[np.sort(np.unique(ids[rows[best]], return_index=True)[1])[:k]]
             found.append((np.full(len(best), open_queries[i]), rows[best], scores[best]))
         open_queries = open_queries[~done]
     if not found:
@@ -78,7 +87,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, block: int = BL
     """The ``k`` candidates of highest inner product for every query.
 
     Both tables have ``vec_id`` and ``vector``, an array of longs. Candidates and queries are
-    dealt into blocks of bounded size by a hash, and each pair of blocks is searched by itself;
+    dealt into blocks of bounded size by a hash of the whole row, and each pair of blocks is searched by itself;
     the best of all blocks are then ranked per query, cut to k before the shuffle.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; fewer than k if
@@ -91,7 +100,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, block: int = BL
     counted = [df.agg(F.count("*"), F.max(F.size("vector"))).first() for df in rows]
     n_blocks, n_query_blocks = (max(1, -(-c[0] // size)) for c, size in zip(counted, (block, query_block)))
     width = max([1] + [c[1] for c in counted if c[1]])
-    number = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    number = lambda n: F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows[0].withColumn("block", number(n_blocks)).withColumn("query_block", spread(n_query_blocks))
     right = rows[1].withColumn("query_block", number(n_query_blocks)).withColumn("block", spread(n_blocks))
