@@ -13,6 +13,8 @@ ROUNDS = 8            # of fitting, each over all margins
 TEMPERATURE = 0.7     # exponent that flattens the shares of today into targets
 KEEP = 0.5            # share of all tokens to expect in the sample
 CALIBRATIONS = 4      # rounds that make up for probabilities cut off at 1
+BOUNDED_ROUNDS = 60   # of fitting with probabilities at most 1, at most
+TOLERANCE = 1e-6      # tokens by which a fitted margin may miss, as a share of all to expect
 SEED = 17
 ROWS_PER_FILE = 200_000   # of cells; a margin has no more categories than there are cells
 NONE = "(none)"       # category of a null
@@ -105,6 +107,112 @@ def calibrated(raked: DataFrame, keep: float = KEEP, rounds: int = CALIBRATIONS)
         F.lit(0.0), F.col("weight") * F.lit(scale))))
 
 
+def _goals(cells: DataFrame, targets: dict[str, DataFrame], keep: float) -> dict[str, DataFrame]:
+    """``name, goal``: the tokens to expect of each category, for every margin.
+
+    They follow the targets, but a category has no more than all of its tokens; what it lacks
+    goes to the others in proportion. All margins have the same sum, ``keep`` of all tokens or
+    what the categories with a target have.
+    """
+    wished = {}
+    budget = keep * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
+    for name, target in targets.items():
+        now = cells.groupBy(name).agg(F.sum("tokens").alias("tokens"))
+        wished[name] = settle(now.join(target, name).repartition(_files(cells)))
+        budget = min(budget, wished[name].filter("target > 0").agg(F.sum("tokens")).first()[0] or 0.0)
+    goals = {}
+    for name, wish in wished.items():
+        scale, full, before = budget, F.lit(False), -1
+        while True:
+            found = wish.agg(F.count(F.when(full, 1)).alias("full"),
+                             F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("whole"),
+                             F.sum(F.when(full, 0.0).otherwise(F.col("target"))).alias("rest")).first()
+            if found["full"] == before or not found["rest"]:
+                break
+            before, scale = found["full"], (budget - found["whole"]) / found["rest"]
+            full = full | (F.col("target") * F.lit(scale) >= F.col("tokens"))
+        goals[name] = wish.select(name, F.when(full, F.col("tokens")).otherwise(
+            F.col("target") * F.lit(scale)).alias("goal"))
+    return goals
+
+
+def bounded(raked: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP) -> DataFrame:
+    """Adds ``probability``: ``keep`` times the weight times a factor per category of every
+    margin, at most 1, so that the margins of tokens times probability are ``keep`` of all tokens
+    dealt out by the targets.
+
+    The margins are fitted in turn: cells at 1 are fixed and the others of a category share what
+    is left, until all margins hold within ``TOLERANCE``, or for ``BOUNDED_ROUNDS`` where no
+    probabilities meet them all. A category that is to have more than all of its tokens is
+    taken whole.
+    """
+    names = list(targets)
+    files = _files(raked)
+    goals = {n: settle(g.repartition(files)) for n, g in _goals(raked, targets, keep).items()}
+    allowed = TOLERANCE * (goals[names[0]].agg(F.sum("goal")).first()[0] or 0.0)
+    factors = {n: goals[n].select(n, F.lit(1.0).alias(f"of_{n}")) for n in names}
+    left = F.col("goal") - F.col("whole")
+    step = (F.when((F.col("rest") > 0) & (left > 0), left / F.col("rest"))
+            .when(F.col("whole") + F.col("rest") > 0, F.col("goal") / (F.col("whole") + F.col("rest")))
+            .otherwise(1.0))
+
+    def chances() -> DataFrame:
+        joined = reduce(lambda df, n: df.join(factors[n].select(n, f"of_{n}"), n), names, raked)
+        return joined.withColumn("chance", reduce(
+            lambda x, n: x * F.col(f"of_{n}"), names, F.col("weight") * F.lit(keep)))
+
+    for _ in range(BOUNDED_ROUNDS):
+        missed = 0.0
+        for name in names:
+            full = F.col("chance") >= 1
+            sums = chances().groupBy(name).agg(
+                F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("whole"),
+                F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * F.col("chance"))).alias("rest"))
+            own = F.col(f"of_{name}") * step
+            factors[name] = settle(
+                goals[name].join(sums, name).join(factors[name].select(name, f"of_{name}"), name)
+                .select(name, F.greatest(F.lit(1e-60), F.least(F.lit(1e60), own)).alias(f"of_{name}"),
+                        F.abs(left - F.col("rest")).alias("missed")).repartition(files))
+            missed = max(missed, factors[name].agg(F.max("missed")).first()[0] or 0.0)
+        if missed <= allowed:
+            break
+    return chances().select(*raked.columns, F.least(F.lit(1.0), F.greatest(
+        F.lit(0.0), F.col("chance"))).alias("probability"))
+
+
+def _fitted(docs: DataFrame, topic: Column | None, targets: dict[str, DataFrame] | None,
+            temperature: float, keep: float, rounds: int) -> tuple[dict[str, Column], DataFrame, dict[str, DataFrame]]:
+    """Category columns of a document, the cells with weight and probability, and the targets."""
+    key = {"source": F.coalesce("source", F.lit(NONE)), "lang": F.coalesce("lang", F.lit(NONE)),
+           "topic": F.coalesce(topic_of(F.col("text")) if topic is None else topic, F.lit(NONE))}
+    cells = settle(docs.select(token_weight(F.col("text")).alias("tokens"),
+                               *(c.alias(n) for n, c in key.items()))
+                   .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")))
+    cells = settle(cells.repartition(_files(cells)))
+    wishes = {n: _targets(cells, n, (targets or {}).get(n), temperature) for n in MARGINS}
+    return key, bounded(settle(rake(cells, wishes, rounds)), wishes, keep), wishes
+
+
+def expected_margins(docs: DataFrame, topic: Column | None = None,
+                     targets: dict[str, DataFrame] | None = None, temperature: float = TEMPERATURE,
+                     keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
+    """What ``mix`` with the same arguments expects: a row per category of every margin.
+
+    Columns margin, category, target and expected (shares of all expected tokens), and met:
+    false where no sample of that size has tokens enough to follow the target.
+    """
+    _, chances, wishes = _fitted(docs, topic, targets, temperature, keep, rounds)
+    chances = settle(chances)
+    total = chances.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] or 0.0
+    share = F.col("expected") / F.lit(total) if total else F.lit(0.0)
+    return reduce(DataFrame.unionByName, (
+        chances.groupBy(n).agg(F.sum(F.col("tokens") * F.col("probability")).alias("expected"))
+        .join(wishes[n], n).select(F.lit(n).alias("margin"), F.col(n).alias("category"), "target",
+                                   share.alias("expected"))
+        .withColumn("met", F.abs(F.col("expected") - F.col("target")) <= 10 * TOLERANCE)
+        for n in MARGINS))
+
+
 def mix(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None,
         temperature: float = TEMPERATURE, keep: float = KEEP, rounds: int = ROUNDS,
         seed: int = SEED) -> DataFrame:
@@ -113,21 +221,17 @@ def mix(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFra
     ``targets`` may give a table (category, ``share``) per margin, ``source``, ``lang`` or
     ``topic``; a category it lacks gets nothing. Without one, a margin's target is its present
     shares to the power ``temperature``, made to sum to 1. Tokens are counted per cell of the three
-    margins, the cells are raked, and each document is taken with its cell's probability.
+    margins, the cells are raked, then fitted with probabilities of at most 1 (``bounded``), and
+    each document is taken with its cell's probability. ``expected_margins`` tells which targets
+    cannot be met.
 
     Returns the rows taken, all their columns, and mix_weight and mix_probability (columns of
     these names are replaced). Null source, lang or topic are a category of their own. Null and
     empty texts have no tokens: they are taken with their cell's probability and change no
     target. Repeated rows of one id are taken together. A null id counts as an empty one.
     """
-    key = {"source": F.coalesce("source", F.lit(NONE)), "lang": F.coalesce("lang", F.lit(NONE)),
-           "topic": F.coalesce(topic_of(F.col("text")) if topic is None else topic, F.lit(NONE))}
-    cells = settle(docs.select(token_weight(F.col("text")).alias("tokens"),
-                               *(c.alias(n) for n, c in key.items()))
-                   .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")))
-    cells = settle(cells.repartition(_files(cells)))
-    wishes = {n: _targets(cells, n, (targets or {}).get(n), temperature) for n in MARGINS}
-    chances = measured(calibrated(settle(rake(cells, wishes, rounds)), keep).select(
+    key, chances, _ = _fitted(docs, topic, targets, temperature, keep, rounds)
+    chances = measured(chances.select(
         *(F.col(n).alias(f"_mix_{n}") for n in MARGINS), F.col("weight").alias("_mix_weight"),
         F.col("probability").alias("_mix_probability")))
     marked = docs.drop("mix_weight", "mix_probability").withColumns(
