@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from foldmill.llm.chat import format_conversations
 from foldmill.llm.lempel_ziv import duplicate_spans
 from foldmill.llm.line_quality import quality_scores
+from foldmill.llm.merkle import manifest, manifest_sql
 from foldmill.llm.oracles import CHAT_FORMAT, SUBSTRING_DEDUP, TOP_K
 from foldmill.llm.order_minhash import fingerprint_edits
 from foldmill.llm.packing import pack
@@ -94,9 +95,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle tree and proofs of all ``documents``; every seventh id's row is tampered with."""
+    number = F.col("n_chars")
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = F.when(picked, F.try_add(number, F.lit(1).cast("long"))).otherwise(number)
+    return manifest(_table(spark, sf_dir, "documents"), {"n_chars": changed}).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_raked_mix, op2_order_minhash, op3_chat_format, op4_substring_dedup, op5_line_quality,
-    op6_token_counts, op7_packing, op8_top_k, op9_simhash_components, op10_suffix_dedup)
+    op6_token_counts, op7_packing, op8_top_k, op9_simhash_components, op10_suffix_dedup,
+    op13_merkle_manifest)
 
 
 def queries() -> dict[str, Query]:
@@ -105,4 +116,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_raked_mix": mix_sql(), "op3_chat_format": CHAT_FORMAT,
-            "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K}
+            "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K, "op13_merkle_manifest": manifest_sql()}
