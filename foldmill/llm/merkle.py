@@ -77,50 +77,56 @@ def _blocks(nodes: DataFrame, width: int) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("idx", "row"))).alias("rows")))
 
 
-def _hashed(blocks: DataFrame, arity: int, depth: int) -> DataFrame:
-    """Adds ``height``, ``levels`` and ``last`` to the blocks: how many levels are built, their
-    strings, and whether the block is the only one of its key.
+def _hashed(nodes: DataFrame, arity: int, depth: int) -> DataFrame:
+    """Blocks ``key, block, rows, last, height, levels``: ``last`` tells the only block of its key,
+    ``height`` how many levels are built above the bottom, ``levels`` are the strings of all.
 
     A block among others is carried up all ``depth`` levels, a lone node being hashed by itself;
     an only block ends at one node.
     """
-    number = blocks.groupBy("key").agg(F.max("block").alias("_last"))
+    width = arity ** depth
+    number = nodes.groupBy("key").agg((F.max("idx") < width).alias("last"))
     size = F.size("rows")
     only = F.lit(depth)
     for level in range(depth - 1, -1, -1):
         only = F.when(size <= arity ** level, F.lit(level)).otherwise(only)
     bottom = F.array_join(F.transform("rows", lambda r: r["row"]["digest"]), "")
-    return (blocks.join(number, "key")
-            .withColumn("last", F.col("_last") == 0)
+    return (_blocks(nodes, width).join(number, "key")
             .withColumn("height", F.when(F.col("last"), only).otherwise(F.lit(depth)))
-            .withColumn("levels", _levels(bottom, F.col("height"), arity))
-            .drop("_last"))
+            .withColumn("levels", _levels(bottom, F.col("height"), arity)))
+
 
+NO_PATH = "array<struct<left:string,right:string>>"
 
-def _roots_and_paths(nodes: DataFrame, arity: int, depth: int) -> DataFrame:
-    """``key, idx, row, top, path`` of the nodes ``key, idx, row``: the root of the node's key, and
-    the siblings at every level up to it.
 
-    The blocks' roots are nodes of the same kind, so they recurse until each key has one block. On the way back
-    a block learns its own path from its parent's block; only block rows are joined, ``width``
-    times fewer than nodes at each step.
+def _trees(nodes: DataFrame, arity: int, depth: int) -> DataFrame:
+    """The blocks of the nodes ``key, idx, row`` with ``top``, the root of their key, and ``path``,
+    the siblings at every level from the block's root up to it.
+
+    The blocks' roots are nodes of the same kind, so they recurse until each key has one block.
+    On the way back a block learns its path from its parent's block; only block rows are
+    joined, ``arity ** depth`` times fewer than nodes at each step.
     """
-    width = arity ** depth
-    blocks = settle(_hashed(_blocks(nodes, width), arity, depth))
-    done = blocks.filter("last").select(
-        "*", F.element_at("levels", -1).alias("top"),
-        F.array().cast("array<struct<left:string,right:string>>").alias("path"))
-    if not blocks.filter("not last").isEmpty():
-        upper = _roots_and_paths(
-            blocks.filter("not last").select(
-                "key", F.col("block").alias("idx"), F.struct(F.element_at("levels", -1).alias("digest")).alias("row")),
-            arity, depth).select("key", F.col("idx").alias("block"), "top", "path")
-        done = done.unionByName(blocks.filter("not last").join(upper, ["key", "block"]))
+    blocks = settle(_hashed(nodes, arity, depth))
+    root = F.element_at("levels", -1)
+    done = blocks.filter("last").select("*", root.alias("top"), F.array().cast(NO_PATH).alias("path"))
+    several = blocks.filter("not last")
+    if several.isEmpty():
+        return done
+    upper = _trees(several.select("key", F.col("block").alias("idx"), F.struct(root.alias("digest")).alias("row")),
+                   arity, depth)
+    upper = _opened(upper, arity, depth).select("key", F.col("idx").alias("block"), "top", "path")
+    return done.unionByName(several.join(upper, ["key", "block"]))
+
+
+def _opened(trees: DataFrame, arity: int, depth: int) -> DataFrame:
+    """``key, idx, row, top, path``: the nodes of the blocks, each with its path to the root."""
     found = F.transform("rows", lambda r: F.struct(
         r["idx"].alias("idx"), r["row"].alias("row"),
-        _flanks(F.col("levels"), F.pmod(r["idx"], F.lit(width)).cast("int"), F.col("height"), arity).alias("own")))
-    return settle(done.select("key", "top", "path", F.explode(found).alias("node")).select(
-        "key", "node.idx", "node.row", "top", F.concat("node.own", "path").alias("path")))
+        _flanks(F.col("levels"), F.pmod(r["idx"], F.lit(arity ** depth)).cast("int"), F.col("height"),
+                arity).alias("own")))
+    return trees.select("key", "top", "path", F.explode(found).alias("node")).select(
+        "key", "node.idx", "node.row", "top", F.concat("node.own", "path").alias("path"))
 
 
 def fold(leaf: Column, path: Column) -> Column:
@@ -163,13 +169,14 @@ def manifest(docs: DataFrame, tampered: dict[str, Column] | None = None, arity:
                                 leaf.alias("digest"), false.alias("false_digest")))
     placed = with_index(marked, ["key"], ["doc_id", "digest"])
     nodes = placed.select("key", "idx", F.struct("digest", "doc_id", "lang", "false_digest").alias("row"))
-    leaves = _roots_and_paths(nodes, arity, depth)
-    subroots = leaves.filter("idx = 0").select("key", F.struct(F.col("top").alias("digest")).alias("row"))
+    trees = _trees(nodes, arity, depth)
+    subroots = trees.filter("block = 0").select("key", F.struct(F.col("top").alias("digest")).alias("row"))
     # One node per language: a tree like the others, of a single key.
     listed = with_index(subroots, [], ["key"]).select(
         F.lit(ALL).alias("key"), "idx", F.struct("row.digest", F.col("key").alias("lang_key")).alias("row"))
-    above = _roots_and_paths(listed, arity, depth).select(
+    above = _opened(_trees(listed, arity, depth), arity, depth).select(
         F.col("row.lang_key").alias("key"), F.col("top").alias("root"), F.col("path").alias("upper"))
+    leaves = _opened(trees, arity, depth)
     whole = leaves.join(above, "key").withColumn("path", F.concat("path", "upper"))
     return whole.select(
         "row.doc_id", "row.lang", F.col("row.digest").alias("leaf"), F.col("top").alias("subroot"), "root", "path",
