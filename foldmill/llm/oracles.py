@@ -49,3 +49,46 @@ scores AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
   vec_id, score FROM scores QUALIFY rank <= 10"""
+
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+
+# Equal vectors are one row here; all pairs of the others are compared.
+EMBEDDING_LINKS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS one, b.vec_id AS other FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reached(vec_id, component_id) AS (
+  SELECT DISTINCT one, one FROM links
+  UNION
+  SELECT other, component_id FROM reached JOIN links ON vec_id = one WHERE component_id < other),
+least AS (SELECT vec_id, min(component_id) AS component_id FROM reached GROUP BY vec_id),
+degree AS (SELECT one AS vec_id, count(*) AS n FROM links GROUP BY one)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM (SELECT vec_id FROM embeddings WHERE vec_id IS NOT NULL) AS e
+LEFT JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)"""

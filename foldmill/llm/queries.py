@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldmill.llm.chat import format_conversations
+from foldmill.llm.hard_negatives import mine
 from foldmill.llm.lempel_ziv import duplicate_spans
 from foldmill.llm.line_quality import quality_scores
 from foldmill.llm.merkle import manifest, manifest_sql
-from foldmill.llm.oracles import CHAT_FORMAT, SUBSTRING_DEDUP, TOP_K
+from foldmill.llm.oracles import CHAT_FORMAT, HARD_NEGATIVES, SUBSTRING_DEDUP, TOP_K
 from foldmill.llm.order_minhash import fingerprint_edits
 from foldmill.llm.packing import pack
 from foldmill.llm.prefix_free import repeated_bytes
@@ -95,6 +96,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives in ``embeddings`` for every hundredth vec_id; every seventh label is shifted."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select(
+        "vec_id", shifted.alias("label"), whole_numbers(F.col("embedding"), 256).alias("vector"))
+    return mine(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle tree and proofs of all ``documents``; every seventh id's row is tampered with."""
     number = F.col("n_chars")
@@ -107,7 +116,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: tuple[Query, ...] = (
     op1_raked_mix, op2_order_minhash, op3_chat_format, op4_substring_dedup, op5_line_quality,
     op6_token_counts, op7_packing, op8_top_k, op9_simhash_components, op10_suffix_dedup,
-    op13_merkle_manifest)
+    op11_hard_negatives, op13_merkle_manifest)
 
 
 def queries() -> dict[str, Query]:
@@ -116,4 +125,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_raked_mix": mix_sql(), "op3_chat_format": CHAT_FORMAT,
-            "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K, "op13_merkle_manifest": manifest_sql()}
+            "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K, "op11_hard_negatives": HARD_NEGATIVES,
+            "op13_merkle_manifest": manifest_sql()}
