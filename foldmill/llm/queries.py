@@ -11,7 +11,8 @@ from foldmill.llm.hard_negatives import mine
 from foldmill.llm.lempel_ziv import duplicate_spans
 from foldmill.llm.line_quality import quality_scores
 from foldmill.llm.merkle import manifest, manifest_sql
-from foldmill.llm.oracles import CHAT_FORMAT, HARD_NEGATIVES, SUBSTRING_DEDUP, TOP_K
+from foldmill.llm.oracles import (CHAT_FORMAT, EMBEDDING_LINKS, HARD_NEGATIVES, SUBSTRING_DEDUP,
+                                  TOP_K)
 from foldmill.llm.order_minhash import fingerprint_edits
 from foldmill.llm.packing import pack
 from foldmill.llm.prefix_free import repeated_bytes
@@ -19,6 +20,7 @@ from foldmill.llm.raking import NONE, mix, mix_sql, token_weight, topic_of
 from foldmill.llm.simhash import simhash_components
 from foldmill.llm.token_counts import token_counts
 from foldmill.llm.top_k import top_k, whole_numbers
+from foldmill.llm.vector_links import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +106,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(rows, rows.filter(F.col("vec_id") % 100 == 0))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all ``embeddings`` of cosine 0.95 or more."""
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle tree and proofs of all ``documents``; every seventh id's row is tampered with."""
     number = F.col("n_chars")
@@ -116,7 +123,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: tuple[Query, ...] = (
     op1_raked_mix, op2_order_minhash, op3_chat_format, op4_substring_dedup, op5_line_quality,
     op6_token_counts, op7_packing, op8_top_k, op9_simhash_components, op10_suffix_dedup,
-    op11_hard_negatives, op13_merkle_manifest)
+    op11_hard_negatives, op12_embedding_dedup, op13_merkle_manifest)
 
 
 def queries() -> dict[str, Query]:
@@ -126,4 +133,4 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {"op1_raked_mix": mix_sql(), "op3_chat_format": CHAT_FORMAT,
             "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K, "op11_hard_negatives": HARD_NEGATIVES,
-            "op13_merkle_manifest": manifest_sql()}
+            "op12_embedding_dedup": EMBEDDING_LINKS,            "op13_merkle_manifest": manifest_sql()}
