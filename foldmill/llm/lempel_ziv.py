@@ -33,10 +33,10 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     The reference of a document is all text before it (smaller ``doc_id``, or the same text
     further left). It is indexed in blocks, one per range of fingerprints, not per range of
     documents: a document is looked up only in blocks that can hold its phrases, and the work
-    grows with the corpus instead of its square. Parsing is greedy from left to right. A factor
-    runs on as long as the next phrase is a copy of a dictionary entry; where it ends, every
-    window across the boundary is looked up by itself, so no repeated window is lost between
-    two factors. Factors of at least ``window`` words are the duplicate spans.
+    grows with the corpus instead of its square. Texts are not factored word by word: they are cut
+    into phrases at triggers, phrases that are copies of a dictionary entry are repeated as a
+    whole, and the windows of first entries at the edges of repeated passages are looked up one by one
+    (``repeats``). Runs of words that such windows cover are the duplicate spans.
 
     Returns per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by
     one space), kept_text (the same words, or the text as it is if nothing is removed), and spans

@@ -15,7 +15,8 @@ which a hot key shrinks before it is shuffled and no group is ever gathered:
    go, the windows of the others are fingerprinted one by one.
 
 A window is then repeated unless its own place was found to be the first. Phrases and
-windows are compared by 128-bit fingerprints.
+windows are compared by two 64-bit rolling hashes. They are of few symbols (40 words or 200 bytes), for
+which such hashes are sound; long words, which are not, are hashed by themselves.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from foldmill.llm.arrays import (Rolling, byte_symbols, list_values, longs, mix, ranges, slices,
@@ -35,9 +37,21 @@ from foldmill.operators.keys import measured
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
+# Words of more bytes are hashed one by one. A rolling hash modulo a power of two is weak for long
+# ones: a Thue-Morse word of 1,024 letters and its complement agree whatever the base.
+LONG_WORD = 32
+
+
 def word_symbols(data: np.ndarray, bounds: np.ndarray):
+    """Two 64-bit lanes per word that depend on its bytes alone."""
     starts, ends, rows = words(data, bounds)
-    return (*(Rolling(byte_symbols(lane)[data], lane).spans(starts, ends) for lane in (0, 1)), rows)
+    lanes = [Rolling(byte_symbols(lane)[data], lane).spans(starts, ends) for lane in (0, 1)]
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    if len(long):
+        own = [xxhash.xxh3_128_intdigest(data[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        lanes[0][long] = np.array([x >> 64 for x in own], np.uint64)
+        lanes[1][long] = np.array([x & (1 << 64) - 1 for x in own], np.uint64)
+    return *lanes, rows
 
 
 def text_bytes(data: np.ndarray, bounds: np.ndarray):

@@ -37,6 +37,12 @@ def _rows(vectors: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The rows times a power of two each, which rounds nothing, so that squares stay in range."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -power)
+
+
 def rotated(vectors: np.ndarray, width: int) -> np.ndarray:
     """The vectors at length 1 under a fixed rotation: twice random signs and a Hadamard transform.
 
@@ -45,8 +51,7 @@ def rotated(vectors: np.ndarray, width: int) -> np.ndarray:
     """
     rng = np.random.default_rng(SEED)
     out = np.zeros((len(vectors), width))
-    out[:, :vectors.shape[1]] = vectors
-    out /= np.abs(out).max(axis=1, keepdims=True)
+    out[:, :vectors.shape[1]] = _scaled(vectors)
     out /= np.sqrt((out * out).sum(axis=1, keepdims=True))
     for _ in range(2):
         out *= rng.choice([-1.0, 1.0], width)
@@ -124,7 +129,7 @@ def _compared(grid: Grid, cosine: float, width: int):
         group = group.combine_chunks()
         space = group.column("space")[0].as_py()
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        vectors = _rows(group.column("vector"), width)
+        vectors = _scaled(_rows(group.column("vector"), width))
         points = rotated(vectors, grid.width)
         norms = np.sqrt((vectors * vectors).sum(axis=1))
         home = group.column("home").to_numpy(zero_copy_only=False)

@@ -76,3 +76,20 @@ def top_k(rows, queries, k):
         scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows.items() if i != q)
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return out
+
+
+def shingles(text, size=5):
+    own = [w.lower() for w in words(text)]
+    return {b" ".join(own[i:i + size]) for i in range(max(1, len(own) - size + 1))}
+
+
+def kept_of_similar(rows, similarity=0.8):
+    """Smallest ids of the components, by comparing all pairs."""
+    sets = {i: shingles(t) for i, t in rows}
+    label = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= similarity:
+                a, b = sorted((label[i], label[j]))
+                label = {k: a if v == b else v for k, v in label.items()}
+    return set(label.values())

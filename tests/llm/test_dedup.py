@@ -169,3 +169,16 @@ def test_components_of_a_path_and_a_star(spark):
         {(i, 0) for i in range(61)} | {(i, 100) for i in range(100, 160)})
     nothing = spark.createDataFrame([], "a long, b long")
     assert component_labels(nothing, "a", "b").count() == 0
+
+
+@pytest.mark.parametrize("size", [64, 1024, 2048, 4096])
+def test_words_that_a_rolling_hash_confuses(spark, size):
+    """A Thue-Morse word and its complement in two documents of 21 words that else agree."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(n, " ".join([*(f"w{i}" for i in range(10)), word, *(f"v{i}" for i in range(10))]))
+            for n, word in enumerate([one, other, one])]
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in
+             duplicate_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute.substring_dedup(rows)
+    assert [found[n][1] for n in range(3)] == [0, 0, 21]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from foldmill.llm.raking import bounded, expected_margins, rake
+from foldmill.llm.raking import bounded, expected_margins
 from foldmill.llm.store import settle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -26,7 +26,7 @@ def test_margins_hold_with_probabilities_at_1(spark):
               for n, cs in (("source", "abc"), ("lang", "xy"), ("topic", "tu"))}
     cells = settle(cells.coalesce(1))
     tables = {n: settle(spark.createDataFrame(list(w.items()), f"{n} string, target double").coalesce(1)) for n, w in wishes.items()}
-    fitted = bounded(settle(rake(cells, tables)), tables, total / 1000)
+    fitted = bounded(cells, tables, total / 1000)
     chances = [r.probability for r in fitted.collect()]
     assert sorted(chances)[-2:] == [1, 1] and min(chances) >= 0
     for name, wish in wishes.items():
@@ -38,7 +38,7 @@ def test_category_with_too_few_tokens_is_taken_whole(spark):
     tables = {"source": {"a": 0.6, "b": 0.2, "c": 0.2}, "lang": {"x": 1.0}, "topic": {"t": 1.0}}
     cells = settle(cells.coalesce(1))
     tables = {n: settle(spark.createDataFrame(list(w.items()), f"{n} string, target double").coalesce(1)) for n, w in tables.items()}
-    fitted = bounded(settle(rake(cells, tables)), tables, 0.5)
+    fitted = bounded(cells, tables, 0.5)
     assert margin(fitted, "source") == pytest.approx({"a": 10, "b": 20, "c": 20}, rel=1e-4)
 
 

@@ -13,7 +13,9 @@ import __spark_entry__
 import corpus_pipeline
 from foldmill.llm.packing import CAPACITY, Encoder, best_fill, best_fit, pack, slots, solve
 from foldmill.llm.queries import oracle_sql, queries
-from foldmill.llm.raking import calibrated, mix, rake
+from foldmill.llm import raking
+from foldmill.llm.raking import bounded, mix
+from foldmill.llm.store import settle
 from foldmill.llm.top_k import top_k, whole_numbers
 from llm import brute
 from oracle import connect, differences
@@ -34,12 +36,22 @@ def test_raked_margins(spark):
                                    ("b", "y", "t", 20.0)], "source string, lang string, topic string, tokens double")
     wishes = {"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.3, "y": 0.7}, "topic": {"t": 0.4, "u": 0.6}}
     tables = {n: spark.createDataFrame(list(w.items()), f"{n} string, target double") for n, w in wishes.items()}
-    raked = rake(cells, tables, rounds=60)
+    fitted = settle(bounded(settle(cells.coalesce(1)), {n: settle(t) for n, t in tables.items()}, keep=0.1))
     for name, wish in wishes.items():
-        got = {r[0]: r[1] / 100 for r in raked.groupBy(name).agg(F.sum(F.col("tokens") * F.col("weight"))).collect()}
-        assert got == pytest.approx(wish, abs=1e-6)
-    kept = calibrated(raked, 0.5).agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0]
-    assert kept == pytest.approx(50, rel=1e-6)
+        got = {r[0]: r[1] / 10 for r in fitted.groupBy(name).agg(F.sum(F.col("tokens") * F.col("probability"))).collect()}
+        assert got == pytest.approx(wish, abs=1e-5)
+
+
+def test_few_cells_are_fitted_like_many(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    tables = {"lang": spark.createDataFrame([("en", 0.7), ("de", 0.3)], "lang string, share double")}
+    for targets in (None, tables):
+        both = [{(r.source, r.lang, r.topic): r for r in raking._fitted(
+            docs, None, targets, 0.7, 0.3, 60, in_one_task=alone)[1].collect()} for alone in (True, False)]
+        assert set(both[0]) == set(both[1])
+        for cell, row in both[0].items():
+            assert row.probability == pytest.approx(both[1][cell].probability, abs=1e-4)
+            assert row.target_lang == pytest.approx(both[1][cell].target_lang)
 
 
 def test_mix_of_odd_tables(spark):
@@ -177,8 +189,7 @@ def test_stages(spark):
     assert all(after <= earlier for earlier, after in zip(ids, ids[1:]))
     bad = {r.doc_id for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").filter("quality = 0").collect()}
     assert len(ids[1] & bad) <= 1 and len(ids[0] - ids[1]) <= 0.3 * len(ids[0])
-    labels = brute.components({i: brute.simhash(texts[i]) for i in ids[1]})
-    assert ids[2] == set(labels.values())
+    assert ids[2] == brute.kept_of_similar([(i, texts[i]) for i in ids[1]])
     want = brute.substring_dedup([(i, texts[i]) for i in ids[2]])
     for r in kept[3].collect():
         assert len(brute.words(r.text)) == want[r.doc_id][0] - want[r.doc_id][1] and r.n_chars == len(r.text)
@@ -200,4 +211,4 @@ def test_pipeline_of_odd_documents(spark):
 def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
