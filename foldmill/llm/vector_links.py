@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from itertools import product
-from math import ceil, log, sqrt
+from math import ceil, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +15,14 @@ from foldmill.operators.keys import measured
 
 COSINE = 0.95
 DIMS = 8              # of a subspace
-CELL_ROWS = 16_384    # vectors of a grid cell to aim for, on average
-BLOCK = 2_048         # vectors compared with as many others in one task
+CELL_ROWS = 8_192     # vectors of a grid cell to aim for
+BLOCK = 8_192         # vectors of a cell compared with as many others in one task
+STRIP = 512           # of them at a time
 PAIRS = 65_536        # pairs that are verified at a time
 # A budget is raised by so much, which covers the rounding of coordinates.
 SLACK = 1e-9
+# The same for squared distances in single precision, which only pick the pairs to verify.
+COARSE = 1e-5
 SEED = 12
 
 KEYED = "space int, cell long, home boolean, id long, size long, vector {}"
@@ -81,8 +84,8 @@ class Grid:
         self.budget = (2 - 2 * cosine) / self.spaces * (1 + SLACK) + SLACK
         self.reach = sqrt(self.budget)
         self.side = 2 * self.reach
-        # Cells fall by some such factor with each axis: most coordinates are in the middle few.
-        self.axes = min(dims, max(1, ceil(log(max(1, rows / CELL_ROWS)) / log(2.7))))
+        # The largest cells halve with each axis: most coordinates are in the middle two.
+        self.axes = min(dims, max(1, ceil(log2(max(1, rows / CELL_ROWS)))))
         self.radix = 2 * ceil(1 / self.side) + 5
         self.offsets = [o for o in product((-1, 0, 1), repeat=self.axes) if o > (0,) * self.axes]
 
@@ -135,34 +138,41 @@ def _compared(grid: Grid, cosine: float, width: int):
         home = group.column("home").to_numpy(zero_copy_only=False)
         size, ids = group.column("size").to_numpy(), group.column("id").to_numpy()
         own = group.column("own").to_numpy()
-        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        sub = points[:, space * grid.dims:(space + 1) * grid.dims]
-        square = (sub * sub).sum(axis=1)
+        # Products of these are squared distances in the subspace.
+        sub = points[:, space * grid.dims:(space + 1) * grid.dims].astype(np.float32)
+        square, one = (sub * sub).sum(axis=1, keepdims=True), np.ones((len(sub), 1), np.float32)
+        first, second = np.hstack([-2 * sub, square, one]), np.hstack([sub, one, square])
         links = np.zeros(len(ids), np.int64)
         label = np.arange(len(ids))
-        step = max(1, PAIRS * 8 // max(1, len(right)))
-        for at in range(0, len(left), step):
-            rows = left[at:at + step]
-            near = square[rows][:, None] + square[right][None, :] - 2 * (sub[rows] @ sub[right].T) <= grid.budget + 1e-9
-            near &= home[rows][:, None] | home[right][None, :]
-            if low == high:
-                near &= rows[:, None] < right[None, :]
-            a, b = np.nonzero(near)
-            one, other = [], []
-            for start in range(0, len(a), PAIRS):
-                i, j = rows[a[start:start + PAIRS]], right[b[start:start + PAIRS]]
-                # A pair that meets in several subspaces counts in the first.
-                here = grid.first_space(points[i] - points[j]) == space
-                i, j = i[here], j[here]
-                angle = (vectors[i] * vectors[j]).sum(axis=1) / (norms[i] * norms[j])
-                one.append(i[angle >= cosine])
-                other.append(j[angle >= cosine])
-            if one:
-                one, other = np.concatenate(one), np.concatenate(other)
-                np.add.at(links, one, size[other])
-                np.add.at(links, other, size[one])
-                label = _forest(np.concatenate([one, np.arange(len(ids))]),
-                                np.concatenate([other, label]), len(ids))
+
+        def near(left: np.ndarray, right: np.ndarray, twice: bool):
+            """Pairs that may be within the budget, a strip of ``left`` at a time."""
+            for at in range(0, len(left), STRIP):
+                rows = left[at:at + STRIP]
+                found = np.flatnonzero(first[rows] @ second[right].T <= grid.budget + COARSE)
+                i, j = rows[found // max(1, len(right))], right[found % max(1, len(right))]
+                yield (i[i < j], j[i < j]) if twice else (i, j)
+
+        def verified(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            # A pair that meets in several subspaces counts in the first.
+            here = grid.first_space(points[i] - points[j]) == space
+            i, j = i[here], j[here]
+            good = (vectors[i] * vectors[j]).sum(axis=1) / (norms[i] * norms[j]) >= cosine
+            return i[good], j[good]
+
+        at_low, at_high = own == low, own == high
+        halves = [(np.flatnonzero(at_low & home), np.flatnonzero(at_high & home), low == high),
+                  (np.flatnonzero(at_low & home), np.flatnonzero(at_high & ~home), False)]
+        if low < high:
+            halves.append((np.flatnonzero(at_low & ~home), np.flatnonzero(at_high & home), False))
+        for left, right, twice in halves:
+            for i, j in near(left, right, twice):
+                pairs = [verified(i[n:n + PAIRS], j[n:n + PAIRS]) for n in range(0, len(i), PAIRS)]
+                if pairs:
+                    i, j = (np.concatenate(p) for p in zip(*pairs))
+                    np.add.at(links, i, size[j])
+                    np.add.at(links, j, size[i])
+                    label = _forest(np.concatenate([i, np.arange(len(ids))]), np.concatenate([j, label]), len(ids))
         linked = np.flatnonzero(links)
         return pa.table({"one": ids[linked], "other": ids[label[linked]], "links": links[linked]})
     return compare
