@@ -7,13 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foldmill.fixed_values import MANIFEST_COLUMNS, RAW_MANIFEST_COLUMNS
 from foldmill.functions.energies import fixed4_or_na
 from foldmill.operators.keys import keep_last
 
-MANIFEST_COLUMNS = ("gene_id", "transcript_id", "region", "length",
-                    "selection_reason", "short_utrs")
-RAW_MANIFEST_COLUMNS = ("gene_id", "transcript_id", "region")
-
 
 def latest_manifest(manifest: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """One manifest row per sequence: the last one in ``order``."""
@@ -31,13 +28,13 @@ def collate_results(results: DataFrame, manifest: DataFrame | None) -> DataFrame
     return _attach(named, manifest, MANIFEST_COLUMNS, measures)
 
 
-def collate_raw(raw: DataFrame, manifest: DataFrame | None) -> DataFrame:
-    """Every shuffle row with its manifest columns.
+def collate_raw(raw: DataFrame, manifest: DataFrame | None, carry: Sequence[str] = ()) -> DataFrame:
+    """Every shuffle row with its manifest columns; ``carry`` names further columns to keep.
 
     The ``transcript_id`` of a shuffle row holds the sequence name.
     """
     named = raw.withColumnRenamed("transcript_id", "seqname")
-    return _attach(named, manifest, RAW_MANIFEST_COLUMNS, ["iteration", "shuffled_mfe"])
+    return _attach(named, manifest, RAW_MANIFEST_COLUMNS, ["iteration", "shuffled_mfe", *carry])
 
 
 def _attach(rows: DataFrame, manifest: DataFrame | None, metadata: Sequence[str],

@@ -19,27 +19,29 @@ def run_collate(spark: SparkSession, results_dir: str, manifest: str, out_dir: s
                 raw_dir: str | None = None, text_results: bool = False) -> DataFrame:
     """Writes the combined tables and returns the combined results.
 
-    Rows are written in the order of their sequence names. ``text_results`` reads result files
-    written one per sequence, otherwise the finished batches of the scoring step are read.
-    ``raw_dir`` adds the shuffles.
+    ``text_results`` reads result files written one per sequence, whose rows keep the order of
+    the files' names and of the lines in them; further columns of the files go along. Otherwise the finished batches of
+    the scoring step are read and rows are written in the order of their sequence names. ``raw_dir``
+    adds the shuffles.
     """
     metadata = _manifest_or_none(spark, manifest)
-    results = (tables.read_results(spark, results_dir) if text_results
+    order = ["pos"] if text_results else ["seqname"]
+    results = (tables.read_results(spark, results_dir, standard=False, placed=True) if text_results
                else _finished(spark, results_dir, results_dir))
     if results is None:
         raise FileNotFoundError(f"no results in {results_dir}")
     combined = collate.collate_results(results, metadata)
-    sinks.write_collated(combined, f"{out_dir}/combined_rnafold.tsv", ["seqname"])
+    sinks.write_collated(combined, f"{out_dir}/combined_rnafold.tsv", order, drop=["pos"])
     if raw_dir:
-        raw = (tables.read_raw_shuffles(spark, raw_dir) if text_results
+        raw = (tables.read_raw_shuffles(spark, raw_dir, placed=True) if text_results
                else _finished(spark, raw_dir, results_dir))
         if raw is None:
             log.error("No raw shuffles in %s", raw_dir)
         else:
-            sinks.write_collated(collate.collate_raw(raw, metadata),
+            sinks.write_collated(collate.collate_raw(raw, metadata, carry=order if text_results else ()),
                                  f"{out_dir}/combined_rnafold_raw_shuffles.tsv",
-                                 ["seqname", "iteration"])
-    return combined
+                                 order if text_results else ["seqname", "iteration"], drop=["pos"])
+    return combined.drop("pos")
 
 
 def _finished(spark: SparkSession, path: str, results_dir: str) -> DataFrame | None:

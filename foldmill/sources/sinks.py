@@ -50,14 +50,17 @@ def write_raw_shuffles(raw: DataFrame, path: str) -> None:
     write_table(raw, path, sep=",", crlf=False)
 
 
-def write_collated(collated: DataFrame, path: str, order: Iterable[str] = ()) -> bool:
+def write_collated(collated: DataFrame, path: str, order: Iterable[str] = (),
+                   drop: Iterable[str] = ()) -> bool:
     """Writes a collated result table as printed text in ``order``, unless it has no rows.
 
-    Whether it has is asked before the sort, so that the sort is done once.
+    ``drop`` names columns that are only for the order. Whether there are rows is asked before
+    the sort, so that the sort is done once.
     """
     if collated.isEmpty():
         return False
-    write_table(printed(collated.orderBy(*order) if order else collated), path)
+    rows = collated.orderBy(*order) if order else collated
+    write_table(printed(rows.drop(*drop)), path)
     return True
 
 

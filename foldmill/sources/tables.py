@@ -2,42 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldmill.fixed_values import (
     LENGTHS_SCHEMA, MANIFEST_SCHEMA, RAW_SCHEMA, RECOMMENDATION_SCHEMA, RESULT_SCHEMA)
 from foldmill.operators.collate import latest_manifest
-from foldmill.sources.text import place_in_file
-
-_QUOTING = {"quote": '"', "escape": '"'}
-
-
-def _by_name(spark: SparkSession, path: str, schema: str, extra: bool = False,
-             **options) -> DataFrame | None:
-    """Columns found by the header's names, in any order, or None without files.
-
-    The header is that of the first file; a file with another one raises. A column that the files
-    lack is null. With ``extra``, further columns follow as text.
-    """
-    try:
-        rows = spark.read.options(header=True, enforceSchema=False, **_QUOTING, **options).csv(path)
-    except AnalysisException as problem:
-        if "UNABLE_TO_INFER_SCHEMA" in str(problem):
-            return None
-        raise
-    wanted = [field.split() for field in schema.split(", ")]
-    # A header that no row follows counts as the wanted one.
-    found = [(F.col(f"`{name}`") if name in rows.columns else F.lit(None)).cast(kind).alias(name)
-             for name, kind in wanted]
-    names = [name for name, _ in wanted]
-    more = [F.col(f"`{c}`") for c in rows.columns if c not in names] if extra else []
-    return rows.select(*found, *more, place_in_file().alias("pos"))
+from foldmill.sources.headed import read_headed
 
 
 def manifest_rows(spark: SparkSession, path: str) -> DataFrame:
     """All manifest rows, in no order."""
-    rows = _by_name(spark, path, MANIFEST_SCHEMA, sep="\t")
+    rows = read_headed(spark, path, MANIFEST_SCHEMA, sep="\t")
     if rows is None:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return rows.drop("pos")
@@ -45,31 +20,30 @@ def manifest_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest rows; a sequence listed twice keeps its last row."""
-    rows = _by_name(spark, path, MANIFEST_SCHEMA, sep="\t")
+    rows = read_headed(spark, path, MANIFEST_SCHEMA, sep="\t")
     if rows is None:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return latest_manifest(rows, ["pos"]).drop("pos")
 
 
 def read_results(spark: SparkSession, path: str, pattern: str = "results_*.csv",
-                 standard: bool = True) -> DataFrame:
+                 standard: bool = True, placed: bool = False) -> DataFrame:
     """Result rows of all files that match ``pattern``; ``NA`` is null.
 
-    Columns are found by name. ``standard=False`` keeps further columns of the files, as text.
-    Raises when no file matches.
+    Every file is read by its own header. ``standard=False`` keeps further columns of the files, as
+    text; ``placed=True`` keeps ``pos``, which sorts the rows as in the files. Raises where nothing matches.
     """
-    rows = _by_name(spark, path, RESULT_SCHEMA, extra=not standard, nullValue="NA",
-                    pathGlobFilter=pattern)
+    rows = read_headed(spark, path, RESULT_SCHEMA, extra=not standard, pattern=pattern, null="NA")
     if rows is None:
-        raise FileNotFoundError(f"no result files matched {pattern} in {path}")
-    return rows.drop("pos")
+        raise FileNotFoundError(f"{path} has no file {pattern} with a header")
+    return rows if placed else rows.drop("pos")
 
 
-def read_raw_shuffles(spark: SparkSession, path: str,
-                      pattern: str = "*_raw_shuffles.csv") -> DataFrame | None:
-    """Shuffle rows of all files that match, or None when there are none."""
-    rows = _by_name(spark, path, RAW_SCHEMA, pathGlobFilter=pattern)
-    return None if rows is None else rows.drop("pos")
+def read_raw_shuffles(spark: SparkSession, path: str, pattern: str = "*_raw_shuffles.csv",
+                      placed: bool = False) -> DataFrame | None:
+    """Shuffle rows of all files that match, or None when there are none. ``placed`` as above."""
+    rows = read_headed(spark, path, RAW_SCHEMA, pattern=pattern)
+    return rows if rows is None or placed else rows.drop("pos")
 
 
 def read_lengths(spark: SparkSession, path: str, tier: int | None = None) -> DataFrame:
@@ -79,7 +53,7 @@ def read_lengths(spark: SparkSession, path: str, tier: int | None = None) -> Dat
 
 
 def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
-    rows = _by_name(spark, path, RECOMMENDATION_SCHEMA, sep="\t")
+    rows = read_headed(spark, path, RECOMMENDATION_SCHEMA, sep="\t")
     if rows is None:
         raise FileNotFoundError(f"no recommendations in {path}")
     return rows.drop("pos")

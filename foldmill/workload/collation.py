@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from foldmill.operators import collate, resume, stratify
+from foldmill.sources.headed import by_header
 from foldmill.workload.registry import query, table
 from foldmill.workload.tiers import TIERED_SQL, tiered_documents
 
@@ -92,6 +93,33 @@ def collate_long(spark, sf_dir):
     return collate.collate_raw(raw, metadata)
 
 
+@query("""
+SELECT event_id, user_id, CASE WHEN event_id % 3 <> 2 THEN event_type END AS event_type, value,
+  CASE WHEN event_id % 3 = 1 THEN props END AS props, CASE WHEN event_id % 3 = 2 THEN event_type END AS kind
+FROM events""")
+def mixed_headers(spark, sf_dir):
+    """All events written as lines of three files whose headers differ, and read back."""
+    events = table(spark, sf_dir, "events")
+    quoted = F.concat(F.lit('"'), F.replace("props", F.lit('"'), F.lit('""')), F.lit('"'))
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in ("event_id", "user_id", "event_type", "value")}
+    # Reordered columns, further ones before and behind, and one that is missing.
+    kinds = [("event_id,user_id,event_type,value", ["event_id", "user_id", "event_type", "value"]),
+             ("props,value,event_type,user_id,event_id", ["props", "value", "event_type", "user_id", "event_id"]),
+             ("user_id,kind,value,event_id", ["user_id", "event_type", "value", "event_id"])]
+    text["props"] = F.coalesce(quoted, F.lit("NA"))
+    number = (F.col("event_id") % 3).cast("int")
+    line = F.when(number == 0, F.concat_ws(",", *(text[c] for c in kinds[0][1]))).when(
+        number == 1, F.concat_ws(",", *(text[c] for c in kinds[1][1]))).otherwise(
+        F.concat_ws(",", *(text[c] for c in kinds[2][1])))
+    lines = events.select(line.alias("value"), F.struct(
+        number.cast("string").alias("file"), F.col("event_id").alias("line")).alias("pos"))
+    headers = spark.createDataFrame([(h, (str(n), -1)) for n, (h, _) in enumerate(kinds)],
+                                    "value string, pos struct<file: string, line: bigint>")
+    rows = by_header(lines.unionByName(headers), "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE",
+                     extra=True, null="NA")
+    return rows.select("event_id", "user_id", "event_type", "value", "props", "kind")
+
+
 @query("""
 WITH turns AS (SELECT conv_id, count(*) AS n_turns FROM conversations GROUP BY conv_id)
 SELECT 'D' || d.doc_id AS seqname, lang AS region, n_chars AS length, quality, toxic, n_turns

@@ -8,6 +8,7 @@ from foldmill.config import RunConfig
 from foldmill.operators import extraction, robust, scoring, splice
 from foldmill.operators.scorers import CommandScorer, LetterGraph, NeighbourScorer, iteration_rng
 from foldmill.plans import score
+from foldmill.plans.collate import run_collate
 from foldmill.sources import tables
 
 FOLD = """#!/bin/sh
@@ -157,3 +158,30 @@ def test_many_shuffles_equal_single_ones():
     graph = LetterGraph("ACGUUGCAACGGUAéA" * 5)
     streams = lambda: [iteration_rng(1, "s", i) for i in range(100)]
     assert list(graph.shuffles(streams())) == [graph.shuffle(r) for r in streams()]
+
+
+def test_files_of_different_headers_are_read_together(spark, tmp_path, caplog):
+    (tmp_path / "results_b.csv").write_text("zscore,seq_name,orig_mfe,program\nNA,b,-2.5,\"v2, new\"\n")
+    (tmp_path / "results_a.csv").write_text("seq_name,orig_mfe,n_valid\r\na,-1.0,7\r\na2,-1.5\r\n")
+    (tmp_path / "results_c.csv").write_text("note,seq_name,orig_mfe\n\"say \"\"c\"\"\",c,-3.5\n\nx,c2,-4.5,9,9\n")
+    (tmp_path / "results_d.csv").write_text("seq_name,orig_mfe\n")
+    rows = {r.seq_name: r for r in tables.read_results(spark, str(tmp_path), standard=False).collect()}
+    assert {n: r.orig_mfe for n, r in rows.items()} == {"a": -1.0, "a2": -1.5, "b": -2.5, "c": -3.5, "c2": -4.5}
+    assert (rows["a"].n_valid, rows["a2"].n_valid, rows["b"].n_valid, rows["b"].zscore) == (7, None, None, None)
+    assert (rows["b"].program, rows["a"].program, rows["c"].note) == ("v2, new", None, 'say "c"')
+    assert list(tables.read_results(spark, str(tmp_path)).columns) == list(rows["a"].__fields__)[:8]
+    manifest = tmp_path / "manifest.tsv"
+    manifest.write_text("region\tseqname\nCDS\tc\n")
+    for name, text in (("z", "transcript_id,iteration,shuffled_mfe\nc,2,-1\nc,1,-2\n"), ("y", "shuffled_mfe,transcript_id,iteration\n-7,b,1\n")):
+        (tmp_path / f"{name}_raw_shuffles.csv").write_text(text)
+    combined = run_collate(spark, str(tmp_path), str(manifest), f"{tmp_path}/out", str(tmp_path), text_results=True)
+    assert {r.seqname: r.region for r in combined.collect()}["c"] == "CDS" and "program" in combined.columns
+    lines = [r.value.split("\t") for r in spark.read.text(f"{tmp_path}/out/combined_rnafold.tsv").collect()]
+    assert [line[0] for line in lines if line[0] != "seqname"] == ["a", "a2", "b", "c", "c2"]
+    raw = [r.value.split("\t") for r in spark.read.text(f"{tmp_path}/out/combined_rnafold_raw_shuffles.tsv").collect()]
+    assert [(r[0], r[4]) for r in raw if r[0] != "seqname"] == [("b", "1"), ("c", "2"), ("c", "1")]
+    for name in ("e", "f"):
+        (tmp_path / name).mkdir()
+    assert tables.read_raw_shuffles(spark, str(tmp_path / "e")) is None
+    with pytest.raises(FileNotFoundError):
+        tables.read_results(spark, str(tmp_path / "f"))
