@@ -37,11 +37,15 @@ def required_valid(requested: Column, percent: int) -> Column:
 
 
 def weighted_median(pairs: Column, total: Column) -> Column:
-    """Median of a sorted array of (value ``v``, weight ``w``) whose weights sum to ``total``.
+    """Median of a sorted array of (value ``v``, weight ``w``) whose weights sum to ``total``."""
+    return weighted_at(pairs, F.floor((total - 1) / 2), F.floor(total / 2))
 
-    One walk along the array finds the two middle values.
+
+def weighted_at(pairs: Column, low: Column, high: Column) -> Column:
+    """Mean of the values at two places, from 0, of a sorted array of (value ``v``, weight ``w``).
+
+    One walk along the array finds both.
     """
-    low, high = F.floor((total - 1) / 2), F.floor(total / 2)
     none = F.lit(None).cast("double")
     start = F.struct(F.lit(0).cast("bigint").alias("n"), none.alias("a"), none.alias("b"))
 

@@ -1,8 +1,7 @@
-"""Positions and order statistics of groups of any size.
+"""Positions in groups of any size.
 
-A window over a whole group puts that group in one task, and ``median`` keeps
-all of a group's distinct values in one buffer. Neither holds when one group has
-a third of all rows. Here rows are range-sorted on (group, order), so a large
+A window over a whole group puts that group in one task, which does not hold when one
+group has a third of all rows. Here rows are range-sorted on (group, order), so a large
 group spreads over many partitions; the sorted rows are written once, and one
 small row per (group, partition) tells where each partition starts in its group.
 """
@@ -68,41 +67,3 @@ def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
     return (_with_starts(pinned, starts, group)
             .withColumn(name, F.col("_before") + F.col(_SEQ) - F.col("_first"))
             .drop(_PART, _SEQ, _TIE, "_first", "_before"))
-
-
-def pinned_median(pinned: DataFrame, group: Sequence[str], value: str,
-                  weight: str) -> DataFrame:
-    """Exact median per group of rows pinned in the order (group, value).
-
-    Each row stands for ``weight`` equal values. Only the partitions that hold a
-    middle value are read in order; the result has ``group``, ``n`` and ``median``.
-    """
-    starts = _starts(pinned, group, F.col(weight))
-    low = F.floor((F.col("_total") + 1) / 2)
-    high = F.floor(F.col("_total") / 2) + 1
-    wanted = (starts
-              .withColumn("_low", low).withColumn("_high", high)
-              .filter((F.col("_before") < F.col("_high"))
-                      & (F.col("_before") + F.col("_own") >= F.col("_low")))
-              .drop("_own", "_first"))
-    upto = F.sum(weight).over(Window.partitionBy(*group, _PART).orderBy(_SEQ)
-                              .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = (_with_starts(pinned, wanted, group)
-              .withColumn("_to", F.col("_before") + upto)
-              .withColumn("_from", F.col("_to") - F.col(weight)))
-
-    def holds(rank: str) -> Column:
-        return (F.col("_from") < F.col(rank)) & (F.col("_to") >= F.col(rank))
-
-    return (ranked.filter(holds("_low") | holds("_high"))
-            .groupBy(*group)
-            .agg(F.max("_total").alias("n"),
-                 ((F.max(F.when(holds("_low"), F.col(value)))
-                   + F.max(F.when(holds("_high"), F.col(value)))) / 2).alias("median")))
-
-
-def grouped_median(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Exact median per group, whatever the group sizes. Null values are left out."""
-    counted = (df.filter(F.col(value).isNotNull())
-                 .groupBy(*group, value).agg(F.count("*").alias("_weight")))
-    return pinned_median(pin_sorted(counted, group, [value]), group, value, "_weight")

@@ -8,13 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.functions import stats
-from foldmill.operators.keys import is_small, measured
-from foldmill.operators.ranking import pin_sorted, pinned_median
+from foldmill.operators import keys
+from foldmill.operators.selection import FINAL_ROWS, counted_median
 from foldmill.session import settle
 
-# A group of up to so many distinct values is summarised as one array in one task.
-MAX_GROUP_ROWS = 200_000
-
 
 def counted_values(background: DataFrame, key: Sequence[str], value: str = "mfe") -> DataFrame:
     """Each group's distinct values with ``_weight``, how often each occurs, stored once.
@@ -62,29 +59,27 @@ def summarise_arrays(rows: DataFrame, observed_value: str = "orig_mfe") -> DataF
             .drop("_values"))
 
 
-def summarise_unbounded(observed: DataFrame, counted: DataFrame, key: Sequence[str],
-                        observed_value: str = "orig_mfe", value: str = "mfe",
-                        few_keys: bool = False) -> DataFrame:
+def summarise_by_counting(observed: DataFrame, counted: DataFrame, key: Sequence[str], largest: int,
+                          groups: int, observed_value: str = "orig_mfe", value: str = "mfe",
+                          final_rows: int = FINAL_ROWS) -> DataFrame:
     """Same columns as :func:`summarise_counted`, for groups with any number of distinct values.
 
-    Both medians come from range-sorted rows, so no group is gathered in one task.
-    ``few_keys`` says that ``observed`` was counted and is small enough to broadcast.
+    Both medians are found by counting, so no group is sorted or gathered. ``largest`` and
+    ``groups`` are the distinct values of the largest group and the number of groups.
     """
-    key = list(key)
-    pinned = pin_sorted(counted, key, [value])
-    medians = measured(pinned_median(pinned, key, value, "_weight")
-                       .withColumnRenamed("median", "median_mfe"))
-    spread = (pinned.join(medians, key)
-              .groupBy(*key, F.abs(F.col(value) - F.col("median_mfe")).alias("_spread"))
-              .agg(F.sum("_weight").alias("_weight")))
-    mads = (pinned_median(pin_sorted(spread, key, ["_spread"]), key, "_spread", "_weight")
-            .select(*key, F.col("median").alias("mad")))
+    key, few = list(key), groups <= keys.BROADCAST_ROWS
+    medians = settle(counted_median(counted, key, value, "_weight", largest, groups, final_rows)
+                     .withColumnRenamed("median", "median_mfe"))
+    by_key = F.broadcast(medians) if few else medians
+    # Two values as far from the median stay two rows; their weights are counted alike.
+    apart = counted.join(by_key.drop("n"), key).select(
+        *key, F.abs(F.col(value) - F.col("median_mfe")).alias("_spread"), "_weight")
+    mads = counted_median(apart, key, "_spread", "_weight", largest, groups, final_rows).select(
+        *key, F.col("median").alias("mad"))
     limits = observed.select(*key, F.col(observed_value).alias("_limit"))
-    if few_keys:
-        limits = F.broadcast(limits)
-    at_most = (pinned.join(limits, key).filter(F.col(value) <= F.col("_limit"))
+    at_most = (counted.join(F.broadcast(limits) if few else limits, key).filter(F.col(value) <= F.col("_limit"))
                .groupBy(*key).agg(F.sum("_weight").alias("at_most")))
-    return (observed.join(medians, key, "left").join(mads, key, "left").join(at_most, key, "left")
+    return (observed.join(by_key, key, "left").join(mads, key, "left").join(at_most, key, "left")
             .withColumn("n_valid", F.coalesce("n", F.lit(0)))
             .withColumn("at_most", F.coalesce("at_most", F.lit(0)))
             .drop("n"))
@@ -92,24 +87,28 @@ def summarise_unbounded(observed: DataFrame, counted: DataFrame, key: Sequence[s
 
 def summarise(observed: DataFrame, background: DataFrame, key: Sequence[str],
               observed_value: str = "orig_mfe", value: str = "mfe",
-              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+              final_rows: int = FINAL_ROWS) -> DataFrame:
     """Background summary per observed row; ``observed`` has one row per key.
 
-    The background is read once. Groups of more than ``max_group_rows`` distinct values take the
-    range-sorted way, all others are summarised in one row.
+    The background is read once and its counted values are stored. Groups of up to ``final_rows``
+    distinct values are summarised in one row; larger ones are first narrowed by counting.
     """
+    key = list(key)
     counted = counted_values(background, key, value)
     sizes = counted.groupBy(*key).agg(F.count("*").alias("_rows"))
-    if (sizes.agg(F.max("_rows")).first()[0] or 0) <= max_group_rows:
+    large = F.col("_rows") > final_rows
+    found = sizes.agg(F.max("_rows").alias("largest"), F.count(F.when(large, 1)).alias("groups")).first()
+    if not found["groups"]:
         return summarise_counted(observed, counted, key, observed_value, value)
-    hot = measured(sizes.filter(F.col("_rows") > max_group_rows).drop("_rows"))
+    hot = sizes.filter(large).select(*key)
+    # So many keys were counted.
+    hot = F.broadcast(hot) if found["groups"] <= keys.BROADCAST_ROWS else hot
     cold = summarise_counted(
-        observed.join(hot, list(key), "left_anti"), counted.join(hot, list(key), "left_anti"),
+        observed.join(hot, key, "left_anti"), counted.join(hot, key, "left_anti"),
         key, observed_value, value)
-    own = settle(observed.join(hot, list(key), "left_semi"))
-    large = summarise_unbounded(own, counted.join(hot, list(key), "left_semi"),
-                                key, observed_value, value, few_keys=is_small(own))
-    return cold.unionByName(large)
+    many = summarise_by_counting(observed.join(hot, key, "left_semi"), counted.join(hot, key, "left_semi"), key,
+                                 found["largest"], found["groups"], observed_value, value, final_rows)
+    return cold.unionByName(many)
 
 
 def score(summary: DataFrame, requested: str = "n_shuffles",

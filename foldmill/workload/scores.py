@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from foldmill.operators import ranking, robust, scoring
+from foldmill.operators import robust, scoring, selection
 from foldmill.workload.registry import query, table
 
 # SQL of a score, given CTEs obs(k, orig, e) and bg(k, v).
@@ -61,13 +61,13 @@ WITH obs AS (SELECT l_returnflag AS k, max(l_extendedprice) / 4 AS orig,
 bg AS (SELECT l_returnflag AS k, l_extendedprice AS v FROM lineitem), {_SCORE_CTES}
 SELECT k AS l_returnflag, {_COLUMNS} FROM scored""")
 def robust_zscore_skewed(spark, sf_dir):
-    """The same score for three groups that hold all rows, by range-sorted ranks."""
+    """The same score for three groups that hold all rows, by counting."""
     lineitem = table(spark, sf_dir, "lineitem")
     observed = lineitem.groupBy("l_returnflag").agg(
         (F.max("l_extendedprice") / 4).alias("orig_mfe"),
         (F.count("*") + F.floor(F.count("*") / 10)).alias("n_shuffles"))
     background = lineitem.select("l_returnflag", F.col("l_extendedprice").alias("mfe"))
-    summary = robust.summarise(observed, background, ["l_returnflag"], max_group_rows=1000)
+    summary = robust.summarise(observed, background, ["l_returnflag"], final_rows=1000)
     return _shown(robust.score(summary), "l_returnflag")
 
 
@@ -158,6 +158,5 @@ SELECT o_orderstatus, count(*) AS n, round(median(o_totalprice), 4) AS median
 FROM orders GROUP BY o_orderstatus""")
 def exact_group_median(spark, sf_dir):
     """Exact median of groups of any size (A2)."""
-    medians = ranking.grouped_median(table(spark, sf_dir, "orders"),
-                                     ["o_orderstatus"], "o_totalprice")
+    medians = selection.grouped_median(table(spark, sf_dir, "orders"), ["o_orderstatus"], "o_totalprice")
     return medians.select("o_orderstatus", "n", F.round("median", 4).alias("median"))

@@ -136,7 +136,7 @@ def test_rows_of_a_null_key_are_not_gathered(spark):
     hot = spark.range(5000).select(F.lit(None).cast("string").alias("k"), (-F.col("id")).cast("double").alias("mfe"))
     background = hot.union(spark.createDataFrame([("a", -1.0), ("a", -3.0)], "k string, mfe double"))
     for limit in (1_000_000, 100):
-        got = {r.k: r for r in robust.score(robust.summarise(observed, background, ["k"], max_group_rows=limit)).collect()}
+        got = {r.k: r for r in robust.score(robust.summarise(observed, background, ["k"], final_rows=limit)).collect()}
         assert (got["a"].n_valid, got["a"].median_mfe) == (2, -2.0) and got[None].n_valid == 0
 
 

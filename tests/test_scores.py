@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from foldmill.operators import keys, ranking, robust, scoring
+from foldmill.operators import keys, ranking, robust, scoring, selection
 from foldmill.operators.scorers import (
     PAIR_ENERGY, CommandScorer, LetterGraph, PairingScorer, dinucleotide_shuffle, iteration_rng)
 
@@ -35,7 +35,7 @@ GOLDEN = [
 @pytest.mark.parametrize("limit", [1_000_000, 0])
 def test_golden_scores(spark, limit):
     got = scores(spark, [(n, o, e, [float(v) for v in vs]) for n, o, e, vs, *_ in GOLDEN],
-                 max_group_rows=limit)
+                 final_rows=limit)
     for name, observed, requested, _, median, z, p, missing in GOLDEN:
         row = got[name]
         assert (row.median_mfe, row.n_missing, row.n_shuffles_requested) == (median, missing, requested)
@@ -57,7 +57,7 @@ def test_random_groups(spark, limit):
         size = rng.choice([1, 2, 3, 10, 15, 60])
         values = [round(rng.uniform(-9, 0), rng.choice([0, 2])) for _ in range(size)]
         cases.append((f"k{i}", round(rng.uniform(-9, 0), 2), size + rng.randint(0, 3), values))
-    got = scores(spark, cases, max_group_rows=limit)
+    got = scores(spark, cases, final_rows=limit)
     for name, observed, requested, values in cases:
         median = statistics.median(values)
         mad = statistics.median(abs(v - median) for v in values)
@@ -80,7 +80,7 @@ def test_index_and_median_of_one_large_group(spark):
     for group, values in groups.items():
         assert [r.v for r in sorted((r for r in indexed if r.g == group), key=lambda r: r.idx)] == sorted(values)
         assert sorted(r.idx for r in indexed if r.g == group) == list(range(len(values)))
-    medians = {r.g: r.median for r in ranking.grouped_median(rows, ["g"], "v").collect()}
+    medians = {r.g: r.median for r in selection.grouped_median(rows, ["g"], "v").collect()}
     assert medians == {g: statistics.median(v) for g, v in groups.items()}
 
 
@@ -89,7 +89,7 @@ def test_large_key_tables_are_shuffled(spark, monkeypatch, bound):
     cases = [(f"k{i}", -1.0, 9, [float(-j) for j in range(i + 3)]) for i in range(6)]
     want = {k: (r.median_mfe, r.zscore, r.pvalue) for k, r in scores(spark, cases).items()}
     monkeypatch.setattr(keys, bound, 0)
-    got = scores(spark, cases, max_group_rows=4)
+    got = scores(spark, cases, final_rows=4)
     assert {k: (r.median_mfe, r.zscore, r.pvalue) for k, r in got.items()} == want
 
 
@@ -221,3 +221,24 @@ def test_timed_samples(spark):
     timed = {r.seqname: r for r in scoring.time_samples(samples, Failing()).collect()}
     assert timed["a"].wall >= 0 and timed["a"].rss_kb > 0
     assert timed["b"].wall is None
+
+
+@pytest.mark.parametrize("final", [1, 5, 40])
+def test_medians_by_counting(spark, final):
+    """Groups of all shapes, a null one too, against the sorted values."""
+    rng = random.Random(final)
+    shapes = {"even": [rng.uniform(-1e9, 1e9) for _ in range(600)], "wide": [10.0 ** rng.randint(-300, 300) for _ in range(301)],
+              "equal": [2.5] * 500, "two": [1.0] * 250 + [7.0] * 250, "one": [-0.0], "rising": [float(i) for i in range(777)],
+              "ends": [float("-inf"), float("inf"), 0.0, 1.0], None: [float(i % 9) for i in range(100)]}
+    rows = spark.createDataFrame([(g, v) for g, vs in shapes.items() for v in vs] + [("even", None)], "g string, v double")
+    counted = rows.na.drop(subset=["v"]).groupBy("g", "v").agg(F.count("*").alias("w"))
+    found = {r.g: (r.n, r.median) for r in selection.counted_median(counted, ["g"], "v", "w", 777, 8, final).collect()}
+    assert found == {g: (len(v), statistics.median(v)) for g, v in shapes.items()}
+    assert {r.g: (r.n, r.median) for r in selection.grouped_median(rows, ["g"], "v").collect()} == found
+    assert selection.grouped_median(rows.limit(0), ["g"], "v").collect() == []
+
+
+def test_medians_by_counting_sort_no_group(spark):
+    rows = spark.range(100_000).select(F.lit("g").alias("g"), F.pmod(F.col("id") * 7919, F.lit(100_003)).alias("v"))
+    plan = selection.grouped_median(rows, ["g"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and selection.passes(100_000) == 1
