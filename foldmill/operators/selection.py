@@ -11,17 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from foldmill.functions.stats import weighted_at
+from foldmill.functions.stats import weighted_at, weighted_median
 from foldmill.operators import keys
 from foldmill.session import settle
 
-FINAL_ROWS = 10_000   # distinct values of a group that meet in one row at the end, about
-CELLS = 64            # of a group in each pass
-ACCURACY = 10 * CELLS
+FINAL_ROWS = 25_000   # distinct values of a group that meet in one row at the end, about
+CELLS = 32            # of a group in each pass
+ACCURACY = 20 * CELLS
 # Two cells may hold the middle places; each has this share of the values at most.
 _SHARE = 2 * (1 / CELLS + 2 / ACCURACY)
 
@@ -46,7 +46,8 @@ def _narrowed(inside: DataFrame, key: Sequence[str], value: str, weight: str, fe
     places, and the least and greatest value of these cells. ``inside`` has n and before."""
     cuts = F.percentile_approx(value, [i / CELLS for i in range(1, CELLS)], ACCURACY)
     split = inside.groupBy(*key).agg(cuts.alias("_cuts"))
-    cell = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    # Compared one by one, so that it is compiled; an array function would call a lambda per cut.
+    cell = reduce(add, [F.when(F.get("_cuts", F.lit(i)) < F.col(value), 1).otherwise(0) for i in range(CELLS - 1)])
     cells = _on(inside, split, key, few).groupBy(*key, cell.alias("_cell")).agg(
         F.sum(weight).alias("_own"), F.min(value).alias("_lo"), F.max(value).alias("_hi"),
         F.max("n").alias("n"), F.max("before").alias("before"))
@@ -73,18 +74,20 @@ def counted_median(counted: DataFrame, key: Sequence[str], value: str, weight: s
     ``final_rows`` or so of each group, which meet in one row.
     """
     few = groups <= keys.BROADCAST_ROWS
-    totals = counted.groupBy(*key).agg(F.sum(weight).alias("n"))
-    facts = totals.withColumn("before", F.lit(0).cast("bigint"))
-    inside = _on(counted, facts, key, few)
+    pair = F.struct(F.col(value).alias("v"), F.col(weight).alias("w"))
+    values = F.sort_array(F.collect_list(pair)).alias("_values")
     left = passes(largest, final_rows)
+    if not left:
+        whole = counted.groupBy(*key).agg(values, F.sum(weight).alias("n"))
+        return whole.select(*key, "n", weighted_median(F.col("_values"), F.col("n")).alias("median"))
+    totals = counted.groupBy(*key).agg(F.sum(weight).alias("n"))
+    inside = _on(counted, totals.withColumn("before", F.lit(0).cast("bigint")), key, few)
     for n in range(left):
         facts = _narrowed(inside, key, value, weight, few)
         # A pass reads its input twice, so all but the last are stored.
         facts = facts if n == left - 1 else settle(facts)
         inside = _on(counted, facts, key, few).filter(F.col(value).between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
-    pair = F.struct(F.col(value).alias("v"), F.col(weight).alias("w"))
-    last = inside.groupBy(*key).agg(F.sort_array(F.collect_list(pair)).alias("_values"),
-                                    F.max("n").alias("n"), F.max("before").alias("before"))
+    last = inside.groupBy(*key).agg(values, F.max("n").alias("n"), F.max("before").alias("before"))
     low, high = (place - F.col("before") for place in _middle(F.col("n")))
     return last.select(*key, "n", weighted_at(F.col("_values"), low, high).alias("median"))
 
