@@ -14,9 +14,8 @@ from foldmill.llm.store import settle
 from foldmill.operators.keys import measured
 
 COSINE = 0.95
-DIMS = 8              # of a subspace
-CELL_ROWS = 8_192     # vectors of a grid cell to aim for
-BLOCK = 8_192         # vectors of a cell compared with as many others in one task
+DIMS = 16             # of a subspace
+BLOCK_VALUES = 1 << 21   # components of the vectors of a cell that are compared with as many in one task
 STRIP = 512           # of them at a time
 PAIRS = 65_536        # pairs that are verified at a time
 # A budget is raised by so much, which covers the rounding of coordinates.
@@ -78,14 +77,14 @@ class Grid:
     one cell of the subspace, and only there is one of them at home.
     """
 
-    def __init__(self, width: int, cosine: float, dims: int, rows: int):
+    def __init__(self, width: int, cosine: float, dims: int, blocks: float):
         self.width = max(dims, 1 << max(0, width - 1).bit_length())
         self.spaces, self.dims = self.width // dims, dims
         self.budget = (2 - 2 * cosine) / self.spaces * (1 + SLACK) + SLACK
         self.reach = sqrt(self.budget)
         self.side = 2 * self.reach
         # The largest cells halve with each axis: most coordinates are in the middle two.
-        self.axes = min(dims, max(1, ceil(log2(max(1, rows / CELL_ROWS)))))
+        self.axes = min(dims, max(1, ceil(log2(max(1, blocks)))))
         self.radix = 2 * ceil(1 / self.side) + 5
         self.offsets = [o for o in product((-1, 0, 1), repeat=self.axes) if o > (0,) * self.axes]
 
@@ -195,7 +194,7 @@ def _cells(classes: DataFrame, grid: Grid, width: int) -> DataFrame:
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, dims: int = DIMS,
-                 block: int = BLOCK) -> DataFrame:
+                 block: int | None = None) -> DataFrame:
     """Links and components of vectors whose cosine is ``cosine`` or more.
 
     Equal vectors are compared once, as one class. Classes are rotated and split into subspaces of
@@ -203,8 +202,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, dims: int = DIMS,
     the cosine allows (``Grid``), and every pair within it is verified in double precision over
     all components. A pair is counted in the first subspace in which it is within the share, so
     nothing is counted twice and pairs never leave their task: a task returns numbers of links and
-    a spanning forest. Cells of more than ``block`` rows are split, and each two parts meet in a
-    task of their own. The number of axes of a grid grows with the number of classes.
+    a spanning forest. Cells of more than ``block`` rows (of ``BLOCK_VALUES`` components in all, unless
+    given) are split, and each two parts meet in a task of their own. The number of axes of a grid
+    grows with the number of classes.
 
     ``vectors`` has ``vec_id`` and ``embedding``, an array of floats or doubles. Returns one row per
     vec_id: vec_id, n_links (other vec_ids linked directly), component_id (least vec_id that links
@@ -224,7 +224,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, dims: int = DIMS,
         F.min("vec_id").alias("id"), F.count("*").alias("size")))
     found = classes.agg(F.count("*"), F.max(F.size("vector"))).first()
     width = found[1] or 1
-    grid = Grid(width, cosine, dims, found[0])
+    block = block or max(64, BLOCK_VALUES // width)
+    grid = Grid(width, cosine, dims, found[0] / block)
 
     keyed = _cells(classes, grid, width)
     large = measured(keyed.groupBy("space", "cell").agg(F.count("*").alias("rows")).filter(F.col("rows") > block))
