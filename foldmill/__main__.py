@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import logging
-import os
 import sys
 
 from foldmill.config import ConfigError, ExtractConfig, RunConfig
@@ -50,15 +49,13 @@ def parser() -> argparse.ArgumentParser:
     missing.add_argument("--result-files", help="folder of published result files that count as done")
     missing.add_argument("--out", help="folder for the names, by default TIER_ROOT/missing")
 
+    steps.add_parser("clean", help="remove what stopped runs left; not while another run scores")
     export = steps.add_parser("export", help="write results and raw shuffles in the published form")
     export.add_argument("out", help="folder to write to")
 
     collate = steps.add_parser("collate", help="combine results with the manifest")
-    collate.add_argument("--results-dir", default=os.environ.get("RESULTS_DIR", "results/rnafold"))
-    collate.add_argument("--raw-dir", default=os.environ.get("RAW_SHUFFLES_DIR",
-                                                             "results/rnafold_raw_shuffles"))
-    collate.add_argument("--manifest", default=os.environ.get("MANIFEST_TSV",
-                                                              "extracted_regions/manifest.tsv"))
+    for name in ("--results-dir", "--raw-dir", "--manifest"):
+        collate.add_argument(name, help="by default as the environment says")
     collate.add_argument("--out-dir", default="results")
     collate.add_argument("--include-raw-shuffles", action="store_true")
     collate.add_argument("--text-results", action="store_true",
@@ -85,11 +82,12 @@ def _run(spark, args) -> None:
         if counts is not None:
             counts.show(truncate=False)
         return
+    run = RunConfig.from_env()
     if args.step == "collate":
-        run_collate(spark, args.results_dir, args.manifest, args.out_dir,
-                    args.raw_dir if args.include_raw_shuffles else None, args.text_results)
+        raw_dir = args.raw_dir or run.raw_shuffles_dir
+        run_collate(spark, args.results_dir or run.results_dir, args.manifest or run.manifest_tsv, args.out_dir,
+                    raw_dir if args.include_raw_shuffles else None, args.text_results)
         return
-    run = RunConfig.from_env()
     names = None
     if getattr(args, "list", None):
         names = score.read_names(spark, args.list)
@@ -105,6 +103,9 @@ def _run(spark, args) -> None:
                            result_files=args.result_files).select("seqname") \
             .write.mode("overwrite").text(out)
         print(f"{spark.read.text(out).count()} unfinished sequences listed in {out}")
+    elif args.step == "clean":
+        removed = score.remove_unfinished(spark, run)
+        print(f"{len(removed)} unfinished batches removed")
     elif args.step == "export":
         score.export_text(spark, run, args.out)
     else:

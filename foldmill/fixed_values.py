@@ -16,6 +16,9 @@ DEFAULT_SHUFFLES = 1000
 MIN_VALID_PERCENT = 90
 MAD_SCALE = 1.4826
 
+FEW_SHUFFLES = "insufficient shuffles"
+INVALID_ENERGY = "invalid orig MFE"
+
 # Calibration.
 SAMPLES_PER_TIER = 3
 SAFETY_FACTOR_TIME = 2

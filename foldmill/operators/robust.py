@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from foldmill.fixed_values import MIN_VALID_PERCENT
+from foldmill.fixed_values import FEW_SHUFFLES, INVALID_ENERGY, MIN_VALID_PERCENT
 from foldmill.functions import stats
 from foldmill.operators import keys
 from foldmill.operators.selection import FINAL_ROWS, counted_median
@@ -134,9 +134,9 @@ def with_error(scored: DataFrame, min_valid_percent: int = MIN_VALID_PERCENT,
                observed_value: str = "orig_mfe") -> DataFrame:
     """Adds ``error``: why a sequence has no usable score, or null."""
     needed = stats.required_valid(F.col("n_shuffles_requested"), min_valid_percent)
-    too_few = F.concat(F.lit("insufficient shuffles ("), F.col("n_valid").cast("string"),
+    too_few = F.concat(F.lit(f"{FEW_SHUFFLES} ("), F.col("n_valid").cast("string"),
                        F.lit("/"), F.col("n_shuffles_requested").cast("string"), F.lit(")"))
     return scored.withColumn(
         "error",
-        F.when(F.col(observed_value).isNull(), F.lit("invalid orig MFE"))
+        F.when(F.col(observed_value).isNull(), F.lit(INVALID_ENERGY))
          .when((F.col("n_shuffles_requested") > 0) & (F.col("n_valid") < needed), too_few))

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import re
 import shutil
+import signal
 import subprocess
+import sys
+import threading
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -207,6 +212,95 @@ class NeighbourScorer:
         return [-float(((31 * c[:-1] + 17 * c[1:]) % 7).sum()) for c in codes]
 
 
+# Starts a program from a process that is small itself: a process begins with the peak memory of
+# the one it was split off from, and a Python worker of Spark is large.
+_WATCH = """
+import os, sys
+pid = os.fork()
+if not pid:
+    os.execvp(sys.argv[2], sys.argv[2:])
+_, status, usage = os.wait4(pid, 0)
+os.write(int(sys.argv[1]), str(usage.ru_maxrss).encode())
+code = os.waitstatus_to_exitcode(status)
+sys.exit(code if code >= 0 else 128 - code)
+"""
+
+
+def run_child(command: Sequence[str], given: bytes, timeout: float | None = None,
+              measured: bool = False) -> tuple[bytes, int, int | None]:
+    """Output and exit code of one program fed with ``given``, and if ``measured`` its peak memory in kB.
+
+    The memory is that of this program and of programs it has waited for, not the peak of
+    everything the worker has ever run. A thread feeds the program, so it may answer while it still
+    reads. Raises ``TimeoutExpired`` when it takes longer, ``OSError`` when it cannot be run.
+    """
+    command = list(command)
+    if shutil.which(command[0]) is None:
+        raise FileNotFoundError(command[0])
+    told, tell = os.pipe()
+    start = [sys.executable, "-S", "-c", _WATCH, str(tell), *command] if measured else command
+    late = threading.Event()
+    try:
+        with subprocess.Popen(start, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.DEVNULL,
+                              pass_fds=(tell,) if measured else (), start_new_session=True) as child:
+            def feed() -> None:
+                try:
+                    with child.stdin:
+                        child.stdin.write(given)
+                except OSError:
+                    pass    # it ended before it read all
+
+            def stop() -> None:
+                late.set()
+                os.killpg(child.pid, signal.SIGKILL)
+
+            feeder = threading.Thread(target=feed, daemon=True)
+            timer = threading.Timer(timeout, stop) if timeout else None
+            feeder.start()
+            if timer:
+                timer.start()
+            out = child.stdout.read()
+            code = child.wait()
+            if timer:
+                timer.cancel()
+            feeder.join()
+        os.close(tell)
+        tell = None
+        memory = os.read(told, 32)
+    finally:
+        os.close(told)
+        if tell is not None:
+            os.close(tell)
+    if late.is_set():
+        raise subprocess.TimeoutExpired(command, timeout)
+    return out, code, int(memory) if memory else None
+
+
+_ALONE = """
+import json, sys
+sys.path[:] = {path!r}
+from pyspark import cloudpickle
+scorer, seqs = cloudpickle.load(sys.stdin.buffer)
+sys.stdout.write(json.dumps(scorer.fold(seqs)))
+"""
+
+
+def fold_alone(scorer, seqs: Sequence[str], timeout: float | None = None) -> tuple[list[float | None], int]:
+    """Energies, and the peak memory in kB of the process that computed these and nothing else.
+
+    A scorer that runs a program measures that program; any other is run in an interpreter of its own.
+    """
+    if hasattr(scorer, "fold_measured"):
+        return scorer.fold_measured(seqs)
+    from pyspark import cloudpickle
+
+    program = [sys.executable, "-c", _ALONE.format(path=sys.path)]
+    out, code, memory = run_child(program, cloudpickle.dumps((scorer, list(seqs))), timeout, measured=True)
+    if code:
+        raise RuntimeError(f"the scorer's process ended with code {code}")
+    return json.loads(out), memory
+
+
 @dataclass(frozen=True)
 class CommandScorer:
     """An external folding program that reads FASTA and prints bracketed energies."""
@@ -223,20 +317,25 @@ class CommandScorer:
         Raises if the program fails or leaves records unanswered, so that the caller can try the
         sequences one by one. A program that is missing or not executable raises ``OSError``.
         """
+        return self._folded(seqs, measured=False)[0]
+
+    def fold_measured(self, seqs: Sequence[str]) -> tuple[list[float | None], int]:
+        """The same, and the program's peak memory in kB."""
+        return self._folded(seqs, measured=True)
+
+    def _folded(self, seqs: Sequence[str], measured: bool) -> tuple[list[float | None], int | None]:
         records = "".join(f">{i}\n{seq}\n" for i, seq in enumerate(seqs))
-        done = subprocess.run(self.command, input=records, capture_output=True, text=True,
-                              timeout=self.timeout, check=False)
-        if done.returncode:
-            raise RuntimeError(f"the folding program ended with code {done.returncode}")
+        out, code, memory = run_child(self.command, records.encode("utf-8", "replace"), self.timeout, measured)
+        if code:
+            raise RuntimeError(f"the folding program ended with code {code}")
         pattern = re.compile(MFE_LINE_PATTERN)
-        answered = sum(line.startswith(">") for line in done.stdout.splitlines())
-        if answered < len(seqs):
-            raise RuntimeError(f"the folding program answered {answered} of {len(seqs)} records")
         energies: list[float | None] = [None] * len(seqs)
-        current = -1
-        for line in done.stdout.splitlines():
+        answered, current = 0, -1
+        for line in out.decode("utf-8", "replace").splitlines():
             if line.startswith(">"):
-                current = int(line[1:].split()[0])
+                answered, current = answered + 1, int(line[1:].split()[0])
             elif current >= 0 and energies[current] is None and (found := pattern.search(line)):
                 energies[current] = float(found.group(1))
-        return energies
+        if answered < len(seqs):
+            raise RuntimeError(f"the folding program answered {answered} of {len(seqs)} records")
+        return energies, memory

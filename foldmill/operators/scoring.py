@@ -8,7 +8,6 @@ no task has all shuffles of a long sequence.
 
 from __future__ import annotations
 
-import resource
 import subprocess
 import time
 from collections.abc import Iterator
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.operators import robust
 from foldmill.operators.ranking import with_index
-from foldmill.operators.scorers import LetterGraph, iteration_rng
+from foldmill.operators.scorers import LetterGraph, fold_alone, iteration_rng
 
 # Table cells one block may fill; keeps a block's memory near 100 MB.
 BLOCK_CELLS = 16_000_000
@@ -156,21 +155,25 @@ def fold_all(sequences: DataFrame, scorer, seed: int = 0, tasks: int | None = No
         run, "seqname string, n_shuffles int, iteration int, mfe double, problem string")
 
 
-def score_folds(folds: DataFrame, min_valid_percent: int = MIN_VALID_PERCENT) -> DataFrame:
+def score_folds(folds: DataFrame, min_valid_percent: int = MIN_VALID_PERCENT,
+                bounded: bool = True) -> DataFrame:
     """Result columns and ``error``, one row per folded sequence.
 
     A sequence has ``n_shuffles + 1`` folds, a number the tier policy sets and the
-    data cannot raise, so one shuffle by sequence gathers all of them. More valid shuffles than were asked for, as two sequences of one name give,
+    data cannot raise, so one shuffle by sequence gathers all of them. ``bounded=False`` is for groups
+    whose size no policy limits: their energies are counted and summarised like any background.
+    More valid shuffles than were asked for, as two sequences of one name give,
     are an error and get no score.
     """
     own = F.col("iteration") == 0
     value = F.col("mfe")
-    grouped = folds.groupBy("seqname").agg(
-        F.max("n_shuffles").alias("n_shuffles"),
-        F.max(F.when(own, value)).alias("orig_mfe"),
-        F.max("problem").alias("problem"),
-        F.sort_array(F.collect_list(F.when(~own, value))).alias("_values"))
-    summary = robust.summarise_arrays(grouped)
+    facts = [F.max("n_shuffles").alias("n_shuffles"), F.max(F.when(own, value)).alias("orig_mfe"),
+             F.max("problem").alias("problem")]
+    if bounded:
+        summary = robust.summarise_arrays(folds.groupBy("seqname").agg(
+            *facts, F.sort_array(F.collect_list(F.when(~own, value))).alias("_values")))
+    else:
+        summary = robust.summarise(folds.groupBy("seqname").agg(*facts), folds.filter(~own), ["seqname"])
     scored = robust.with_error(robust.score(summary), min_valid_percent)
     surplus = F.col("n_valid") > F.col("n_shuffles_requested")
     scored = (scored.withColumn("error", F.when(surplus, F.lit("more shuffles than requested"))
@@ -213,10 +216,10 @@ def raw_shuffles(folds: DataFrame, bounded: bool = True) -> DataFrame:
 
 
 def time_samples(samples: DataFrame, scorer, seed: int = 0) -> DataFrame:
-    """Runs each sample as one task would and measures it.
+    """Runs each sample, the sequence and all its shuffles, in a process of its own and measures it.
 
     ``samples`` has ``tier, seqname, length, n_shuffles, seq``; the result has
-    ``wall`` in seconds and ``rss_kb``, both null where the run failed.
+    ``wall`` in seconds and ``rss_kb``, the peak memory of that process alone, both null where the run failed.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,14 +227,11 @@ def time_samples(samples: DataFrame, scorer, seed: int = 0) -> DataFrame:
                 began = time.perf_counter()
                 wall = rss = None
                 try:
-                    graph = LetterGraph(row.seq)
-                    energies = scorer.fold([row.seq])
-                    for i in range(1, row.n_shuffles + 1):
-                        energies += scorer.fold([graph.shuffle(iteration_rng(seed, row.seqname, i))])
+                    drawn = LetterGraph(row.seq).shuffles(
+                        [iteration_rng(seed, row.seqname, i) for i in range(1, row.n_shuffles + 1)])
+                    energies, memory = fold_alone(scorer, [row.seq, *drawn])
                     if energies[0] is not None:
-                        wall = time.perf_counter() - began
-                        rss = max(resource.getrusage(who).ru_maxrss for who in
-                                  (resource.RUSAGE_SELF, resource.RUSAGE_CHILDREN))
+                        wall, rss = time.perf_counter() - began, memory
                 except (FileNotFoundError, PermissionError):
                     raise
                 except (MemoryError, OSError, ValueError, RuntimeError, subprocess.SubprocessError):

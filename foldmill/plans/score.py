@@ -14,6 +14,7 @@ from foldmill.functions.ids import file_key
 from foldmill.operators import calibrate, resume, scoring, stratify, submit
 from foldmill.operators.keys import having_key, lacking_key, top_rows
 from foldmill.plans.provenance import read_if_exists
+from foldmill.session import remove_folder
 from foldmill.sources import fasta, sinks, tables
 from foldmill.sources.text import read_whole_files
 
@@ -157,44 +158,91 @@ def run_scoring(spark: SparkSession, run: RunConfig, scorer, names: DataFrame |
                 batch_sequences: int = BATCH_SEQUENCES) -> DataFrame:
     """Scores the unfinished sequences; returns their scores and errors.
 
-    The work is cut into batches of about ``batch_sequences``, each written under its own name and
-    marked as finished last. A run that is stopped leaves at most one batch without a mark,
-    which no reader looks at; the next run does its sequences again, and only those.
+    The work is cut into batches of about ``batch_sequences``. The list of what is to do is stored once,
+    partitioned by batch, so a batch reads its own sequences only. A batch is written under its own
+    name, over what a failed attempt has left there, and marked as finished last. A run
+    that is stopped leaves at most one batch without a mark, which no reader looks at; the
+    next run does its sequences again, and only those. ``remove_unfinished`` takes such batches away.
     """
     if not scorer.available():
         raise RuntimeError(f"{scorer} is not available here")
     todo = find_missing(spark, run, tiers, retry_failed, names, result_files)
     if n_shuffles is not None:
         todo = todo.withColumn("n_shuffles", F.lit(n_shuffles))
-    # The list of what is to do must not change as batches are finished.
-    stage = f"{run.raw_shuffles_dir}_folds/todo={uuid.uuid4().hex}"
-    todo.select("seqname", "seq", "length", "n_shuffles").write.parquet(stage)
-    todo = spark.read.parquet(stage)
-    number = max(1, -(-todo.count() // batch_sequences))
-    done = [_score_batch(spark, run, scorer, todo.filter(
-        F.pmod(F.xxhash64("seqname"), F.lit(number)) == n), tasks) for n in range(number)]
+    run_name = uuid.uuid4().hex
+    number, stage = store_todo(run, todo, run_name, batch_sequences)
+    done = [_score_batch(spark, run, scorer, read_batch(spark, stage, n), f"{run_name}_{n}", tasks)
+            for n in range(number)]
     return spark.read.parquet(*done)
 
 
-def _score_batch(spark: SparkSession, run: RunConfig, scorer, todo: DataFrame,
+# Tasks that write one batch of the list.
+BATCH_FILES = 8
+
+
+def store_todo(run: RunConfig, todo: DataFrame, run_name: str, batch_sequences: int) -> tuple[int, str]:
+    """Writes the list of what is to do, which must not change as batches are finished. Returns
+    the number of its batches and its path."""
+    stage = f"{run.raw_shuffles_dir}_folds/todo={run_name}"
+    number = max(1, -(-todo.count() // batch_sequences))
+    mark = F.xxhash64("seqname")
+    (todo.select("seqname", "seq", "length", "n_shuffles", F.pmod(mark, F.lit(number)).alias("batch"))
+     .repartition(number * BATCH_FILES, "batch", F.pmod(F.shiftright(mark, 32), F.lit(BATCH_FILES)))
+     .write.partitionBy("batch").parquet(stage))
+    return number, stage
+
+
+def read_batch(spark: SparkSession, stage: str, batch: int) -> DataFrame:
+    """The sequences of one batch; the other partitions are not read."""
+    schema = "seqname string, seq string, length int, n_shuffles int, batch bigint"
+    return spark.read.schema(schema).parquet(stage).filter(F.col("batch") == batch).drop("batch")
+
+
+def _write_batch(rows: DataFrame, path: str, name: str) -> None:
+    """Puts the rows of one batch in the place of what it had; other batches stay as they are."""
+    (rows.withColumn("batch", F.lit(name)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+
+
+def _score_batch(spark: SparkSession, run: RunConfig, scorer, todo: DataFrame, name: str,
                  tasks: int | None) -> str:
     """Folds, reduces and commits one batch; returns the path of its scores."""
-    name = uuid.uuid4().hex
     batch = f"{run.raw_shuffles_dir}_folds/batch={name}"
-    scoring.fold_all(todo, scorer, run.seed, tasks).write.parquet(batch)
+    scoring.fold_all(todo, scorer, run.seed, tasks).write.mode("overwrite").parquet(batch)
     folds = spark.read.parquet(batch)
-    scoring.score_folds(folds, run.min_valid_percent).write.parquet(f"{batch}_scores")
+    scoring.score_folds(folds, run.min_valid_percent).write.mode("overwrite").parquet(f"{batch}_scores")
     scored = spark.read.parquet(f"{batch}_scores")
     good = scoring.results(scored)
     own = having_key(folds, good.withColumnRenamed("seq_name", "seqname"), ["seqname"])
-    scoring.raw_shuffles(own).write.parquet(f"{run.raw_shuffles_dir}/batch={name}")
-    scoring.errors(scored).write.parquet(f"{run.errors_dir}/batch={name}")
-    good.write.parquet(f"{run.results_dir}/batch={name}")
+    _write_batch(scoring.raw_shuffles(own), run.raw_shuffles_dir, name)
+    _write_batch(scoring.errors(scored), run.errors_dir, name)
+    _write_batch(good, run.results_dir, name)
     spark.range(1).select(F.lit(name).alias("batch")).write.mode("append").parquet(
         f"{run.results_dir}_finished")
     return f"{batch}_scores"
 
 
+def remove_unfinished(spark: SparkSession, run: RunConfig) -> list[str]:
+    """Deletes results, raw shuffles and errors of batches without a mark, and returns their names.
+
+    Only stopped runs leave such batches, but a run that still scores has one too: not to be called
+    meanwhile. Tables without batches are left alone.
+    """
+    marks = read_if_exists(spark, f"{run.results_dir}_finished")
+    removed: set[str] = set()
+    for path in (run.results_dir, run.raw_shuffles_dir, run.errors_dir):
+        rows = read_if_exists(spark, path)
+        if rows is None or "batch" not in rows.columns:
+            continue
+        named = rows.select("batch").distinct()
+        # A name per stopped run.
+        names = [r.batch for r in (named if marks is None else lacking_key(named, marks, ["batch"])).collect()]
+        for name in names:
+            remove_folder(spark, f"{path}/batch={name}")
+        removed |= set(names)
+    return sorted(removed)
+
+
 def export_text(spark: SparkSession, run: RunConfig, out: str) -> None:
     """Results and raw shuffles as published: comma-separated text with ``NA`` and four decimals."""
     scored = read_finished(spark, run, run.results_dir)

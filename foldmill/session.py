@@ -55,3 +55,9 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/foldmill/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

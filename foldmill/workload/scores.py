@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from foldmill.operators import robust, scoring, selection
+from foldmill.operators.ranking import with_index
 from foldmill.workload.registry import query, table
 
 # SQL of a score, given CTEs obs(k, orig, e) and bg(k, v).
@@ -144,13 +145,15 @@ SELECT CAST(k AS VARCHAR) AS seq_name, {_COLUMNS},
 FROM scored""")
 def score_from_folds(spark, sf_dir):
     """Folds reduced as the scoring step does: a user's events are a sequence and its shuffles."""
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
-    folds = table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("seqname"), place.alias("iteration"),
-        F.when(F.col("event_type") != "error", -F.col("value")).alias("mfe"),
-        (F.count("*").over(Window.partitionBy("user_id")) - 1).cast("int").alias("n_shuffles"),
-        F.lit(None).cast("string").alias("problem"))
-    return _shown(scoring.score_folds(folds), "seq_name", "error")
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("seqname"), "event_id", "event_type", "value")
+    # A user may have any number of events, so they are numbered over ranges, not in one window.
+    placed = with_index(events, ["seqname"], ["event_id"], "iteration")
+    sizes = events.groupBy("seqname").agg((F.count("*") - 1).cast("int").alias("n_shuffles"))
+    folds = placed.join(sizes, "seqname").select(
+        "seqname", "iteration", F.when(F.col("event_type") != "error", -F.col("value")).alias("mfe"),
+        "n_shuffles", F.lit(None).cast("string").alias("problem"))
+    return _shown(scoring.score_folds(folds, bounded=False), "seq_name", "error")
 
 
 @query("""

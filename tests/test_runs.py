@@ -1,12 +1,16 @@
 """Runs that go wrong: repeated names, failing programs, stops, files in another order."""
 
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from foldmill.__main__ import main
 from foldmill.config import RunConfig
 from foldmill.operators import extraction, robust, scoring, splice
-from foldmill.operators.scorers import CommandScorer, LetterGraph, NeighbourScorer, iteration_rng
+from foldmill.operators.scorers import (
+    CommandScorer, LetterGraph, NeighbourScorer, fold_alone, iteration_rng)
 from foldmill.plans import score
 from foldmill.plans.collate import run_collate
 from foldmill.sources import tables
@@ -185,3 +189,83 @@ def test_files_of_different_headers_are_read_together(spark, tmp_path, caplog):
     assert tables.read_raw_shuffles(spark, str(tmp_path / "e")) is None
     with pytest.raises(FileNotFoundError):
         tables.read_results(spark, str(tmp_path / "f"))
+
+
+def test_a_batch_reads_its_own_partition_only(spark, run):
+    todo = score.find_missing(spark, run)
+    number, stage = score.store_todo(run, todo, "r", 1)
+    assert number == 3
+    read = [score.read_batch(spark, stage, n) for n in range(number)]
+    assert sorted(r.seqname for df in read for r in df.collect()) == ["a", "b", "c"]
+    plan = read[1]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch" in plan and "PushedFilters: []" in plan
+
+
+def test_a_batch_written_again_replaces_itself_alone(spark, run):
+    rows = spark.createDataFrame([("a", 1)], "seq_name string, n int")
+    for name, number in (("x_0", 1), ("x_1", 2), ("x_0", 3)):
+        score._write_batch(rows.withColumn("n", F.lit(number)), run.results_dir, name)
+    assert {(r.batch, r.n) for r in spark.read.parquet(run.results_dir).collect()} == {("x_0", 3), ("x_1", 2)}
+
+
+def test_stopped_batches_are_removed(spark, run, monkeypatch):
+    score.run_scoring(spark, run, NeighbourScorer(), names=spark.createDataFrame([("a",)], "seqname string"))
+    monkeypatch.setattr(scoring, "errors", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        score.run_scoring(spark, run, NeighbourScorer())
+    assert spark.read.parquet(run.raw_shuffles_dir).select("batch").distinct().count() == 2
+    assert len(score.remove_unfinished(spark, run)) == 1 and score.remove_unfinished(spark, run) == []
+    assert {r.transcript_id for r in spark.read.parquet(run.raw_shuffles_dir).collect()} == {"a"}
+    assert score.read_finished(spark, run, run.results_dir).count() == 1
+
+
+GREEDY = """#!{python}
+import sys
+for line in sys.stdin:
+    if line.startswith(">"):
+        print(line, end="")
+    else:
+        held = b"x" * (1000 * len(line.strip()))
+        print("." * 5, "(-1.00)")
+"""
+
+
+def test_memory_of_a_sample_is_its_own(spark, tmp_path):
+    """In one worker, a sample that needs 300 MB comes before one that needs next to nothing."""
+    greedy = program(tmp_path, GREEDY.format(python=sys.executable))
+    rows = [(1, "large", 300_000, 1, "ACGU" * 75_000), (1, "small", 40, 1, "ACGU" * 10)]
+    samples = spark.createDataFrame(rows, "tier int, seqname string, length int, n_shuffles int, seq string").coalesce(1)
+    for scorer in (greedy, NeighbourScorer()):
+        timed = {r.seqname: r for r in _in_order(samples, scorer)}
+        assert timed["small"].rss_kb < timed["large"].rss_kb and timed["large"].wall > 0
+    timed = {r.seqname: r.rss_kb for r in _in_order(samples, greedy)}
+    assert timed["large"] > 300_000 and timed["small"] < 100_000
+
+
+def _in_order(samples, scorer):
+    made = []
+    for row in samples.orderBy("seqname").collect():
+        energies, memory = fold_alone(scorer, [row.seq, row.seq])
+        assert len(energies) == 2 and None not in energies
+        made.append((row.seqname, memory))
+    first = {n: m for n, m in made}
+    timed = scoring.time_samples(samples, scorer).collect()
+    assert {r.seqname for r in timed} == set(first)
+    return timed
+
+
+def test_a_program_that_hangs_or_dies(tmp_path):
+    hangs = CommandScorer(("sleep", "60"), timeout=0.5)
+    with pytest.raises(subprocess.TimeoutExpired):
+        hangs.fold(["ACGU"])
+    assert scoring._energies(hangs, ["ACGU"])[0] == [None]
+    deaf = program(tmp_path, "#!/bin/sh\nexit 7\n")
+    with pytest.raises(RuntimeError, match="code 7"):
+        deaf.fold(["ACGU" * 100_000])
+
+
+def test_unbounded_folds_score_like_bounded_ones(spark):
+    rows = [(n, 30, i, None if i % 11 == 5 else -float((i * 7 + k) % 13), "p" if i == 2 else None)
+            for k, n in enumerate("abc") for i in range(31)]
+    folds = spark.createDataFrame(rows, "seqname string, n_shuffles int, iteration int, mfe double, problem string")
+    assert sorted(scoring.score_folds(folds).collect()) == sorted(scoring.score_folds(folds, bounded=False).collect())
