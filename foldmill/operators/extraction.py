@@ -12,7 +12,7 @@ from foldmill.fixed_values import (
     TAIL_LENGTH)
 from foldmill.functions.ids import seqname
 from foldmill.functions.sequences import cds_bounds, region_slice
-from foldmill.operators.keys import lacking_key, top_rows
+from foldmill.operators.keys import top_rows
 
 
 def with_cds_bounds(records: DataFrame, header: str = "header") -> DataFrame:
@@ -94,19 +94,28 @@ def manifest(regions: DataFrame) -> DataFrame:
 
 
 def summary(records: DataFrame, genes: DataFrame, selected: DataFrame) -> DataFrame:
-    """Quality report: records, requested genes not found, chosen genes not spliced."""
-    names = F.lit("None"), F.lit(REASON_NOT_FOUND)
-    done = records.select(
-        "gene_id", "orig_id", "reason", "total_length", "cds_length", "utr5_length",
-        "utr3_length", "status")
-    lengths = [F.lit(0).alias(c) for c in
-               ("total_length", "cds_length", "utr5_length", "utr3_length")]
-    missing = lacking_key(genes, selected, ["gene_id"]).select(
-        "gene_id", names[0].alias("orig_id"), names[1].alias("reason"), *lengths,
-        F.lit(STATUS_MISSING).alias("status"))
-    unspliced = lacking_key(selected, records, ["gene_id"]).select(
-        "gene_id", "orig_id", "reason", *lengths, F.lit(STATUS_NOT_IN_FASTA).alias("status"))
-    return done.unionByName(missing).unionByName(unspliced).toDF(*SUMMARY_COLUMNS)
+    """Quality report: records, requested genes not found, chosen genes not spliced.
+
+    ``selected`` and ``records`` have at most one row per gene. Each table is read once: all rows
+    are put under their gene, which then has a record, or else a choice, or else is missing.
+    """
+    lengths = ("total_length", "cds_length", "utr5_length", "utr3_length")
+    fields = ("orig_id:string", "reason:string", *(f"{c}:int" for c in lengths), "status:string")
+    row_type = f"struct<{','.join(fields)}>"
+    none = [F.lit(0).alias(c) for c in lengths]
+
+    def told(df: DataFrame, name: str, *columns) -> DataFrame:
+        row = F.struct(*columns).cast(row_type)
+        return df.select("gene_id", *(
+            (row if n == name else F.lit(None).cast(row_type)).alias(n) for n in ("record", "choice", "request")))
+
+    rows = (told(records, "record", "orig_id", "reason", *lengths, "status")
+            .unionByName(told(selected, "choice", "orig_id", "reason", *none, F.lit(STATUS_NOT_IN_FASTA).alias("status")))
+            .unionByName(told(genes, "request", F.lit("None").alias("orig_id"), F.lit(REASON_NOT_FOUND).alias("reason"),
+                              *none, F.lit(STATUS_MISSING).alias("status"))))
+    first = F.coalesce("record", "choice", "request")
+    return (rows.groupBy("gene_id").agg(*(F.max(n).alias(n) for n in ("record", "choice", "request")))
+            .select("gene_id", first.alias("row")).select("gene_id", "row.*").toDF(*SUMMARY_COLUMNS))
 
 
 def status_counts(summary_df: DataFrame, status: str = "Status") -> DataFrame:

@@ -31,16 +31,19 @@ def run_collate(spark: SparkSession, results_dir: str, manifest: str, out_dir: s
     if results is None:
         raise FileNotFoundError(f"no results in {results_dir}")
     combined = collate.collate_results(results, metadata)
-    sinks.write_collated(combined, f"{out_dir}/combined_rnafold.tsv", order, drop=["pos"])
+    rows = sinks.write_collated(combined, f"{out_dir}/combined_rnafold.tsv", order, drop=["pos"])
+    log.info("%d combined results.", rows)
     if raw_dir:
         raw = (tables.read_raw_shuffles(spark, raw_dir, placed=True) if text_results
                else _finished(spark, raw_dir, results_dir))
         if raw is None:
             log.error("No raw shuffles in %s", raw_dir)
         else:
-            sinks.write_collated(collate.collate_raw(raw, metadata, carry=order if text_results else ()),
-                                 f"{out_dir}/combined_rnafold_raw_shuffles.tsv",
-                                 order if text_results else ["seqname", "iteration"], drop=["pos"])
+            rows = sinks.write_collated(
+                collate.collate_raw(raw, metadata, carry=order if text_results else ()),
+                f"{out_dir}/combined_rnafold_raw_shuffles.tsv",
+                order if text_results else ["seqname", "iteration"], drop=["pos"])
+            log.info("%d combined shuffles.", rows)
     return combined.drop("pos")
 
 

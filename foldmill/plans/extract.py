@@ -48,7 +48,10 @@ def run_extraction(spark: SparkSession, config: ExtractConfig, force: bool = Fal
         mrna = fasta.read_mrna(spark, mrna_fasta).select(
             "tx_id", original_id(F.col("name")).alias("orig_id"), "seq", "cds_start", "cds_end")
     else:
-        mrna = spliced_transcripts(lines, fasta.read_genome(spark, config.genome_fasta),
+        # The lines of the chosen transcripts, a small part of the annotation, are all that is spliced.
+        own = _stage(transcripts.selected_lines(lines, selected, anchored).select("raw", "pos"),
+                     f"{out}/stage/annotation_selected")
+        mrna = spliced_transcripts(own, fasta.read_genome(spark, config.genome_fasta),
                                    selected, anchored)
     records = _stage(extraction.with_status(extraction.attach_selection(mrna, selected),
                                             config.min_utr_length), f"{out}/stage/records")

@@ -57,7 +57,17 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _store(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, place = _store(spark, path)
+    return store.exists(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder in whatever store its path names."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    store, place = _store(spark, path)
+    store.delete(place, True)

@@ -29,7 +29,8 @@ def by_header(lines: DataFrame, schema: str, extra: bool = False, sep: str = ","
     file. The first line of every file is its header. Columns are found by name, so files may
     differ in their columns and in the order of these; a column that a file lacks is null there. With
     ``extra``, the further columns of all files follow as text, in order of first appearance. Rows
-    with fewer fields than their header end in nulls, surplus fields are dropped. Empty lines and ``null`` fields count for nothing.
+    with fewer fields than their header end in nulls, surplus fields are dropped. Empty lines, ``null``
+    fields and fields that are not of their column's type count for nothing.
 
     Headers are found by one partial aggregation, a row per file leaves each task. Lines then
     learn where their file has each column, from a table of one row per file, which is broadcast
@@ -61,7 +62,7 @@ def by_header(lines: DataFrame, schema: str, extra: bool = False, sep: str = ","
         return F.when(value != null, value)
 
     return rows.select(
-        *(found(n).cast(kind).alias(name) for n, (name, kind) in enumerate(zip(names, kinds))),
+        *(found(n).try_cast(kind).alias(name) for n, (name, kind) in enumerate(zip(names, kinds))),
         *(found(len(names) + n).alias(name) for n, name in enumerate(more)), "pos")
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from foldmill.functions.sequences import fasta_text
 from foldmill.operators.collate import printed
+from foldmill.session import folder_exists, remove_folder
 
 log = logging.getLogger(__name__)
 
@@ -22,19 +22,26 @@ def write_table(df: DataFrame, path: str, sep: str = "\t", header: bool = True,
         lineSep="\r\n" if crlf else "\n").csv(path)
 
 
-def write_manifest(manifest: DataFrame, path: str) -> bool:
-    """Writes the manifest unless it has no rows; returns whether it has. An earlier one is
-    emptied then."""
-    if not manifest.isEmpty():
-        write_table(manifest, path)
-        return True
-    log.warning("The manifest has no rows.")
-    try:
-        manifest.sparkSession.read.text(path)
-    except AnalysisException:
-        return False
-    write_table(manifest, path)
-    return False
+def write_counted(df: DataFrame, path: str, **options) -> int:
+    """Writes delimited text and returns the number of rows, which are counted as they are written.
+
+    Without rows there is no table at ``path`` afterwards, but one from an earlier run stays, emptied.
+    """
+    new = not folder_exists(df.sparkSession, path)
+    counted = Observation()
+    write_table(df.observe(counted, F.count(F.lit(1)).alias("rows")), path, **options)
+    rows = counted.get["rows"]
+    if not rows and new:
+        remove_folder(df.sparkSession, path)
+    return rows
+
+
+def write_manifest(manifest: DataFrame, path: str) -> int:
+    """Writes the manifest and returns its number of rows."""
+    rows = write_counted(manifest, path)
+    if not rows:
+        log.warning("The manifest has no rows.")
+    return rows
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
@@ -51,17 +58,14 @@ def write_raw_shuffles(raw: DataFrame, path: str) -> None:
 
 
 def write_collated(collated: DataFrame, path: str, order: Iterable[str] = (),
-                   drop: Iterable[str] = ()) -> bool:
-    """Writes a collated result table as printed text in ``order``, unless it has no rows.
+                   drop: Iterable[str] = ()) -> int:
+    """Writes a collated result table as printed text in ``order`` and returns its number of rows.
 
-    ``drop`` names columns that are only for the order. Whether there are rows is asked before
-    the sort, so that the sort is done once.
+    ``drop`` names columns that are only for the order. Rows are counted behind the sort, which
+    reads its input twice.
     """
-    if collated.isEmpty():
-        return False
     rows = collated.orderBy(*order) if order else collated
-    write_table(printed(rows.drop(*drop)), path)
-    return True
+    return write_counted(printed(rows.drop(*drop)), path)
 
 
 def write_fasta(regions: DataFrame, path: str, requested: Iterable[str] = (),

@@ -13,7 +13,7 @@ from foldmill.operators.scorers import (
     CommandScorer, LetterGraph, NeighbourScorer, fold_alone, iteration_rng)
 from foldmill.plans import score
 from foldmill.plans.collate import run_collate
-from foldmill.sources import tables
+from foldmill.sources import sinks, tables
 
 FOLD = """#!/bin/sh
 while read -r line; do case "$line" in
@@ -269,3 +269,12 @@ def test_unbounded_folds_score_like_bounded_ones(spark):
             for k, n in enumerate("abc") for i in range(31)]
     folds = spark.createDataFrame(rows, "seqname string, n_shuffles int, iteration int, mfe double, problem string")
     assert sorted(scoring.score_folds(folds).collect()) == sorted(scoring.score_folds(folds, bounded=False).collect())
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path, caplog):
+    rows = spark.range(0, 500, 1, 5).selectExpr("cast(id as string) as seqname", "-1.0D as orig_mfe")
+    path = f"{tmp_path}/combined.tsv"
+    assert sinks.write_collated(rows.limit(0), path) == 0 and not (tmp_path / "combined.tsv").exists()
+    assert sinks.write_collated(rows, path, ["seqname"]) == 500
+    assert spark.read.option("header", True).csv(path, sep="\t").count() == 500
+    assert sinks.write_collated(rows.limit(0), path) == 0 and spark.read.option("header", True).csv(path).count() == 0
