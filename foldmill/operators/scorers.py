@@ -17,94 +17,25 @@ from dataclasses import dataclass
 import numpy as np
 
 from foldmill.fixed_values import MFE_LINE_PATTERN
+from foldmill.operators.walks import shuffle_all
 
 # Pair energies of the stand-in model, in whole units per base pair.
 PAIR_ENERGY = {"GC": -3, "AU": -2, "GU": -1}
 MIN_LOOP = 3
-# From so many shuffles of one sequence on, a NumPy step for all beats a Python step for each.
-SIDE_BY_SIDE = 64
 
 
 class LetterGraph:
-    """The letter pairs of a sequence as a graph, for drawing shuffles.
-
-    A shuffle has the same letter-pair counts and the same two ends (Altschul and
-    Erickson 1985): it is a random Eulerian walk through the graph. The last exits
-    of the letters form a tree, drawn by loop-erased random walks.
-    """
+    """Shuffles of one sequence, each from a random stream of its own. See ``walks`` for many."""
 
     def __init__(self, seq: str):
         self.seq = seq
-        points = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.letters, codes = np.unique(points, return_inverse=True)
-        narrow = np.uint8 if len(self.letters) <= 256 else np.uint32
-        self.codes = codes.astype(narrow)
-        self.source = self.codes[:-1]
-        # Pair numbers in the order of their first letter, and where each letter's pairs are.
-        self.pairs = np.argsort(self.source, kind="stable")
-        bounds = np.searchsorted(self.source[self.pairs], np.arange(len(self.letters) + 1))
-        self.bounds = bounds.tolist()
-        self.targets = self.codes[1:][self.pairs].tolist()
-
-    def _exits(self, rng: np.random.Generator) -> np.ndarray:
-        """Letters that the walk goes on to, each letter's exits in random order."""
-        order = self.pairs.copy()
-        for first, last in zip(self.bounds, self.bounds[1:]):
-            rng.shuffle(order[first:last])
-        for letter, pair in self._last_exits(rng).items():
-            exits = order[self.bounds[letter]:self.bounds[letter + 1]]
-            exits[np.argmax(exits == pair)] = exits[-1]
-            exits[-1] = pair
-        return self.codes[1:][order]
 
     def shuffles(self, rngs: Sequence[np.random.Generator]) -> Iterator[str]:
-        """One shuffle per random stream. Many are walked together, a letter at a time."""
-        if len(rngs) < SIDE_BY_SIDE or len(self.seq) < 4:
-            yield from map(self.shuffle, rngs)
-            return
-        exits = np.stack([self._exits(rng) for rng in rngs]).ravel()
-        # Where each walk finds the next exit of each letter.
-        base = np.arange(len(rngs)) * len(self.letters)
-        next_exit = (np.arange(len(rngs))[:, None] * len(self.source)
-                     + np.array(self.bounds[:-1])).ravel()
-        path = np.empty((len(self.seq), len(rngs)), self.codes.dtype)
-        letter = np.full(len(rngs), self.codes[0])
-        path[0] = letter
-        for at in range(1, len(self.seq)):
-            spot = base + letter
-            place = next_exit[spot]
-            next_exit[spot] = place + 1
-            letter = exits[place]
-            path[at] = letter
-        for column in np.ascontiguousarray(path.T):
-            yield self.letters[column].tobytes().decode("utf-32-le", "surrogatepass")
+        seeds = [_bits(rng) for rng in rngs]
+        yield from shuffle_all([self.seq], [0] * len(seeds), seeds)
 
     def shuffle(self, rng: np.random.Generator) -> str:
-        if len(self.seq) < 4:
-            return self.seq
-        targets = self._exits(rng).tolist()
-        walks = [iter(targets[first:last]) for first, last in zip(self.bounds, self.bounds[1:])]
-        letter = int(self.codes[0])
-        path = [letter]
-        for _ in range(len(self.seq) - 1):
-            letter = next(walks[letter])
-            path.append(letter)
-        return self.letters[path].tobytes().decode("utf-32-le", "surrogatepass")
-
-    def _last_exits(self, rng: np.random.Generator) -> dict[int, int]:
-        """The pair by which the walk leaves each letter for the last time."""
-        end, tree, targets, bounds, draw = int(self.codes[-1]), {}, self.targets, self.bounds, rng.random
-        for start in range(len(self.letters)):
-            letter, path = start, {}
-            while letter != end and letter not in tree:
-                first, last = bounds[letter], bounds[letter + 1]
-                path[letter] = first + int(draw() * (last - first))
-                letter = targets[path[letter]]
-            letter = start
-            while letter != end and letter not in tree:
-                tree[letter] = path[letter]
-                letter = targets[path[letter]]
-        return {letter: int(self.pairs[place]) for letter, place in tree.items()}
+        return next(self.shuffles([rng]))
 
 
 def dinucleotide_shuffle(seq: str, rng: np.random.Generator) -> str:
@@ -117,6 +48,15 @@ def iteration_rng(seed: int, name: str, iteration: int) -> np.random.Generator:
     return np.random.Generator(np.random.PCG64(int.from_bytes(digest, "big")))
 
 
+def _bits(rng: np.random.Generator) -> int:
+    return int(rng.integers(0, 1 << 64, dtype=np.uint64))
+
+
+def walk_seed(seed: int, name: str, iteration: int) -> int:
+    """The 64 bits that decide one shuffle."""
+    return _bits(iteration_rng(seed, name, iteration))
+
+
 @dataclass(frozen=True)
 class PairingScorer:
     """Stand-in energy: the best nested base pairing (Nussinov and Jacobson 1980).

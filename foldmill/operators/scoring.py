@@ -18,11 +18,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from foldmill.fixed_values import MIN_VALID_PERCENT
 from foldmill.operators import robust
 from foldmill.operators.ranking import with_index
-from foldmill.operators.scorers import LetterGraph, fold_alone, iteration_rng
+from foldmill.operators.scorers import fold_alone, walk_seed
+from foldmill.operators.walks import shuffle_all
 
 # Table cells one block may fill; keeps a block's memory near 100 MB.
 BLOCK_CELLS = 16_000_000
 MAX_BLOCK = 256
+# Letters of shuffles that are walked side by side.
+WALK_LETTERS = 8_000_000
 # Letters of one frame of shuffles.
 PORTION_LETTERS = 4_000_000
 # Cells one task should fill, some ten seconds of work.
@@ -75,18 +78,41 @@ def _portions(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield portion
 
 
+def _shuffles(rows: Iterator, seed: int) -> Iterator[tuple]:
+    """``seqname, n_shuffles, iteration, seq`` of the shuffles of work blocks.
+
+    Blocks are taken together until they have some ``WALK_LETTERS`` letters, and walked side by side.
+    """
+    held, letters = [], 0
+
+    def drawn() -> Iterator[tuple]:
+        own = [(n, i) for n, row in enumerate(held) for i in range(max(row.first, 1), row.first + row.count)]
+        seqs = shuffle_all([row.seq for row in held], [n for n, _ in own],
+                           [walk_seed(seed, held[n].seqname, i) for n, i in own])
+        for (n, i), seq in zip(own, seqs):
+            yield held[n].seqname, held[n].n_shuffles, i, seq
+
+    for row in rows:
+        held.append(row)
+        letters += len(row.seq) * row.count
+        if letters > WALK_LETTERS:
+            yield from drawn()
+            held, letters = [], 0
+    if held:
+        yield from drawn()
+
+
+def _rows(batches: Iterator[pd.DataFrame]) -> Iterator:
+    for batch in batches:
+        yield from batch.itertuples(index=False)
+
+
 def shuffled(sequences: DataFrame, seed: int = 0, tasks: int | None = None) -> DataFrame:
     """``seqname, iteration, seq``: the shuffles themselves, iterations 1..N."""
-    def draws(batch: pd.DataFrame) -> Iterator[tuple]:
-        for row in batch.itertuples(index=False):
-            wanted = range(max(row.first, 1), row.first + row.count)
-            drawn = LetterGraph(row.seq).shuffles([iteration_rng(seed, row.seqname, i) for i in wanted])
-            yield from ((row.seqname, i, seq) for i, seq in zip(wanted, drawn))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for rows in _portions(draws(batch)):
-                yield pd.DataFrame(rows, columns=["seqname", "iteration", "seq"])
+        drawn = ((name, i, seq) for name, _, i, seq in _shuffles(_rows(batches), seed))
+        for rows in _portions(drawn):
+            yield pd.DataFrame(rows, columns=["seqname", "iteration", "seq"])
 
     blocks = spread(work_blocks(sequences, max_span=1), tasks or task_count(sequences, 1))
     return blocks.mapInPandas(run, "seqname string, iteration int, seq string")
@@ -134,12 +160,9 @@ def fold_all(sequences: DataFrame, scorer, seed: int = 0, tasks: int | None = No
     max_span = getattr(scorer, "max_span", None)
 
     def folds(batch: pd.DataFrame) -> Iterator[tuple]:
-        for row in batch.itertuples(index=False):
-            if row.first == 0:
-                yield row.seqname, row.n_shuffles, 0, row.seq
-            wanted = range(max(row.first, 1), row.first + row.count)
-            drawn = LetterGraph(row.seq).shuffles([iteration_rng(seed, row.seqname, i) for i in wanted])
-            yield from ((row.seqname, row.n_shuffles, i, seq) for i, seq in zip(wanted, drawn))
+        for row in batch[batch["first"] == 0].itertuples(index=False):
+            yield row.seqname, row.n_shuffles, 0, row.seq
+        yield from _shuffles(batch.itertuples(index=False), seed)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -227,8 +250,9 @@ def time_samples(samples: DataFrame, scorer, seed: int = 0) -> DataFrame:
                 began = time.perf_counter()
                 wall = rss = None
                 try:
-                    drawn = LetterGraph(row.seq).shuffles(
-                        [iteration_rng(seed, row.seqname, i) for i in range(1, row.n_shuffles + 1)])
+                    wanted = range(1, row.n_shuffles + 1)
+                    drawn = shuffle_all([row.seq], [0] * len(wanted),
+                                        [walk_seed(seed, row.seqname, i) for i in wanted])
                     energies, memory = fold_alone(scorer, [row.seq, *drawn])
                     if energies[0] is not None:
                         wall, rss = time.perf_counter() - began, memory

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from foldmill.functions.energies import energy_text, fixed4, fixed4_or_na, valid_energy
@@ -101,15 +106,6 @@ def fixed_format(spark, sf_dir):
         fixed4_or_na(F.when(F.col("o_orderstatus") != "F", -price / 13)).alias("shown_or_na"))
 
 
-def _letter_pairs(sequences: DataFrame, *keys: str) -> DataFrame:
-    """Counts of neighbouring letters; one pass over each sequence."""
-    two = F.lit("(?s)..")
-    pairs = F.concat(F.regexp_extract_all("seq", two, F.lit(0)),
-                     F.regexp_extract_all(F.expr("substring(seq, 2)"), two, F.lit(0)))
-    return (sequences.filter(F.length("seq") > 1).select(*keys, F.explode(pairs).alias("pair"))
-            .groupBy(*keys, "pair").agg(F.count("*").alias("n")))
-
-
 SHUFFLES = 5
 
 _PAIRS_SQL = """
@@ -127,13 +123,21 @@ FROM lists, (SELECT unnest(generate_series(1, {SHUFFLES}))) AS v(iteration)""")
 def dinuc_shuffle_invariants(spark, sf_dir):
     """Letter pairs of every shuffle of every text; the SQL has those of the texts."""
     documents = named_documents(spark, sf_dir).withColumn("n_shuffles", F.lit(SHUFFLES))
-    counts = _letter_pairs(scoring.shuffled(documents, seed=1), "seqname", "iteration")
-    pairs = F.array_sort(F.collect_list(F.struct("pair", "n")))
-    listed = F.array_join(F.transform(pairs, lambda p: F.concat(p["pair"], p["n"])), ",")
-    return (counts.groupBy("seqname", "iteration")
-            .agg(F.count("*").alias("n_pairs"), F.md5(listed).alias("digest"))
-            .select(F.substring("seqname", 2, 20).cast("bigint").alias("doc_id"),
-                    F.col("iteration").cast("bigint").alias("iteration"), "n_pairs", "digest"))
+    shuffles = scoring.shuffled(documents, seed=1)
+    return shuffles.filter(F.length("seq") > 1).mapInPandas(
+        _pair_digests, "doc_id bigint, iteration bigint, n_pairs bigint, digest string")
+
+
+def _pair_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Number and digest of the counted letter pairs of every text."""
+    for batch in batches:
+        rows = []
+        for row in batch.itertuples(index=False):
+            points = np.frombuffer(row.seq.encode("utf-32-le"), np.uint32).astype(np.uint64)
+            pairs, counts = np.unique(points[:-1] << np.uint64(32) | points[1:], return_counts=True)
+            listed = ",".join(f"{chr(p >> 32)}{chr(p & 0xFFFFFFFF)}{n}" for p, n in zip(pairs.tolist(), counts.tolist()))
+            rows.append((int(row.seqname[1:]), row.iteration, len(pairs), hashlib.md5(listed.encode()).hexdigest()))
+        yield pd.DataFrame(rows, columns=["doc_id", "iteration", "n_pairs", "digest"])
 
 
 @query("""
