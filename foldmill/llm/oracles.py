@@ -37,6 +37,26 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
 
+# Texts as hexadecimal digits, two per byte.
+SUFFIX_DEDUP = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d),
+windows AS MATERIALIZED (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS key FROM starts),
+firsts AS (SELECT key, min({'doc_id': doc_id, 'i': i}) AS f FROM windows GROUP BY key HAVING count(*) > 1),
+again AS (SELECT doc_id, i FROM windows JOIN firsts USING (key) WHERE doc_id <> f.doc_id OR i <> f.i),
+-- Repeated windows that overlap or touch are one run.
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM again),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM runs),
+kept AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+           string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS before
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
 TOP_K = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

@@ -12,7 +12,7 @@ from foldmill.llm.lempel_ziv import duplicate_spans
 from foldmill.llm.line_quality import quality_scores
 from foldmill.llm.merkle import manifest, manifest_sql
 from foldmill.llm.oracles import (CHAT_FORMAT, EMBEDDING_LINKS, HARD_NEGATIVES, SUBSTRING_DEDUP,
-                                  TOP_K)
+                                  SUFFIX_DEDUP, TOP_K)
 from foldmill.llm.order_minhash import fingerprint_edits
 from foldmill.llm.packing import pack
 from foldmill.llm.prefix_free import repeated_bytes
@@ -132,5 +132,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_raked_mix": mix_sql(), "op3_chat_format": CHAT_FORMAT,
-            "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K, "op11_hard_negatives": HARD_NEGATIVES,
-            "op12_embedding_dedup": EMBEDDING_LINKS,            "op13_merkle_manifest": manifest_sql()}
+            "op4_substring_dedup": SUBSTRING_DEDUP, "op8_top_k": TOP_K,
+            "op10_suffix_dedup": SUFFIX_DEDUP, "op11_hard_negatives": HARD_NEGATIVES,
+            "op12_embedding_dedup": EMBEDDING_LINKS, "op13_merkle_manifest": manifest_sql()}

@@ -93,3 +93,40 @@ def kept_of_similar(rows, similarity=0.8):
                 a, b = sorted((label[i], label[j]))
                 label = {k: a if v == b else v for k, v in label.items()}
     return set(label.values())
+
+
+def _signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _chained(parts):
+    """Hash of several byte strings, each seeded with the hash of those before."""
+    seed = 42
+    for part in parts:
+        seed = xxhash.xxh64_intdigest(part, seed)
+    return _signed(seed)
+
+
+def order_minhash(text, gram=3, bins=32, size=2):
+    """Fingerprint of occurrence-numbered k-mers: per bin the least ones, in text order, hashed."""
+    own = words(text)
+    grams = [own[i:i + gram] for i in range(len(own) - gram + 1)] if len(own) >= gram else [own] if own else []
+    seen, kmers = {}, [[] for _ in range(bins)]
+    for place, parts in enumerate(grams):
+        key = _chained(parts) >> 26
+        number = seen[key] = seen.get(key, -1) + 1
+        if number:
+            key = _chained([key.to_bytes(8, "little", signed=True), number.to_bytes(4, "little")]) >> 26
+        kmers[(key >> 33) + bins // 2].append((key, place))
+    out = []
+    for own in kmers:
+        least = sorted(sorted(own)[:size], key=lambda k: k[1])
+        digest = _chained([key.to_bytes(8, "little", signed=True) for key, _ in least])
+        out.append(f"{digest & (1 << 64) - 1:016x}"[8:] if least else "-" * 8)
+    return "".join(out)
+
+
+def order_likeness(one, other):
+    pairs = [(one[i:i + 8], other[i:i + 8]) for i in range(0, len(one), 8)]
+    held = [p for p in pairs if p != ("-" * 8, "-" * 8)]
+    return sum(a == b for a, b in held) / len(held) if held else 1.0
