@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import subprocess
 import time
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldmill.fixed_values import MIN_VALID_PERCENT
@@ -151,11 +153,12 @@ def _energies(scorer, seqs: list[str]) -> tuple[list, list]:
     return [v[0] for v in values], [p[0] for p in problems]
 
 
-def fold_all(sequences: DataFrame, scorer, seed: int = 0, tasks: int | None = None) -> DataFrame:
+def fold_all(sequences: DataFrame, scorer, seed: int = 0, tasks: int | None = None,
+             profile: ResourceProfile | None = None) -> DataFrame:
     """``seqname, n_shuffles, iteration, mfe``: energies of sequences and shuffles.
 
     ``sequences`` has ``seqname, seq, n_shuffles``. A fold that gives no energy has
-    a null ``mfe``; one failing fold does not end the job.
+    a null ``mfe``; one failing fold does not end the job. ``profile`` says what its tasks need.
     """
     max_span = getattr(scorer, "max_span", None)
 
@@ -175,7 +178,19 @@ def fold_all(sequences: DataFrame, scorer, seed: int = 0, tasks: int | None = No
 
     blocks = spread(work_blocks(sequences, max_span), tasks or task_count(sequences, max_span))
     return blocks.mapInPandas(
-        run, "seqname string, n_shuffles int, iteration int, mfe double, problem string")
+        run, "seqname string, n_shuffles int, iteration int, mfe double, problem string", profile=profile)
+
+
+def fold_by_tier(sequences: DataFrame, scorer, profiles: Mapping[int, ResourceProfile], seed: int = 0,
+                 tasks: int | None = None) -> DataFrame:
+    """The same for ``sequences`` with ``tier``: the tiers of a profile are folded under it, all
+    others together under the session's own resources. There are at most ten tiers."""
+    if not profiles:
+        return fold_all(sequences, scorer, seed, tasks)
+    rest = fold_all(sequences.filter(~F.col("tier").isin(list(profiles))), scorer, seed, tasks)
+    return reduce(DataFrame.unionByName, (
+        fold_all(sequences.filter(F.col("tier") == tier), scorer, seed, tasks, profile)
+        for tier, profile in profiles.items()), rest)
 
 
 def score_folds(folds: DataFrame, min_valid_percent: int = MIN_VALID_PERCENT,

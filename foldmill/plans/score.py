@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldmill.config import RunConfig
 from foldmill.functions.ids import file_key
-from foldmill.operators import calibrate, resume, scoring, stratify, submit
+from foldmill.operators import calibrate, resources, resume, scoring, stratify, submit
 from foldmill.operators.keys import having_key, lacking_key, top_rows
 from foldmill.plans.provenance import read_if_exists
-from foldmill.session import remove_folder
+from foldmill.session import folder_exists, remove_folder
 from foldmill.sources import fasta, sinks, tables
 from foldmill.sources.text import read_whole_files
 
@@ -171,11 +171,20 @@ def run_scoring(spark: SparkSession, run: RunConfig, scorer, names: DataFrame |
         todo = todo.withColumn("n_shuffles", F.lit(n_shuffles))
     run_name = uuid.uuid4().hex
     number, stage = store_todo(run, todo, run_name, batch_sequences)
-    done = [_score_batch(spark, run, scorer, read_batch(spark, stage, n), f"{run_name}_{n}", tasks)
+    profiles = resources.tier_profiles(spark, _recommended(spark, run)) if resources.supported(spark) else {}
+    done = [_score_batch(spark, run, scorer, read_batch(spark, stage, n), f"{run_name}_{n}", tasks, profiles)
             for n in range(number)]
     return spark.read.parquet(*done)
 
 
+def _recommended(spark: SparkSession, run: RunConfig) -> list:
+    """The recommendations of the last calibration, at most one row per tier; none without one."""
+    if not folder_exists(spark, f"{run.calibration_root}/latest"):
+        log.warning("Not calibrated, so all tiers share the session's resources.")
+        return []
+    return latest_recommendations(spark, run).collect()
+
+
 # Tasks that write one batch of the list.
 BATCH_FILES = 8
 
@@ -186,7 +195,7 @@ def store_todo(run: RunConfig, todo: DataFrame, run_name: str, batch_sequences:
     stage = f"{run.raw_shuffles_dir}_folds/todo={run_name}"
     number = max(1, -(-todo.count() // batch_sequences))
     mark = F.xxhash64("seqname")
-    (todo.select("seqname", "seq", "length", "n_shuffles", F.pmod(mark, F.lit(number)).alias("batch"))
+    (todo.select("seqname", "seq", "length", "n_shuffles", "tier", F.pmod(mark, F.lit(number)).alias("batch"))
      .repartition(number * BATCH_FILES, "batch", F.pmod(F.shiftright(mark, 32), F.lit(BATCH_FILES)))
      .write.partitionBy("batch").parquet(stage))
     return number, stage
@@ -194,7 +203,7 @@ def store_todo(run: RunConfig, todo: DataFrame, run_name: str, batch_sequences:
 
 def read_batch(spark: SparkSession, stage: str, batch: int) -> DataFrame:
     """The sequences of one batch; the other partitions are not read."""
-    schema = "seqname string, seq string, length int, n_shuffles int, batch bigint"
+    schema = "seqname string, seq string, length int, n_shuffles int, tier int, batch bigint"
     return spark.read.schema(schema).parquet(stage).filter(F.col("batch") == batch).drop("batch")
 
 
@@ -205,10 +214,10 @@ def _write_batch(rows: DataFrame, path: str, name: str) -> None:
 
 
 def _score_batch(spark: SparkSession, run: RunConfig, scorer, todo: DataFrame, name: str,
-                 tasks: int | None) -> str:
+                 tasks: int | None, profiles: dict) -> str:
     """Folds, reduces and commits one batch; returns the path of its scores."""
     batch = f"{run.raw_shuffles_dir}_folds/batch={name}"
-    scoring.fold_all(todo, scorer, run.seed, tasks).write.mode("overwrite").parquet(batch)
+    scoring.fold_by_tier(todo, scorer, profiles, run.seed, tasks).write.mode("overwrite").parquet(batch)
     folds = spark.read.parquet(batch)
     scoring.score_folds(folds, run.min_valid_percent).write.mode("overwrite").parquet(f"{batch}_scores")
     scored = spark.read.parquet(f"{batch}_scores")

@@ -4,11 +4,11 @@ import subprocess
 import sys
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from foldmill.__main__ import main
 from foldmill.config import RunConfig
-from foldmill.operators import extraction, robust, scoring, splice
+from foldmill.operators import extraction, resources, robust, scoring, splice
 from foldmill.operators.scorers import (
     CommandScorer, LetterGraph, NeighbourScorer, fold_alone, iteration_rng)
 from foldmill.plans import score
@@ -278,3 +278,31 @@ def test_rows_are_counted_as_they_are_written(spark, tmp_path, caplog):
     assert sinks.write_collated(rows, path, ["seqname"]) == 500
     assert spark.read.option("header", True).csv(path, sep="\t").count() == 500
     assert sinks.write_collated(rows.limit(0), path) == 0 and spark.read.option("header", True).csv(path).count() == 0
+
+
+def test_profiles_of_tiers(spark, monkeypatch):
+    advice = [Row(tier=1, max_rss_mb=60, rec_mem="200MB"), Row(tier=2, max_rss_mb=70, rec_mem="200MB"),
+              Row(tier=9, max_rss_mb=900, rec_mem="1800MB"), Row(tier=10, max_rss_mb=None, rec_mem=None)]
+    assert not resources.supported(spark) and resources.tier_profiles(spark, advice) == {}
+    monkeypatch.setattr(resources, "supported", lambda spark: True)
+    made = resources.tier_profiles(spark, advice, cores=2)
+    assert list(made) == [1, 2, 9] and made[1] is made[2]
+    asked = {t: p.executorResources["pyspark.memory"].amount for t, p in made.items()}
+    assert asked == {1: 2 * (200 + 512), 2: 2 * (200 + 512), 9: 2 * (1800 + 512)}
+    assert made[9].executorResources["cores"].amount == 2 and made[9].taskResources["cpus"].amount == 1
+
+
+def test_tiers_are_folded_under_their_profiles(spark, monkeypatch):
+    rows = [(f"s{i}", "ACGUACGU" * (i + 1), 3, i % 3) for i in range(9)]
+    df = spark.createDataFrame(rows, "seqname string, seq string, n_shuffles int, tier int")
+    asked, fold = [], scoring.fold_all
+
+    def recorded(sequences, scorer, seed=0, tasks=None, profile=None):
+        asked.append((sorted(r.seqname for r in sequences.collect()), profile))
+        return fold(sequences, scorer, seed, tasks)     # local mode has no profiles
+
+    want = sorted(map(tuple, fold(df, NeighbourScorer(), 1).collect()))
+    monkeypatch.setattr(scoring, "fold_all", recorded)
+    found = scoring.fold_by_tier(df, NeighbourScorer(), {1: "one", 2: "two"}, 1)
+    assert sorted(map(tuple, found.collect())) == want
+    assert asked == [(["s0", "s3", "s6"], None), (["s1", "s4", "s7"], "one"), (["s2", "s5", "s8"], "two")]
