@@ -47,7 +47,7 @@ def test_few_cells_are_fitted_like_many(spark):
     tables = {"lang": spark.createDataFrame([("en", 0.7), ("de", 0.3)], "lang string, share double")}
     for targets in (None, tables):
         both = [{(r.source, r.lang, r.topic): r for r in raking._fitted(
-            docs, None, targets, 0.7, 0.3, 60, in_one_task=alone)[1].collect()} for alone in (True, False)]
+            docs, None, targets, 0.7, 0.3, 3, in_one_task=alone)[1].collect()} for alone in (True, False)]
         assert set(both[0]) == set(both[1])
         for cell, row in both[0].items():
             assert row.probability == pytest.approx(both[1][cell].probability, abs=1e-4)
