@@ -51,26 +51,71 @@ def _cut_long(segments: DataFrame, bin_size: int) -> DataFrame:
 
 
 def features(lines: DataFrame, anchored: bool = False) -> DataFrame:
-    """Exon and coding lines as ``tx_id, orig_id, type, seqid, start, end, strand``."""
+    """Exon and coding lines as ``tx_id, orig_id, type, seqid, start, end, strand, phase``.
+
+    The phase is 0, 1 or 2, and null where the line has none.
+    """
     def field(number: int) -> Column:
         return tab_field(F.col("raw"), number)
 
     return (with_parent(feature_lines(lines, ["exon", "CDS"]), anchored)
             .select("tx_id", "orig_id", field(2).alias("type"), field(0).alias("seqid"),
                     field(3).try_cast("bigint").alias("start"),
-                    field(4).try_cast("bigint").alias("end"), field(6).alias("strand"))
+                    field(4).try_cast("bigint").alias("end"), field(6).alias("strand"),
+                    F.when(field(7).isin("0", "1", "2"), field(7).cast("int")).alias("phase"))
             .filter(F.col("start").isNotNull() & F.col("end").isNotNull()))
 
 
+def on_transcript(exons: Column, reverse: Column, position: Column, last: bool = False) -> Column:
+    """Place on the spliced transcript of a genome position, both counted from 1.
+
+    ``exons`` are sorted and apart, ``reverse`` says that the transcript is read backwards. A position
+    between exons has no place of its own: it is lifted to the next exon base upwards on the
+    genome, or with ``last`` to the one before, so that a range keeps just the bases it has in exons.
+    Beyond the outermost exons the result lies outside 1 .. transcript length.
+    """
+    reached = position if last else position - 1
+    before = _bases(exons, lambda e: F.greatest(
+        F.least(e["end"], reached) - e["start"] + 1, F.lit(0).cast("bigint")))
+    place = before if last else before + 1
+    return F.when(reverse, _bases(exons, _width) - place + 1).otherwise(place)
+
+
+def on_genome(exons: Column, reverse: Column, place: Column) -> Column:
+    """Genome position of a place on the spliced transcript, null outside the transcript."""
+    size = _bases(exons, _width)
+    forward = F.when(reverse, size - place + 1).otherwise(place)
+    state = F.struct(forward.cast("bigint").alias("left"), F.lit(None).cast("bigint").alias("at"))
+
+    def step(done: Column, exon: Column) -> Column:
+        inside = done["at"].isNull() & (done["left"] > 0) & (done["left"] <= _width(exon))
+        return F.struct((done["left"] - _width(exon)).alias("left"),
+                        F.when(inside, exon["start"] + done["left"] - 1).otherwise(done["at"]).alias("at"))
+
+    return F.aggregate(exons, state, step)["at"]
+
+
+def _width(exon: Column) -> Column:
+    return exon["end"] - exon["start"] + 1
+
+
+def _bases(exons: Column, measure) -> Column:
+    return F.aggregate(exons, F.lit(0).cast("bigint"), lambda sum_, e: sum_ + measure(e))
+
+
 def transcript_models(features_df: DataFrame) -> DataFrame:
     """One row per transcript and locus: exons and the coding range on the transcript.
 
     Lines belong together if their parent's id as written (``orig_id``, where there is one),
     sequence and strand agree. Exons are sorted, and exons that overlap are one.
 
-    A transcript without exon lines is spliced from its coding lines. The coding
-    range runs from the first to the last coding position, counted along the
-    spliced transcript in reading direction; it is null without coding lines.
+    A transcript without exon lines is spliced from its coding lines. The coding range runs from the
+    first to the last coding base that lies in an exon, counted along the spliced transcript in
+    reading direction. Where there is a ``phase``, that of the coding line read first (the least, if
+    several begin there; none is 0) says how many bases belong to a codon that begins before the
+    transcript; they are counted along the transcript, so over an exon's end if it is short, and cut
+    off. A partial codon at the other end stays. The range is null without coding lines, and if no
+    coding base lies in an exon or none is left.
     """
     span = F.struct("start", "end")
 
@@ -78,32 +123,27 @@ def transcript_models(features_df: DataFrame) -> DataFrame:
         return F.array_sort(F.collect_set(F.when(F.col("type") == kind, span)))
 
     coding = F.col("type") == "CDS"
+    phase = F.coalesce("phase", F.lit(0)) if "phase" in features_df.columns else F.lit(0)
     locus = [c for c in ("tx_id", "orig_id", "seqid", "strand") if c in features_df.columns]
     grouped = features_df.groupBy(*locus).agg(
         spans("exon").alias("_exons"), spans("CDS").alias("_coding"),
-        F.min(F.when(coding, F.col("start"))).alias("_first"),
-        F.max(F.when(coding, F.col("end"))).alias("_last"))
-
-    def total(measure) -> Column:
-        return F.aggregate("exons", F.lit(0).cast("bigint"), lambda sum_, e: sum_ + measure(e))
-
-    def up_to(position: Column) -> Column:
-        return total(lambda e: F.greatest(
-            F.least(e["end"], position) - e["start"] + 1, F.lit(0).cast("bigint")))
-
+        F.min(F.when(coding, F.struct("start", phase.alias("skip")))).alias("_first"),
+        F.max(F.when(coding, F.struct("end", (-phase).alias("skip")))).alias("_last"))
+    reverse = F.coalesce(F.col("strand") == "-", F.lit(False))
+    low = on_transcript(F.col("exons"), F.lit(False), F.col("_first.start"))
+    high = on_transcript(F.col("exons"), F.lit(False), F.col("_last.end"), last=True)
     size = F.col("length")
-    first, last = up_to(F.col("_first")), up_to(F.col("_last"))
-    reverse = F.col("strand") == "-"
-    has_coding = F.col("_first").isNotNull()
-    return (grouped
-            .withColumn("exons", _merged(F.when(F.size("_exons") > 0, F.col("_exons"))
-                                         .otherwise(F.col("_coding"))))
-            .withColumn("length", total(lambda e: e["end"] - e["start"] + 1))
-            .select(*locus, "exons", "length",
-                    F.when(has_coding, F.when(reverse, size - last + 1).otherwise(first))
-                     .cast("int").alias("cds_start"),
-                    F.when(has_coding, F.when(reverse, size - first + 1).otherwise(last))
-                     .cast("int").alias("cds_end")))
+    ranged = (grouped
+              .withColumn("exons", _merged(F.when(F.size("_exons") > 0, F.col("_exons"))
+                                           .otherwise(F.col("_coding"))))
+              .withColumn("length", _bases(F.col("exons"), _width))
+              .withColumn("_from", F.when(reverse, size - high + 1 - F.col("_last.skip"))
+                          .otherwise(low + F.col("_first.skip")))
+              .withColumn("_to", F.when(reverse, size - low + 1).otherwise(high)))
+    found = F.col("_from") <= F.col("_to")
+    return ranged.select(*locus, "exons", "length",
+                         F.when(found, F.col("_from")).cast("int").alias("cds_start"),
+                         F.when(found, F.col("_to")).cast("int").alias("cds_end"))
 
 
 def _merged(spans: Column) -> Column:

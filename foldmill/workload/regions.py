@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from foldmill.fixed_values import REGIONS
 from foldmill.operators import extraction, splice
@@ -223,3 +223,69 @@ def splice_exons(spark, sf_dir):
     spliced = splice.splice(splice.transcript_models(features),
                             splice.cut_into_bins(genome, bin_size), bin_size)
     return spliced.select("tx_id", F.md5("seq").alias("bases"), "cds_start", "cds_end")
+
+
+# Coding lines of those exons with phases, whose ends are moved into the exon or out of it.
+_CODING = f"""{_EXONS},
+ends AS (
+  SELECT *, n * 25 AS size, least(n - 1, 4) AS m,
+    26 + CASE WHEN doc_id % 5 = 0 THEN 0 ELSE doc_id % 11 END AS low,
+    (least(n - 1, 4) + 1) * 25 - CASE WHEN doc_id % 4 = 0 THEN 0 ELSE doc_id % 9 END AS high
+  FROM stranded),
+coding AS (
+  SELECT doc_id, seq, size,
+    CASE WHEN n > 1 THEN CASE WHEN doc_id % 2 = 0 THEN low + ((doc_id + 1) % 4) % 3
+      ELSE size - high + 1 + ((doc_id + m) % 4) % 3 END END AS a,
+    CASE WHEN n > 1 THEN CASE WHEN doc_id % 2 = 0 THEN high ELSE size - low + 1 END END AS b
+  FROM ends)"""
+
+
+def _coding_models(spark, sf_dir) -> DataFrame:
+    """Models from annotation lines, which are written as text and parsed again."""
+    def line(kind: str, start: Column, end: Column, phase: Column) -> Column:
+        return F.concat_ws("\t", F.concat(F.lit("D"), F.col("doc_id")), F.lit("src"), F.lit(kind), start, end,
+                           F.lit("."), F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-"), phase,
+                           F.concat(F.lit("Parent=T"), F.col("doc_id")))
+
+    start = F.col("i") * 40 + 1 + F.col("doc_id") % 7
+    end = start + 24
+    phase = (F.col("doc_id") + F.col("i")) % 4
+    coding = line(
+        "CDS", start + F.when(F.col("doc_id") % 5 == 0, -8).otherwise(F.col("doc_id") % 11),
+        end - F.when(F.col("doc_id") % 4 == 0, -7).otherwise(F.col("doc_id") % 9),
+        F.when(phase == 3, ".").otherwise(phase.cast("string")))
+    lines = (table(spark, sf_dir, "documents").filter(F.col("n_chars") >= 40)
+             .select("doc_id", "n_chars", F.explode(F.sequence(
+                 F.lit(0).cast("bigint"), F.floor(F.col("n_chars") / 40) - 1)).alias("i"))
+             .filter(end <= F.col("n_chars"))
+             .select(F.explode(F.array_compact(F.array(
+                 line("exon", start, end, F.lit(".")),
+                 F.when(F.col("i").between(1, 4), coding)))).alias("raw")))
+    return splice.transcript_models(splice.features(lines))
+
+
+@query(f"""WITH {_CODING}
+SELECT 'T' || doc_id AS tx_id, CAST(a AS INTEGER) AS cds_start, CAST(b AS INTEGER) AS cds_end,
+  md5(substring(seq, CAST(a AS BIGINT), CAST(b - a + 1 AS BIGINT))) AS coding_bases FROM coding""")
+def coding_phase(spark, sf_dir):
+    """Coding bases from the first whole codon on, of lines whose ends may miss the exons."""
+    genome = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("D"), F.col("doc_id")).alias("seqid"),
+        F.lit(1).cast("bigint").alias("seq_start"), F.col("text").alias("seq"))
+    bin_size = 512
+    spliced = splice.splice(_coding_models(spark, sf_dir), splice.cut_into_bins(genome, bin_size), bin_size)
+    return spliced.select("tx_id", "cds_start", "cds_end", F.md5(F.expr(
+        "substring(seq, cds_start, cds_end - cds_start + 1)")).alias("coding_bases"))
+
+
+@query(f"""WITH {_CODING}, forward AS (
+  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN a ELSE size - a + 1 END - 1 AS f,
+    CASE WHEN doc_id % 2 = 0 THEN b ELSE size - b + 1 END - 1 AS l FROM coding)
+SELECT 'T' || doc_id AS tx_id, CAST(f // 25 * 40 + f % 25 + 1 + doc_id % 7 AS BIGINT) AS first_at,
+  CAST(l // 25 * 40 + l % 25 + 1 + doc_id % 7 AS BIGINT) AS last_at FROM forward""")
+def coding_positions(spark, sf_dir):
+    """Genome positions of the first and last coding base in reading direction."""
+    reverse = F.col("strand") == "-"
+    return _coding_models(spark, sf_dir).select(
+        "tx_id", splice.on_genome(F.col("exons"), reverse, F.col("cds_start")).alias("first_at"),
+        splice.on_genome(F.col("exons"), reverse, F.col("cds_end")).alias("last_at"))

@@ -158,6 +158,57 @@ def test_two_loci_of_one_id(spark):
     assert [r.seq for r in extraction.attach_selection(spliced, selected).collect()] == ["ACGTTT"]
 
 
+def _models(spark, rows):
+    kind = "tx_id string, type string, seqid string, start long, end long, strand string, phase int"
+    return {r.tx_id: r for r in splice.transcript_models(spark.createDataFrame(rows, kind)).collect()}
+
+
+def test_phase_and_broken_coding_lines(spark):
+    """Exons 11-20, 31-40 and 51-60 are the places 1-10, 11-20 and 21-30, backwards 30-21, 20-11 and 10-1."""
+    exons = [("exon", 11, 20, None), ("exon", 31, 40, None), ("exon", 51, 60, None)]
+    cases = {   # coding lines, then the range forwards and backwards
+        "whole": ([("CDS", 15, 20, 0), ("CDS", 31, 36, 0)], (5, 16), (15, 26)),
+        "phase": ([("CDS", 15, 20, 2), ("CDS", 31, 36, 1)], (7, 16), (16, 26)),
+        "no phase": ([("CDS", 15, 20, None), ("CDS", 31, 36, None)], (5, 16), (15, 26)),
+        "over an exon's end": ([("CDS", 20, 20, 2), ("CDS", 31, 31, 2), ("CDS", 51, 60, 0)], (12, 30), (1, 21)),
+        "from between exons": ([("CDS", 25, 36, 1)], (12, 16), (16, 20)),
+        "into between exons": ([("CDS", 15, 25, 1)], (6, 10), (22, 26)),
+        "beyond both ends": ([("CDS", 1, 99, 0)], (1, 30), (1, 30)),
+        "all between exons": ([("CDS", 21, 30, 0)], (None, None), (None, None)),
+        "all outside": ([("CDS", 1, 5, 0)], (None, None), (None, None)),
+        "nothing left": ([("CDS", 15, 16, 2)], (None, None), (None, None)),
+        "two of one start": ([("CDS", 15, 20, 2), ("CDS", 15, 36, 1)], (6, 16), (16, 26)),
+        "no coding lines": ([], (None, None), (None, None)),
+    }
+    rows = [(f"{name}{strand}", kind, "x", start, end, strand, phase) for name, (coding, _, _) in cases.items()
+            for strand in "+-" for kind, start, end, phase in exons + coding]
+    got = _models(spark, rows)
+    for name, (_, forwards, backwards) in cases.items():
+        assert (got[f"{name}+"].cds_start, got[f"{name}+"].cds_end) == forwards, name
+        assert (got[f"{name}-"].cds_start, got[f"{name}-"].cds_end) == backwards, name
+    alone = _models(spark, [("T", "CDS", "x", 11, 20, "-", 0), ("T", "CDS", "x", 31, 40, "-", 1)])["T"]
+    assert (alone.length, alone.cds_start, alone.cds_end) == (20, 2, 20)
+
+
+def test_places_and_positions_are_each_others_inverse(spark):
+    spans = [(11, 20), (31, 31), (51, 60)]
+    inside = [p for a, b in spans for p in range(a, b + 1)]
+    df = spark.createDataFrame([(spans, back, p) for back in (False, True) for p in range(5, 70)],
+                               "exons array<struct<start:bigint,end:bigint>>, back boolean, at long")
+    up, down = (splice.on_transcript(F.col("exons"), F.col("back"), F.col("at"), last) for last in (False, True))
+    for r in df.select("back", "at", up.alias("up"), down.alias("down")).withColumn(
+            "again", splice.on_genome(F.lit(None).cast("array<struct<start:bigint,end:bigint>>"),
+                                      F.col("back"), F.col("up"))).collect():
+        assert r.again is None
+        above, below = sum(p < r.at for p in inside) + 1, sum(p <= r.at for p in inside)
+        assert (r.up, r.down) == ((22 - above, 22 - below) if r.back else (above, below))
+    lifted = df.withColumn("place", F.col("at") - 10).withColumn(
+        "found", splice.on_genome(F.col("exons"), F.col("back"), F.col("place"))).collect()
+    for r in lifted:
+        order = inside[::-1] if r.back else inside
+        assert r.found == (order[r.place - 1] if 1 <= r.place <= 21 else None)
+
+
 def test_many_shuffles_equal_single_ones():
     graph = LetterGraph("ACGUUGCAACGGUAéA" * 5)
     streams = lambda: [iteration_rng(1, "s", i) for i in range(100)]
