@@ -19,9 +19,8 @@ from foldmill.operators.keys import measured
 
 CAPACITY = 2_048
 END = 0               # id behind every document
-ROUNDS = 300          # of multiplicative weights, at most
-STEP = 0.1            # share of a pattern's scarcest length that one round lays out
-WEIGHT = 4.0          # how fast the price of a covered length falls
+WEIGHT = 4.0          # how fast the weight of a covered length falls
+PRICED = 192          # lengths that the knapsack tries before it tries all
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 OUT = PIECES + ", sequence_id long, offset long"
@@ -77,65 +76,88 @@ def pieces(docs: DataFrame, tokenizer_file: str | None = None, ranks_file: str |
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
-def best_fill(prices: np.ndarray, room: int) -> dict[int, int]:
-    """The multiset of lengths of greatest price that fits into ``room``: an unbounded knapsack
-    by dynamic programming over the room. ``prices[n]`` belongs to length n; 0 means none."""
+def best_fill(prices: np.ndarray, room: int, most: np.ndarray | None = None) -> dict[int, int]:
+    """The multiset of lengths of greatest price that fits into ``room``, with at most ``most[n]``
+    of length n: a bounded knapsack by dynamic programming over the room, where 1, 2, 4, ... copies
+    of a length are one item. ``prices[n]`` belongs to length n; 0 means none."""
     best = np.zeros(room + 1)
-    taken = np.zeros(room + 1, np.int64)
-    for size in range(1, room + 1):
-        offers = best[size - 1::-1] + prices[1:size + 1]    # lengths 1 .. size
-        at = int(offers.argmax())
-        if offers[at] > best[size - 1] and prices[at + 1] > 0:
-            best[size], taken[size] = offers[at], at + 1
-        else:
-            best[size] = best[size - 1]
+    items: list[tuple[int, int, np.ndarray]] = []
+    for length in np.flatnonzero(prices)[::-1].tolist():
+        copies, take = room // length, 1
+        if most is not None:
+            copies = min(copies, int(most[length]))
+        while copies > 0:
+            take = min(take, copies)
+            offers = best[:room + 1 - take * length] + take * prices[length]
+            taken = offers > best[take * length:]
+            np.maximum(best[take * length:], offers, out=best[take * length:])
+            items.append((length, take, taken))
+            copies, take = copies - take, 2 * take
     found: dict[int, int] = {}
-    size = room
-    while size > 0:
-        if taken[size]:
-            found[int(taken[size])] = found.get(int(taken[size]), 0) + 1
-            size -= int(taken[size])
-        else:
-            size -= 1
+    for length, take, taken in reversed(items):
+        if room >= take * length and taken[room - take * length]:
+            found[length] = found.get(length, 0) + take
+            room -= take * length
     return found
 
 
-def solve(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Pattern]:
-    """Patterns that together hold ``counts[n]`` pieces of each length n, in few sequences.
+def _size(pattern: dict[int, int]) -> int:
+    return sum(length * copies for length, copies in pattern.items())
+
+
+def _some(prices: np.ndarray, left: np.ndarray, turn: int) -> np.ndarray:
+    """Prices of ``PRICED`` lengths or so: those with most tokens left, and every k-th of all."""
+    there = np.flatnonzero(prices)
+    if len(there) <= PRICED:
+        return prices
+    most = np.argpartition(left[there] * there, -(PRICED // 2))[-(PRICED // 2):]
+    chosen = np.concatenate([there[most], there[turn % 7::2 * len(there) // PRICED]])
+    return np.where(np.isin(np.arange(len(prices)), chosen), prices, 0)
+
+
+def program(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list[Pattern], np.ndarray]:
+    """Full patterns that cover the lengths, and what they leave.
+
+    The linear program has one variable per pattern and asks that every length be covered. Where
+    sequences can be filled, a length's price in its dual is the length itself; multiplicative
+    weights decide among full patterns. A weight starts in proportion to the length, as long
+    pieces are the hardest to fill up, and falls exponentially as the length is covered; all
+    weights together add less than one token to a sequence's price, so a full pattern always wins.
 
-    The linear program has one variable per pattern and asks that every length be covered. It
-    is solved by multiplicative weights: a length's price is its share of the capacity times a
-    weight that falls as it is covered; each round prices out the best pattern by the knapsack
-    and lays some of it out. Rounding keeps whole sequences of those patterns while pieces
-    last, if they are full to the last token. What is left over is packed by best fit.
+    Each round prices out the best pattern by the knapsack, over some lengths first and over all
+    where those fill no sequence, and lays it out until its scarcest length ends. What a round lays
+    out is whole, so the next one solves the residual program and no fraction is left to round. The
+    rounds end when no full pattern is left; as each ends a length, there are about as many as lengths.
     """
     left = counts.astype(np.int64).copy()
+    wanted = np.maximum(left, 1).astype(float)
     lengths = np.arange(capacity + 1, dtype=float)
     plan: list[Pattern] = []
-    if left[capacity]:
-        plan.append(({capacity: 1}, int(left[capacity])))
-        left[capacity] = 0
-    wanted = left.astype(float)
-    covered = np.zeros(capacity + 1)
-    laid: dict[tuple, float] = {}
-    there = wanted > 0
-    for _ in range(rounds):
-        share = np.where(there, covered / np.maximum(wanted, 1), np.inf)
-        if not there.any() or share[there].min() >= 1:
-            break
-        prices = np.where(there & (share < 1), lengths * np.exp(-WEIGHT * np.minimum(share, 50)), 0)
-        pattern = best_fill(prices, capacity)
-        amount = max(1.0, STEP * min(wanted[n] / k for n, k in pattern.items()))
-        laid[key] = laid.get(key := tuple(sorted(pattern.items(), reverse=True)), 0.0) + amount
+    while True:
+        weights = lengths / capacity * np.exp(-WEIGHT * (1 - left / wanted))
+        prices = np.where(left > 0, lengths * (1 + weights / (capacity + 1)), 0)
+        tried = _some(prices, left, len(plan))
+        pattern = best_fill(tried, capacity, left)
+        if _size(pattern) < capacity and tried is not prices:
+            pattern = best_fill(prices, capacity, left)
+        if _size(pattern) < capacity:
+            return plan, left
+        times = min(int(left[n]) // k for n, k in pattern.items())
+        plan.append((pattern, times))
         for n, k in pattern.items():
-            covered[n] += amount * k
-    for key, amount in laid.items():
-        times = min(int(amount), *(int(left[n]) // k for n, k in key))
-        if times and sum(n * k for n, k in key) == capacity:
-            plan.append((dict(key), times))
-            for n, k in key:
-                left[n] -= times * k
-    return plan + best_fit(left, capacity)
+            left[n] -= times * k
+
+
+def solve(counts: np.ndarray, capacity: int = CAPACITY) -> list[Pattern]:
+    """Patterns that together hold ``counts[n]`` pieces of each length n, in few sequences.
+
+    The program's patterns, and best fit for what no full sequence can be made of. Where best fit
+    alone needs fewer sequences, as when most pieces exceed half a sequence and few can be
+    filled, its plan is taken: the result never has more sequences than best fit.
+    """
+    laid, left = program(counts, capacity)
+    plans = [laid + best_fit(left, capacity), best_fit(counts.astype(np.int64).copy(), capacity)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from foldmill.llm.packing import CAPACITY, Encoder, best_fill, best_fit, pack, slots, solve
+from foldmill.llm.packing import CAPACITY, Encoder, best_fill, best_fit, pack, program, slots, solve
 from foldmill.llm.queries import oracle_sql, queries
 from foldmill.llm import raking
 from foldmill.llm.raking import bounded, mix
@@ -125,7 +125,7 @@ def test_plan_holds_every_piece(seed):
     rng = np.random.default_rng(seed)
     counts = np.zeros(101, np.int64)
     counts[1:] = rng.integers(0, 30, 100) * (rng.random(100) < 0.5)
-    plan = solve(counts, 100, rounds=40)
+    plan = solve(counts, 100)
     held = np.zeros(101, np.int64)
     for pattern, times in plan:
         assert sum(n * k for n, k in pattern.items()) <= 100
@@ -133,11 +133,38 @@ def test_plan_holds_every_piece(seed):
             held[n] += k * times
     assert (held == counts).all()
     bound = -(-int((counts * np.arange(101)).sum()) // 100)
-    assert sum(t for _, t in plan) <= max(bound + 2, sum(t for _, t in best_fit(counts, 100)) * 1.02)
+    assert bound <= sum(t for _, t in plan) <= sum(t for _, t in best_fit(counts, 100))
     keys, _, _ = slots(plan)
     assert len(np.unique(keys)) == len(keys)
 
 
+def test_patterns_of_the_program_hold_most_pieces():
+    rng = np.random.default_rng(1)
+    lengths = np.clip(np.exp(rng.normal(5.8, 0.9, 1_000_000)), 1, CAPACITY - 1).astype(int)
+    counts = np.bincount(lengths, minlength=CAPACITY + 1)
+    plan, left = program(counts)
+    assert left.sum() < 0.1 * counts.sum()
+    assert all(sum(n * k for n, k in pattern.items()) == CAPACITY and times > 0 for pattern, times in plan)
+    alone = sum(times for _, times in best_fit(counts.copy(), CAPACITY))
+    assert sum(times for _, times in plan + best_fit(left, CAPACITY)) <= alone
+
+
+@pytest.mark.parametrize("lengths", [[60] * 9, [60, 45] * 5, [100], [], [1] * 250 + [99] * 3, [34, 33] * 7])
+def test_never_more_sequences_than_best_fit(lengths):
+    counts = np.bincount(np.array(lengths, int), minlength=101)
+    alone = sum(times for _, times in best_fit(counts.copy(), 100))
+    assert sum(times for _, times in solve(counts, 100)) <= alone
+
+
+def test_knapsack_keeps_within_what_is_there():
+    prices, most = np.zeros(13), np.zeros(13, int)
+    prices[[2, 5]], most[[2, 5]] = [2, 5.5], [3, 1]
+    assert best_fill(prices, 12, most) == {5: 1, 2: 3}
+    for room in range(1, 13):   # every choice of copies
+        best = max(a * 2 + b * 5.5 for a in range(4) for b in range(2) if 2 * a + 5 * b <= room)
+        assert sum(prices[n] * k for n, k in best_fill(prices, room, most).items()) == best
+
+
 def test_knapsack():
     prices = np.zeros(11)
     prices[[3, 4, 7]] = 3, 5, 8.5
