@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by Jaccard similarity 0.8 or more, in five-word shingles, the one of
-    smallest id."""
+    smallest id. Links are found by SimHash fingerprints and beyond their distance by MinHash bands."""
     return keep_one(docs)
 
 

@@ -1,4 +1,5 @@
-"""Near copies by Jaccard similarity: MinHash bands find candidates, whole sets decide."""
+"""Near copies by Jaccard similarity: SimHash by pigeonring filtering (operator 9) finds the close ones,
+MinHash bands the links beyond its distance; whole sets decide."""
 
 from __future__ import annotations
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from foldmill.llm.arrays import mix, ranges, slices
 from foldmill.llm.components import component_labels
-from foldmill.llm.simhash import SEED, shingle_hashes
+from foldmill.llm.simhash import DISTANCE, SEED, majority, near_links, shingle_hashes
 from foldmill.llm.store import settle
 from foldmill.operators.keys import measured
 
@@ -24,7 +25,7 @@ BLOCK = 2_048      # texts compared with each other in one task
 _EMPTY = np.uint64(0x9E3779B97F4A7C15)   # the one shingle of a text without words
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 31, BANDS * ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
 
-MARKED = "doc_id long, print binary, bands array<long>"
+MARKED = "doc_id long, print binary, fingerprint long, bands array<long>"
 SETS = "print binary, shingles binary"
 LINKS = "one binary, other binary"
 BUCKET = ["band", "key"]
@@ -97,8 +98,11 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
     """``doc_id, component_id`` for every id: the smallest id that links reach.
 
     Texts link if the sets of their lower-cased ``shingle``-word shingles have a Jaccard
-    similarity of at least ``similarity``, 0.8 or more. Sets that are equal are one node. Nodes
-    that share a band are candidates; of buckets with the same members one is taken, its sets are
+    similarity of at least ``similarity``, 0.8 or more. Sets that are equal are one node. Every set
+    has a SimHash fingerprint; nodes of one fingerprint and the pairs that pigeonring filtering finds
+    within ``DISTANCE`` bits are compared first. At 0.8 most fingerprints differ in more bits, so
+    nodes that share a MinHash band are candidates too, but for bands whose members these links
+    connect already. Of buckets with the same members one is taken, its sets are
     read from the texts again and compared as they are, by a walk. A bucket of more than ``BLOCK``
     members is split into blocks, and each pair of blocks is compared in a task of its own.
 
@@ -112,16 +116,23 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
                 keys = pa.FixedSizeListArray.from_arrays(pa.array(bands(*sets).view(np.int64).ravel()), BANDS)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(set_prints(*sets), pa.binary()),
-                     keys.cast(pa.list_(pa.int64()))], ["doc_id", "print", "bands"])
+                     pa.array(majority(*sets).view(np.int64)), keys.cast(pa.list_(pa.int64()))],
+                    ["doc_id", "print", "fingerprint", "bands"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     marked = settle(texts.mapInArrow(marks, MARKED))
-    nodes = settle(marked.groupBy("print").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands")))
-    members = _members(nodes)
-    links = _links(members, _sets(texts, members.join(nodes.select("print", "first"), "print"), shingle), similarity)
+    nodes = settle(marked.groupBy("print").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"),
+                                               F.first("fingerprint").alias("fingerprint")))
+    names = nodes.select("print", "first")
+
+    def compared(members: DataFrame) -> DataFrame:
+        return _links(members, _sets(texts, members.join(names, "print"), shingle), similarity)
+
     ids = marked.select("doc_id", "print")
-    labels = component_labels(links.union(_shared_ids(ids)), "one", "other")
-    owned = nodes.select("print", "first").join(labels.withColumnRenamed("node", "print"), "print", "left") \
+    close = settle(component_labels(compared(_close(nodes)).union(_shared_ids(ids)), "one", "other"))
+    links = compared(_members(_grouped(nodes, close)))
+    labels = component_labels(close.union(links), "node", "component")
+    owned = names.join(labels.withColumnRenamed("node", "print"), "print", "left") \
         .withColumn("component", F.coalesce("component", "print"))
     least = owned.groupBy("component").agg(F.min("first").alias("component_id"))
     found = owned.join(least, "component").select("print", "component_id")
@@ -139,13 +150,39 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
 
 
+def _close(nodes: DataFrame) -> DataFrame:
+    """``band, key, members, print`` of nodes of one fingerprint, and of pairs of fingerprints that
+    connect all within ``DISTANCE`` bits, each by the least node it has."""
+    kinds = settle(nodes.groupBy("fingerprint").agg(F.min("print").alias("print"), F.count("*").alias("members")))
+    equal = kinds.filter("members > 1").select("fingerprint", "members").join(
+        nodes.select("fingerprint", "print"), "fingerprint").select(
+            F.lit(-1).alias("band"), F.col("fingerprint").alias("key"), "members", "print")
+    # The number of a pair need not be its own: all that share one are compared.
+    pairs = near_links(kinds.select("fingerprint"), DISTANCE).select(
+        F.xxhash64("one", "other").alias("key"), F.explode(F.array("one", "other")).alias("fingerprint"))
+    near = pairs.join(kinds, "fingerprint").select(
+        F.lit(-2).alias("band"), "key", F.lit(2).cast("bigint").alias("members"), "print")
+    return settle(equal.union(near))
+
+
+def _grouped(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes with ``known``, the least id of those they are connected with so far."""
+    linked = labels.withColumnRenamed("node", "print").join(nodes.select("print", "first"), "print")
+    least = linked.groupBy("component").agg(F.min("first").alias("known"))
+    known = labels.join(least, "component").select(F.col("node").alias("print"), "known")
+    return nodes.join(known, "print", "left").withColumn("known", F.coalesce("known", "first"))
+
+
 def _members(nodes: DataFrame) -> DataFrame:
-    """``band, key, members, print`` of the buckets to compare, one of those with the same members."""
-    keyed = nodes.select("print", F.posexplode("bands").alias("band", "key"))
+    """``band, key, members, print`` of the buckets to compare, one of those with the same members.
+
+    A bucket whose members are all connected already tells nothing new.
+    """
+    keyed = nodes.select("print", "known", F.posexplode("bands").alias("band", "key"))
     shared = (keyed.groupBy(*BUCKET)
               .agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("print")).alias("who"),
-                   F.bit_xor(F.hash("print")).alias("also"))
-              .filter("members > 1"))
+                   F.bit_xor(F.hash("print")).alias("also"), F.min("known").alias("least"), F.max("known").alias("most"))
+              .filter("members > 1 and least < most"))
     once = shared.groupBy("members", "who", "also").agg(F.min(F.struct(*BUCKET)).alias("bucket"))
     once = measured(once.select("bucket.band", "bucket.key", "members"))
     return settle(keyed.join(once, BUCKET).select(*BUCKET, "members", "print"))

@@ -55,7 +55,11 @@ def shingle_hashes(part: pa.RecordBatch, shingle: int = SHINGLE) -> tuple[np.nda
 
 def fingerprints(part: pa.RecordBatch, shingle: int = SHINGLE) -> np.ndarray:
     """SimHash of every text of a chunk, as unsigned 64-bit numbers."""
-    hashes, number = shingle_hashes(part, shingle)
+    return majority(*shingle_hashes(part, shingle))
+
+
+def majority(hashes: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Per run of ``number`` hashes the bits that over half of them have set."""
     row = np.repeat(np.arange(len(number)), number)
     out = np.zeros(len(number), np.uint64)
     bits = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
-from foldmill.llm import near_copies
+from foldmill.llm import near_copies, simhash
 from llm import brute
 from llm.brute import kept_of_similar as kept, shingles
 
@@ -57,3 +58,24 @@ def test_bands_meet_at_the_similarity():
     equal = keys[:, 0] == keys[:, 1]
     assert equal.any(axis=1).all()
     assert equal.mean() == pytest.approx(0.8 ** near_copies.ROWS, abs=0.01)
+
+
+def test_close_links_come_from_fingerprints(spark, monkeypatch):
+    # Without bands only SimHash links are left: those within its distance, if the sets are similar.
+    found_by = near_copies._members
+    monkeypatch.setattr(near_copies, "_members", lambda nodes: found_by(nodes).limit(0))
+    rng = random.Random(13)
+    rows = []
+    for family in range(30):
+        own = [f"w{rng.randrange(3000)}" for _ in range(400)]
+        rows += [" ".join(own), edited(rng, own, 1), edited(rng, own, 200)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    component = {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()}
+    sets = [shingles(t) for t in rows]
+    hashes = [np.array([xxhash.xxh64_intdigest(s, simhash.SEED) for s in own], np.uint64) for own in sets]
+    prints = simhash.majority(np.concatenate(hashes), np.array([len(h) for h in hashes]))
+    near = {i for i in range(0, 90, 3) if np.bitwise_count(prints[i] ^ prints[i + 1]) <= simhash.DISTANCE}
+    assert len(near) > 20
+    for i in range(0, 90, 3):
+        assert component[i] == i and component[i + 2] == i + 2
+        assert component[i + 1] == (i if i in near else i + 1)
