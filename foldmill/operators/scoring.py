@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import subprocess
 import time
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 import pandas as pd
@@ -27,7 +27,7 @@ from foldmill.operators.walks import shuffle_all
 BLOCK_CELLS = 16_000_000
 MAX_BLOCK = 256
 # Letters of shuffles that are walked side by side.
-WALK_LETTERS = 8_000_000
+WALK_LETTERS = 6_000_000
 # Letters of one frame of shuffles.
 PORTION_LETTERS = 4_000_000
 # Cells one task should fill, some ten seconds of work.
@@ -63,8 +63,8 @@ def task_count(sequences: DataFrame, max_span: int | None = None) -> int:
 
 
 def spread(blocks: DataFrame, tasks: int) -> DataFrame:
-    """Blocks dealt out evenly to tasks, whatever their sequence."""
-    return blocks.repartition(tasks)
+    """Blocks dealt out evenly to tasks, whatever their sequence; in a task those of a size follow one another."""
+    return blocks.repartition(tasks).sortWithinPartitions("cells")
 
 
 def _portions(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
@@ -109,15 +109,22 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator:
         yield from batch.itertuples(index=False)
 
 
-def shuffled(sequences: DataFrame, seed: int = 0, tasks: int | None = None) -> DataFrame:
-    """``seqname, iteration, seq``: the shuffles themselves, iterations 1..N."""
+def shuffled(sequences: DataFrame, seed: int = 0, tasks: int | None = None,
+             reduce_to: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
+             schema: str = "seqname string, iteration int, seq string") -> DataFrame:
+    """``seqname, iteration, seq``: the shuffles themselves, iterations 1..N.
+
+    ``reduce_to`` makes rows of ``schema`` from a frame of them in the task that draws them, where only
+    something about the shuffles is wanted.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         drawn = ((name, i, seq) for name, _, i, seq in _shuffles(_rows(batches), seed))
         for rows in _portions(drawn):
-            yield pd.DataFrame(rows, columns=["seqname", "iteration", "seq"])
+            frame = pd.DataFrame(rows, columns=["seqname", "iteration", "seq"])
+            yield reduce_to(frame) if reduce_to else frame
 
     blocks = spread(work_blocks(sequences, max_span=1), tasks or task_count(sequences, 1))
-    return blocks.mapInPandas(run, "seqname string, iteration int, seq string")
+    return blocks.mapInPandas(run, schema)
 
 
 def _similar(folds: Iterator[tuple], max_span: int | None) -> Iterator[list[tuple]]:

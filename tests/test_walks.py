@@ -1,13 +1,14 @@
 """Letter-pair shuffles that are walked side by side."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from foldmill.operators import walks
-from foldmill.operators.scorers import walk_seed
+from foldmill.operators.scorers import NeighbourScorer, walk_seed
 from foldmill.operators.walks import shuffle_all
 
 
@@ -46,3 +47,14 @@ def test_every_shuffle_is_as_likely(monkeypatch, few):
     rng = random.Random(few)
     found = Counter(shuffle_all(["ABACABDA"], [0] * 24_000, [rng.getrandbits(64) for _ in range(24_000)]))
     assert len(found) == 6 and all(abs(n - 4000) < 350 for n in found.values())
+
+
+def test_energies_take_memory_for_one_sequence():
+    seqs = ["acgu" * 5000] * 100
+    tracemalloc.start()
+    try:
+        energies = NeighbourScorer().fold(seqs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(set(energies)) == 1 and peak < 2_000_000
