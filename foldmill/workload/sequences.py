@@ -123,21 +123,52 @@ FROM lists, (SELECT unnest(generate_series(1, {SHUFFLES}))) AS v(iteration)""")
 def dinuc_shuffle_invariants(spark, sf_dir):
     """Letter pairs of every shuffle of every text; the SQL has those of the texts."""
     documents = named_documents(spark, sf_dir).withColumn("n_shuffles", F.lit(SHUFFLES))
-    shuffles = scoring.shuffled(documents, seed=1)
-    return shuffles.filter(F.length("seq") > 1).mapInPandas(
-        _pair_digests, "doc_id bigint, iteration bigint, n_pairs bigint, digest string")
-
-
-def _pair_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Number and digest of the counted letter pairs of every text."""
-    for batch in batches:
-        rows = []
-        for row in batch.itertuples(index=False):
-            points = np.frombuffer(row.seq.encode("utf-32-le"), np.uint32).astype(np.uint64)
-            pairs, counts = np.unique(points[:-1] << np.uint64(32) | points[1:], return_counts=True)
-            listed = ",".join(f"{chr(p >> 32)}{chr(p & 0xFFFFFFFF)}{n}" for p, n in zip(pairs.tolist(), counts.tolist()))
-            rows.append((int(row.seqname[1:]), row.iteration, len(pairs), hashlib.md5(listed.encode()).hexdigest()))
-        yield pd.DataFrame(rows, columns=["doc_id", "iteration", "n_pairs", "digest"])
+    return scoring.shuffled(documents, seed=1, reduce_to=_pair_digests,
+                            schema="doc_id bigint, iteration bigint, n_pairs bigint, digest string")
+
+
+# Letters whose pairs are counted together.
+PAIR_LETTERS = 1 << 20
+
+
+def _pair_digests(frame: pd.DataFrame) -> pd.DataFrame:
+    """Number and digest of the counted letter pairs of every text of two letters or more."""
+    frame = frame[frame["seq"].str.len() > 1]
+    sizes = frame["seq"].str.len().to_numpy(np.int64)
+    lots = (np.cumsum(sizes) - sizes) // PAIR_LETTERS
+    found = [row for _, seqs in frame["seq"].groupby(lots, sort=True) for row in _counted_pairs(seqs.tolist())]
+    return pd.DataFrame({"doc_id": frame["seqname"].str[1:].astype("int64"), "iteration": frame["iteration"],
+                         "n_pairs": [n for n, _ in found], "digest": [digest for _, digest in found]})
+
+
+def _counted_pairs(seqs: list[str]) -> Iterator[tuple[int, str]]:
+    """Of all texts side by side: their pairs as numbers, sorted text by text and counted."""
+    points = np.frombuffer("".join(seqs).encode("utf-32-le", "surrogatepass"), np.uint32)
+    alphabet = np.zeros(int(points.max()) + 1, bool)
+    alphabet[points] = True
+    letters, codes = np.flatnonzero(alphabet), (np.cumsum(alphabet) - 1)[points]
+    width = len(letters)
+    ends = np.cumsum([len(s) for s in seqs])
+    row = np.repeat(np.arange(len(seqs)), np.diff(ends, prepend=0))
+    inner = np.ones(len(points), bool)
+    inner[ends - 1] = False
+    inner = np.flatnonzero(inner)
+    # Below 2**63: at most 2**20 texts, unless one is longer than that, and 2**21 letters.
+    keys = np.sort((row[inner] * width + codes[inner]) * width + codes[inner + 1])
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    counts = np.diff(first, append=len(keys))
+    keys = keys[first]
+    bounds = np.searchsorted(keys, np.arange(len(seqs) + 1) * width * width)
+    pairs = keys % (width * width)
+    known: dict[bytes, str] = {}    # of the shuffles of one text
+    for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        own, often = pairs[start:stop], counts[start:stop]
+        name = own.tobytes() + often.tobytes()
+        if name not in known:
+            listed = ",".join(f"{chr(x)}{chr(y)}{n}" for x, y, n in zip(
+                letters[own // width].tolist(), letters[own % width].tolist(), often.tolist()))
+            known[name] = hashlib.md5(listed.encode()).hexdigest()
+        yield stop - start, known[name]
 
 
 @query("""

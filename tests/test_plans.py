@@ -46,3 +46,8 @@ def test_scores_shuffle_the_background_once(spark):
 
 def test_shuffles_are_dealt_out_evenly(spark):
     assert "RoundRobinPartitioning" in plan(spark, "shuffle_shape")
+
+
+def test_pairs_are_counted_where_shuffles_are_drawn(spark):
+    # The shuffled texts do not leave the task.
+    assert plan(spark, "dinuc_shuffle_invariants").count("MapInPandas") == 1
