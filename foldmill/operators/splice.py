@@ -8,8 +8,10 @@ every piece lies in one bin of ``BIN_SIZE`` positions and starts at the 1-based
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foldmill.functions.attributes import tab_field
@@ -19,6 +21,7 @@ from foldmill.operators.transcripts import feature_lines, with_parent
 from foldmill.session import settle
 
 BIN_SIZE = 32_768
+SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def bin_of(position: Column, bin_size: int = BIN_SIZE) -> Column:
@@ -107,7 +110,7 @@ def transcript_models(features_df: DataFrame) -> DataFrame:
     """One row per transcript and locus: exons and the coding range on the transcript.
 
     Lines belong together if their parent's id as written (``orig_id``, where there is one),
-    sequence and strand agree. Exons are sorted, and exons that overlap are one.
+    sequence and strand agree. Exons are sorted, and exons that overlap are one. Exons without a start or an end are none.
 
     A transcript without exon lines is spliced from its coding lines. The coding range runs from the
     first to the last coding base that lies in an exon, counted along the spliced transcript in
@@ -120,7 +123,8 @@ def transcript_models(features_df: DataFrame) -> DataFrame:
     span = F.struct("start", "end")
 
     def spans(kind: str) -> Column:
-        return F.array_sort(F.collect_set(F.when(F.col("type") == kind, span)))
+        return F.sort_array(F.collect_set(F.when(
+            (F.col("type") == kind) & F.col("start").isNotNull() & F.col("end").isNotNull(), span)))
 
     coding = F.col("type") == "CDS"
     phase = F.coalesce("phase", F.lit(0)) if "phase" in features_df.columns else F.lit(0)
@@ -133,9 +137,9 @@ def transcript_models(features_df: DataFrame) -> DataFrame:
     low = on_transcript(F.col("exons"), F.lit(False), F.col("_first.start"))
     high = on_transcript(F.col("exons"), F.lit(False), F.col("_last.end"), last=True)
     size = F.col("length")
-    ranged = (grouped
-              .withColumn("exons", _merged(F.when(F.size("_exons") > 0, F.col("_exons"))
-                                           .otherwise(F.col("_coding"))))
+    chosen = grouped.withColumn("exons", F.when(F.size("_exons") > 0, F.col("_exons")).otherwise(
+        F.col("_coding"))).drop("_exons", "_coding")
+    ranged = (_with_merged(chosen, "exons")
               .withColumn("length", _bases(F.col("exons"), _width))
               .withColumn("_from", F.when(reverse, size - high + 1 - F.col("_last.skip"))
                           .otherwise(low + F.col("_first.skip")))
@@ -146,18 +150,44 @@ def transcript_models(features_df: DataFrame) -> DataFrame:
                          F.when(found, F.col("_to")).cast("int").alias("cds_end"))
 
 
-def _merged(spans: Column) -> Column:
-    """Sorted spans, those that overlap joined into one."""
-    kind = "array<struct<start:bigint,end:bigint>>"
+def _with_merged(df: DataFrame, name: str) -> DataFrame:
+    """Of a column of sorted spans those that overlap joined into one.
 
-    def add(done: Column, span: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        return F.when(span["start"] <= last["end"], F.concat(
-            F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(
-                F.concat(done, F.array(span))).cast(kind)
-
-    return F.aggregate(spans.cast(kind), F.array().cast(kind), add)
+    A growing array would be copied at every step, so all spans of a batch of rows are joined side by side.
+    """
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(name)
+            columns = list(batch.columns)
+            columns[at] = merged_spans(columns[at])
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    df = df.withColumn(name, F.col(name).cast(SPANS))
+    return df.mapInArrow(merge, df.schema)
+
+
+def merged_spans(lists: pa.ListArray) -> pa.ListArray:
+    """The same rows with spans that overlap joined. Spans are sorted; a null list is empty."""
+    spans = lists.flatten()
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    start, end = (spans.field(n).to_numpy(zero_copy_only=False) for n in (0, 1))
+    if len(end) == 0:
+        return pa.array([[]] * len(lists), lists.type)
+    step = int(end.max()) - int(end.min()) + 1
+    if step * len(lists) >= 1 << 62:    # positions too far apart to lie side by side
+        half = len(lists) // 2
+        if half:
+            return pa.concat_arrays([merged_spans(lists[:half]), merged_spans(lists[half:])])
+    row = np.repeat(np.arange(len(lists)), sizes)
+    shift = row * step - int(end.min()) if len(lists) > 1 else 0
+    reach = np.maximum.accumulate(end + shift) - shift
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > reach[:-1])
+    last = np.append(np.flatnonzero(new)[1:] - 1, len(row) - 1)
+    offsets = np.zeros(len(lists) + 1, np.int32)
+    offsets[1:] = np.cumsum(np.bincount(row[new], minlength=len(lists)))
+    joined = pa.StructArray.from_arrays([pa.array(start[new]), pa.array(reach[last])], fields=list(spans.type))
+    return pa.ListArray.from_arrays(pa.array(offsets), joined)
 
 
 def splice(models: DataFrame, pieces: DataFrame, bin_size: int = BIN_SIZE) -> DataFrame:
@@ -186,9 +216,8 @@ def splice(models: DataFrame, pieces: DataFrame, bin_size: int = BIN_SIZE) -> Da
                  .select(*model, begin.alias("at"),
                          "seqid", F.substring("seq", (begin - F.col("piece_start") + 1).cast("int"),
                                               size.cast("int")).alias("bases")))
-    joined = fragments.groupBy(*model, "seqid").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("at", "bases"))), lambda f: f["bases"]),
-        "").alias("_plus"))
+    joined = fragments.groupBy(*model, "seqid").agg(F.array_join(
+        F.sort_array(F.collect_list(F.struct("at", "bases")))["bases"], "").alias("_plus"))
     return (joined.filter(F.length("_plus") == F.col("length"))
             .select(*names,
                     F.when(F.col("strand") == "-", reverse_complement(F.col("_plus")))

@@ -1,8 +1,12 @@
 """The physical plans have the shape that holds at scale."""
 
+import random
+
+import pyarrow as pa
 import pytest
 
 import __spark_entry__
+from foldmill.operators import splice
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -51,3 +55,35 @@ def test_shuffles_are_dealt_out_evenly(spark):
 def test_pairs_are_counted_where_shuffles_are_drawn(spark):
     # The shuffled texts do not leave the task.
     assert plan(spark, "dinuc_shuffle_invariants").count("MapInPandas") == 1
+
+
+@pytest.mark.parametrize("name", ["splice_exons", "coding_phase"])
+def test_exons_are_not_joined_in_growing_arrays(spark, monkeypatch, name):
+    plans = []
+    settled = splice.settle
+
+    def settle(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return settled(df)
+
+    monkeypatch.setattr(splice, "settle", settle)
+    plan(spark, name)
+    assert plans and all("MapInArrow" in p for p in plans)
+    assert not any("Filter" in line and "aggregate(" in line for p in plans for line in p.splitlines())
+
+
+def test_overlapping_spans_are_joined():
+    rng = random.Random(5)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for top in (60, 1 << 61):
+        rows = [[], None] + [sorted({(a, a + rng.randint(0, top // 9)) for a in rng.choices(range(0, top, max(1, top // 60)), k=n)})
+                             for n in (1, 2, 5, 9, 0, 30)]
+        found = splice.merged_spans(pa.array([r and [{"start": a, "end": b} for a, b in r] for r in rows], kind))
+        for row, own in zip(rows, found.to_pylist()):
+            want = []
+            for a, b in row or []:
+                if want and a <= want[-1][1]:
+                    want[-1] = (want[-1][0], max(want[-1][1], b))
+                else:
+                    want.append((a, b))
+            assert [(s["start"], s["end"]) for s in own] == want
