@@ -32,8 +32,19 @@ def measured(df: DataFrame) -> DataFrame:
 
     The table is settled, so readers share one result and its measured size.
     """
+    small, stored = _weighed(df)
+    return F.broadcast(stored) if small else stored
+
+
+def measured_if_small(df: DataFrame) -> DataFrame | None:
+    """The same, but nothing where the table is too large for a broadcast."""
+    small, stored = _weighed(df)
+    return F.broadcast(stored) if small else None
+
+
+def _weighed(df: DataFrame) -> tuple[bool, DataFrame]:
     stored = settle(df)
-    return F.broadcast(stored) if is_small(stored) else stored
+    return is_small(stored), stored
 
 
 def having_key(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -56,10 +56,12 @@ def with_parent(lines: DataFrame, anchored: bool = False) -> DataFrame:
     gives a row per id.
     """
     parent = attrs.attribute(F.col("raw"), "Parent", anchored)
-    if anchored:
-        owned = lines.withColumn("_parent", F.explode(F.split(parent, ",")))
-    else:
-        owned = lines.withColumn("_parent", parent)
+    return with_ids(lines.withColumn("_parent", parent), anchored)
+
+
+def with_ids(lines: DataFrame, anchored: bool = False) -> DataFrame:
+    """The same from the parents as written in ``_parent``."""
+    owned = lines.withColumn("_parent", F.explode(F.split("_parent", ","))) if anchored else lines
     return (owned.filter(F.col("_parent").isNotNull())
             .withColumn("tx_id", normalise_id(F.col("_parent")))
             .withColumn("orig_id", original_id(F.col("_parent"))).drop("_parent"))

@@ -250,17 +250,20 @@ def _coding_models(spark, sf_dir) -> DataFrame:
     start = F.col("i") * 40 + 1 + F.col("doc_id") % 7
     end = start + 24
     phase = (F.col("doc_id") + F.col("i")) % 4
+    exon = line("exon", start, end, F.lit("."))
     coding = line(
         "CDS", start + F.when(F.col("doc_id") % 5 == 0, -8).otherwise(F.col("doc_id") % 11),
         end - F.when(F.col("doc_id") % 4 == 0, -7).otherwise(F.col("doc_id") % 9),
         F.when(phase == 3, ".").otherwise(phase.cast("string")))
-    lines = (table(spark, sf_dir, "documents").filter(F.col("n_chars") >= 40)
+    sizes = table(spark, sf_dir, "documents").select("doc_id", "n_chars").filter(F.col("n_chars") >= 40)
+    # The lines outgrow what is read for them, and a file may be read by one task.
+    tasks = 3 * max(sizes.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    lines = (sizes.repartition(tasks, "doc_id")
              .select("doc_id", "n_chars", F.explode(F.sequence(
                  F.lit(0).cast("bigint"), F.floor(F.col("n_chars") / 40) - 1)).alias("i"))
              .filter(end <= F.col("n_chars"))
-             .select(F.explode(F.array_compact(F.array(
-                 line("exon", start, end, F.lit(".")),
-                 F.when(F.col("i").between(1, 4), coding)))).alias("raw")))
+             .select(F.explode(F.when(F.col("i").between(1, 4), F.array(exon, coding))
+                               .otherwise(F.array(exon))).alias("raw")))
     return splice.transcript_models(splice.features(lines))
 
 
